@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from datetime import date, datetime
 
@@ -35,10 +36,16 @@ def run_folder(spark: SparkSession, name: str) -> str:
 
 
 def raw_sql(spark: SparkSession, sf_dir: str, sql: str, order_base: str | None = None) -> DataFrame:
-    def file_of(name: str) -> str:
-        return f"parquet.`{order_base if name == 'order_base' else f'{sf_dir}/{name}.parquet'}`"
+    """The text over temporary views of the test tables, named after the folder they come from."""
 
-    return spark.sql(rename_tables(sql, file_of))
+    def view_of(name: str) -> str:
+        path = order_base if name == "order_base" else f"{sf_dir}/{name}.parquet"
+        view = "input_" + re.sub(r"\W", "_", path)
+        if not spark.catalog.tableExists(view):
+            spark.read.parquet(path).createOrReplaceTempView(view)
+        return view
+
+    return spark.sql(rename_tables(sql, view_of))
 
 
 def _stamp(spark: SparkSession, sf_dir: str) -> tuple:

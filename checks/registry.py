@@ -34,6 +34,7 @@ from tiffin.plans import analysis, dashboard, marts
 from tiffin.plans.dashboard import Filter
 from tiffin.plans.pipeline import DIM_SCHEMAS, enriched_orders
 from tiffin.sources.raw import null_tokens
+from tiffin.sources.tables import append_table, empty, overwrite_table, read_table
 from tiffin.streaming.daily_city import ORDER_COLUMNS, daily_city_kpi_stream, read_daily_city_kpi
 from tiffin.streaming.ingest import ingest_stream
 
@@ -103,29 +104,27 @@ def ingested_events(s: SparkSession, d: str) -> DataFrame:
 
 
 def streamed_city_days(s: SparkSession, d: str) -> DataFrame:
-    """Orders arriving in four files, the first of them twice, in micro-batches of two files."""
+    """Orders arriving in two waves; the second brings a quarter of the first again."""
     work = run_folder(s, "stream")
     rows = order_rows(s, d).select(*ORDER_COLUMNS)
-    for part in (0, 1, 2, 3, 0):
-        rows.filter(F.col("order_id") % 4 == part).coalesce(1 if _small(s) else 8).write.mode("append").parquet(f"{work}/landing")
-    daily_city_kpi_stream(
-        s, f"{work}/landing", f"{work}/out", f"{work}/checkpoint", schema=rows.schema, max_files=2 if _small(s) else 64
-    ).awaitTermination()
+    quarter = F.col("order_id") % 4
+    for wave in ([0, 1], [2, 3, 0]):
+        append_table(rows.filter(quarter.isin(wave)), f"{work}/landing")
+        daily_city_kpi_stream(
+            s, f"{work}/landing", f"{work}/out", f"{work}/checkpoint", schema=rows.schema
+        ).awaitTermination()
     return read_daily_city_kpi(s, f"{work}/out")
 
 
-def _small(s: SparkSession) -> bool:
-    return s.sparkContext.master.startswith("local")
-
-
 def _two_runs(name: str, source: str, stage, advance, *, clocked: bool) -> Query:
-    """A dimension after two deliveries."""
+    """A dimension after two deliveries, the first one stored in between, as a refresh would."""
 
     def query(s: SparkSession, d: str) -> DataFrame:
-        dim = s.createDataFrame([], DIM_SCHEMAS[name])
-        for batch, now in zip(deliveries(s, d, source), (FIRST_RUN, SECOND_RUN), strict=True):
-            dim = advance(dim, stage(batch), now) if clocked else advance(dim, stage(batch))
-        return dim
+        first, second = deliveries(s, d, source)
+        clock = ((FIRST_RUN,), (SECOND_RUN,)) if clocked else ((), ())
+        path = run_folder(s, name)
+        overwrite_table(advance(empty(s, DIM_SCHEMAS[name]), stage(first), *clock[0]), path)
+        return advance(read_table(s, path), stage(second), *clock[1])
 
     return query
 

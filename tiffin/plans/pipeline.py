@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,15 +70,27 @@ def by_month(secure: DataFrame) -> DataFrame:
     return secure.select("*", month).hint("rebalance", MONTH)
 
 
-def run_step(spark: SparkSession, name: str, step: Callable[[], object], log_path: str, run_ts: datetime) -> str:
-    """Run a step and log one row. An error is logged and returned, not raised; the step has then published nothing."""
+LogRow = tuple[str, datetime, str, str]
+
+
+def attempt(name: str, step: Callable[[], object], run_ts: datetime) -> LogRow:
+    """Run a step. An error is reported, not raised; the step has then published nothing."""
     try:
         note = step()
-        status, message = "SUCCESS", f"{name} loaded" + (f", {note}" if isinstance(note, str) else "")
+        return name, run_ts, "SUCCESS", f"{name} loaded" + (f", {note}" if isinstance(note, str) else "")
     except Exception as err:  # the log is the place to look for it
-        status, message = "ERROR", str(err)
-    append_table(spark.createDataFrame([(name, run_ts, status, message)], RUN_LOG).coalesce(1), log_path)
-    return status
+        return name, run_ts, "ERROR", str(err)
+
+
+def log_runs(spark: SparkSession, rows: Sequence[LogRow], log_path: str) -> None:
+    append_table(spark.createDataFrame(rows, RUN_LOG).coalesce(1), log_path)
+
+
+def run_step(spark: SparkSession, name: str, step: Callable[[], object], log_path: str, run_ts: datetime) -> str:
+    """Run one step, log one row and return the status."""
+    row = attempt(name, step, run_ts)
+    log_runs(spark, [row], log_path)
+    return row[2]
 
 
 def check_keys(src: DataFrame, key: str) -> str:
@@ -97,9 +111,10 @@ def check_keys(src: DataFrame, key: str) -> str:
 
 
 def refresh_all(spark: SparkSession, cfg: Config, as_of: datetime) -> dict[str, str]:
-    """Refresh every table once, in dependency order. Returns the status of each step.
+    """Refresh every table once: dimensions, then facts, then the secure order table. Returns the status of each step.
 
-    The clock is an argument, so both halves of a version change carry the same time and a run can be repeated.
+    Steps of one stage do not depend on each other and are submitted together, so that the tail of one does not leave
+    the cluster idle. The clock is an argument: both halves of a version change carry the same time.
     """
     raw = cfg.raw
 
@@ -129,21 +144,35 @@ def refresh_all(spark: SparkSession, cfg: Config, as_of: datetime) -> dict[str,
     feedback = staging.stg_feedback(raw["customer_feedback"])
     events = staging.stg_customer_events(raw[schemas.EVENTS])
 
-    steps: dict[str, Callable[[], object]] = {
-        "dim_date": lambda: save("dim_date", dim_date(spark, cfg.calendar_start, cfg.calendar_end)),
-        "dim_customer": dimension("dim_customer", customers, "customer_id", dims.next_customers, as_of),
-        "dim_restaurant": dimension("dim_restaurant", restaurants, "restaurant_id", dims.next_restaurants, as_of),
-        "dim_restaurant_scd3": dimension("dim_restaurant_scd3", restaurants, "restaurant_id", dims.next_restaurant_cuisines, as_of),
-        "dim_delivery_agent": dimension("dim_delivery_agent", agents, "agent_id", dims.next_agents),
-        "dim_promotion": dimension("dim_promotion", promotions, "promo_id", dims.next_promotions),
-        "fct_order_enhanced": lambda: save(
-            "fct_order_enhanced", facts.fct_order_enhanced(orders, stored("dim_date"), trips, restaurants)
-        ),
-        "fct_delivery": lambda: save("fct_delivery", facts.fct_delivery(trips)),
-        "fct_feedback": lambda: save("fct_feedback", facts.fct_feedback(feedback)),
-        "fct_customer_event": lambda: save("fct_customer_event", facts.fct_customer_event(events)),
-        "fct_order_secure": lambda: save(
-            "fct_order_secure", by_month(facts.fct_order_secure(enriched_orders(spark, cfg.root))), (MONTH,)
-        ),
-    }
-    return {name: run_step(spark, name, step, cfg.log_path, as_of) for name, step in steps.items()}
+    stages: list[dict[str, Callable[[], object]]] = [
+        {
+            "dim_date": lambda: save("dim_date", dim_date(spark, cfg.calendar_start, cfg.calendar_end)),
+            "dim_customer": dimension("dim_customer", customers, "customer_id", dims.next_customers, as_of),
+            "dim_restaurant": dimension("dim_restaurant", restaurants, "restaurant_id", dims.next_restaurants, as_of),
+            "dim_restaurant_scd3": dimension(
+                "dim_restaurant_scd3", restaurants, "restaurant_id", dims.next_restaurant_cuisines, as_of
+            ),
+            "dim_delivery_agent": dimension("dim_delivery_agent", agents, "agent_id", dims.next_agents),
+            "dim_promotion": dimension("dim_promotion", promotions, "promo_id", dims.next_promotions),
+        },
+        {
+            "fct_order_enhanced": lambda: save(
+                "fct_order_enhanced", facts.fct_order_enhanced(orders, stored("dim_date"), trips, restaurants)
+            ),
+            "fct_delivery": lambda: save("fct_delivery", facts.fct_delivery(trips)),
+            "fct_feedback": lambda: save("fct_feedback", facts.fct_feedback(feedback)),
+            "fct_customer_event": lambda: save("fct_customer_event", facts.fct_customer_event(events)),
+        },
+        {
+            "fct_order_secure": lambda: save(
+                "fct_order_secure", by_month(facts.fct_order_secure(enriched_orders(spark, cfg.root))), (MONTH,)
+            ),
+        },
+    ]
+    log: list[LogRow] = []
+    with ThreadPoolExecutor(max_workers=max(len(s) for s in stages)) as pool:
+        for steps in stages:
+            runs = [pool.submit(inheritable_thread_target(spark)(attempt), name, step, as_of) for name, step in steps.items()]
+            log += [run.result() for run in runs]
+    log_runs(spark, log, cfg.log_path)
+    return {name: status for name, _, status, _ in log}

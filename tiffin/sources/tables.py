@@ -16,6 +16,8 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def _fs(spark: SparkSession, path: str):
@@ -68,10 +70,28 @@ def read_table(spark: SparkSession, path: str, as_of_millis: int | None = None,
     """The current version, or the one that was current at a time. With a schema, a table never written reads as empty."""
     known = [v for millis, v in versions(spark, path) if as_of_millis is None or millis <= as_of_millis]
     if known:
-        return spark.read.parquet(f"{path}/data/{known[-1]}")
+        return _open(spark, path, known[-1])
     if schema is None:
         raise FileNotFoundError(f"no version of {path} at {as_of_millis or 'any time'}")
-    return spark.createDataFrame([], schema)
+    return empty(spark, schema)
+
+
+_opened: dict[tuple[str, str], tuple[str, DataFrame]] = {}
+
+
+def _open(spark: SparkSession, path: str, version: str) -> DataFrame:
+    """A version never changes, so the file listing of the last one opened per table is kept."""
+    key = (spark.sparkContext.applicationId, path)
+    held = _opened.get(key)
+    if held is None or held[0] != version or held[1].sparkSession is not spark:
+        held = _opened[key] = (version, spark.read.parquet(f"{path}/data/{version}"))
+    return held[1]
+
+
+def empty(spark: SparkSession, schema: str) -> DataFrame:
+    """No rows. Written as a query, which the optimizer sees to be empty, unlike an empty RDD."""
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schema).fields]
+    return spark.range(1).select(*nulls).filter(F.lit(False))
 
 
 def read_as_of(spark: SparkSession, path: str, as_of_millis: int) -> DataFrame:

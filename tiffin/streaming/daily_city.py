@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tiffin.plans.marts import CITY_DAY, city_day_sums, city_day_view
-from tiffin.sources.tables import exists, list_names
+from tiffin.sources.tables import empty, exists, list_names
 
 ORDER_COLUMNS = [*CITY_DAY, "order_id", "total_amount", "is_delivered", "is_cancelled", "rating", "sentiment_score", "sla_breach_flag"]
 
@@ -95,7 +95,7 @@ def stored_sums(spark: SparkSession, out: str, skip_part: int | None = None) ->
     folders = [f"{out}/base/upto={upto}"] if upto >= 0 else []
     folders += [f"{out}/parts/part_id={i}" for i in _new_parts(spark, out, upto) if i != skip_part]
     if not folders:
-        return spark.createDataFrame([], SUMS_SCHEMA)
+        return empty(spark, SUMS_SCHEMA)
     return _add_up(spark.read.schema(SUMS_SCHEMA).parquet(*folders))
 
 
