@@ -1,0 +1,27 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from tiffin.session import session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    s = session("tests", "local[8]", **{"spark.sql.shuffle.partitions": 8, "spark.driver.memory": "8g"})
+    s.sparkContext.setLogLevel("ERROR")
+    yield s
+    s.stop()
+
+
+@pytest.fixture
+def rows(spark):
+    """A DataFrame from tuples and a DDL schema."""
+    return lambda data, schema: spark.createDataFrame(data, schema)
+
+
+@pytest.fixture
+def work(tmp_path):
+    return str(tmp_path)
