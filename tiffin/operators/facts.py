@@ -15,8 +15,8 @@ FEE = "decimal(10,2)"
 def fct_order_enhanced(orders: DataFrame, dates: DataFrame, trips: DataFrame, restaurants: DataFrame) -> DataFrame:
     """One row per order (per trip, should an order have several), with eight derived columns.
 
-    The trip join comes first: it is the one fact-sized join. Calendar and restaurants are broadcast whenever their
-    size allows it, which leaves the order partitioning in place. A hot restaurant is split by adaptive skew handling.
+    The trip join comes first: it is the one fact-sized join. The calendar is broadcast, being bounded by its builder;
+    restaurants are if their size allows it, otherwise adaptive execution splits a hot restaurant across tasks.
     """
     day = dates.select(F.col("full_date").alias("order_day"), F.col("date_key").alias("order_date_key"))
     trip = trips.select("order_id", "sla_breach_flag")
@@ -25,7 +25,7 @@ def fct_order_enhanced(orders: DataFrame, dates: DataFrame, trips: DataFrame, re
     joined = (
         orders.withColumn("order_day", F.to_date("order_created_at"))
         .join(trip, "order_id", "left")
-        .join(day, "order_day", "left")
+        .join(F.broadcast(day), "order_day", "left")
         .join(rate, "restaurant_id", "left")
     )
     subtotal, discount, total = F.col("order_subtotal"), F.col("order_discount"), F.col("total_amount")

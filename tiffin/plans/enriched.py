@@ -14,8 +14,9 @@ def order_enriched(
 ) -> DataFrame:
     """Five left joins, so every order stays. Customer and restaurant ids come from the dimensions: NULL when unmatched.
 
-    Trips and feedback are order-sized and joined first, back to back, on one partitioning by order. The lookups follow
-    by size: broadcast while small, otherwise shuffled, where adaptive execution splits a hot key.
+    Trips and feedback are order-sized and joined first, back to back, on one partitioning by order. The calendar is
+    broadcast, being bounded by its builder. Customers and restaurants are broadcast while small, otherwise shuffled,
+    where adaptive execution splits a hot key.
     """
     trip = trips.select("order_id", "distance_km", "sla_breach_flag")
     rating = feedback.select("order_id", "rating", "sentiment_score")
@@ -39,7 +40,7 @@ def order_enriched(
         orders.withColumnsRenamed({"customer_id": "o_customer", "restaurant_id": "o_restaurant"})
         .join(trip, "order_id", "left")
         .join(rating, "order_id", "left")
-        .join(day, "order_date_key", "left")
+        .join(F.broadcast(day), "order_date_key", "left")
         .join(customer, F.col("o_customer") == F.col("c_id"), "left")
         .join(restaurant, F.col("o_restaurant") == F.col("r_id"), "left")
     )
