@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from checks.raw_inputs import MOVED, ORDER_BASE, RAW_SQL, rename_tables
 from tiffin import schemas
 from tiffin.operators.edit import update_where
-from tiffin.plans.pipeline import Config, refresh_all, table
+from tiffin.plans.refresh import Config, refresh_all, table
 from tiffin.session import shared_folder
 from tiffin.sources.raw import null_tokens, parse_events
 

@@ -372,12 +372,10 @@ select agent_id, agent_name, phone, hire_date, case when right(agent_id, 1) = '1
     "dim_date": retyped("select * from order_dates", text="full_date"),
     "scd2_customer": retyped(_CUSTOMER_SCD2, ints="customer_sk"),
     "scd2_restaurant": retyped(_RESTAURANT_SCD2, ints="restaurant_sk", text="onboarded_at"),
-    "scd2_history": retyped(
-        _CUSTOMER_SCD2.replace("from opened1_customer", "from opened1_customer where customer_id = 15").replace(
-            "from opened2_customer", "from opened2_customer where customer_id = 15"
-        ),
-        ints="customer_sk",
-    ),
+    "scd2_history": f"""
+select cast(customer_sk as bigint) as customer_sk, customer_id, customer_name, city, segment, effective_from, effective_to, is_current
+from ({_CUSTOMER_SCD2}) v
+""",
     "scd3_restaurant_cuisine": f"""
 select restaurant_id, restaurant_name, cuisine_primary as current_cuisine, cast(null as varchar) as previous_cuisine,
  case when restaurant_id % 10 = 9 then '{_T2}' else '{_T1}' end as last_change_date, city, area

@@ -32,7 +32,7 @@ from tiffin.operators.edit import update_where
 from tiffin.operators.scd import scd2_current, scd2_history
 from tiffin.plans import analysis, dashboard, marts
 from tiffin.plans.dashboard import Filter
-from tiffin.plans.pipeline import DIM_SCHEMAS, enriched_orders
+from tiffin.plans.refresh import DIM_SCHEMAS, enriched_orders
 from tiffin.sources.raw import null_tokens
 from tiffin.sources.tables import append_table, empty, overwrite_table, read_table
 from tiffin.streaming.daily_city import ORDER_COLUMNS, daily_city_kpi_stream, read_daily_city_kpi
@@ -111,7 +111,12 @@ def streamed_city_days(s: SparkSession, d: str) -> DataFrame:
     for wave in ([0, 1], [2, 3, 0]):
         append_table(rows.filter(quarter.isin(wave)), f"{work}/landing")
         daily_city_kpi_stream(
-            s, f"{work}/landing", f"{work}/out", f"{work}/checkpoint", schema=rows.schema
+            s,
+            f"{work}/landing",
+            f"{work}/out",
+            f"{work}/checkpoint",
+            schema=rows.schema,
+            state_partitions=s.sparkContext.defaultParallelism,
         ).awaitTermination()
     return read_daily_city_kpi(s, f"{work}/out")
 
@@ -224,7 +229,9 @@ QUERIES: dict[str, Query] = {
     "dim_date": order_calendar,
     "scd2_customer": scd2_customers,
     "scd2_restaurant": scd2_restaurants,
-    "scd2_history": lambda s, d: scd2_history(scd2_customers(s, d), "customer_id", 15),
+    "scd2_history": lambda s, d: scd2_history(scd2_customers(s, d), "customer_id").select(
+        "customer_sk", "customer_id", "customer_name", "city", "segment", "effective_from", "effective_to", "is_current"
+    ),
     "scd3_restaurant_cuisine": scd3_cuisines,
     "scd1_delivery_agent": scd1_agents,
     "scd1_promotion": scd1_promotions,

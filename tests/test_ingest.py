@@ -3,6 +3,8 @@
 import json
 from pathlib import Path
 
+import pytest
+
 from tiffin.operators.staging import stg_customer_events, stg_promotion
 from tiffin.schemas import EVENTS, RAW_COLUMNS
 from tiffin.sources.raw import read_raw_csv, read_raw_events
@@ -36,6 +38,19 @@ def test_csv_quotes_null_tokens_and_short_lines(spark, work):
     assert staged[3].end_date is None
 
 
+def test_malformed_lines(spark, work):
+    put(f"{work}/promotion", "a.csv", PROMOTIONS + "1,P1,40,,,150,Loyal,Delhi\n2,P2\n3,P3,40,,,150,Loyal,Delhi,extra\n")
+    kept = read_raw_csv(spark, f"{work}/promotion", "promotion", rejects="bad_line").collect()
+    assert [(r.promo_id, r.promo_code, r.bad_line) for r in sorted(kept, key=lambda r: r.promo_id)] == [
+        ("1", "P1", None),
+        ("2", "P2", "2,P2"),
+        ("3", "P3", "3,P3,40,,,150,Loyal,Delhi,extra"),
+    ]
+    assert [r.promo_id for r in read_raw_csv(spark, f"{work}/promotion", "promotion", mode="DROPMALFORMED").collect()] == ["1"]
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_raw_csv(spark, f"{work}/promotion", "promotion", mode="FAILFAST").collect()
+
+
 def event(i, kind, **metadata):
     return json.dumps({"event_id": i, "customer_id": 7, "event_type": kind, "event_ts": "2024-01-01 10:00:00", "metadata": metadata})
 

@@ -1,6 +1,7 @@
 """What the physical plans must and must not contain."""
 
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from checks.registry import QUERIES, SOME_PLACES, order_rows, secure
 from tiffin.operators.access import apply_row_access
 from tiffin.operators.facts import fct_order_enhanced
 from tiffin.plans import analysis, dashboard, marts
+from tiffin.plans.refresh import by_month
+from tiffin.sources.tables import overwrite_table, read_table
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -83,6 +86,25 @@ def test_agent_join_comes_after_aggregation(spark):
     assert join < aggregate, tree  # the tree is printed from the result down
 
 
+def test_a_heavy_month_is_written_by_many_tasks(spark, conf, work):
+    """The month layout neither funnels a month through one task nor scatters each month over all tasks."""
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    conf("spark.sql.shuffle.partitions", "200")
+    ids = spark.range(0, 60_000, 1, 16)
+    heavy = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 30)
+    df = ids.select(
+        "id", F.add_months(F.lit("2024-01-15").cast("date"), heavy.cast("int")).alias("full_date"), F.sha2(F.col("id").cast("string"), 256).alias("t")
+    )
+    overwrite_table(by_month(df), f"{work}/t", partition_by=(dashboard.MONTH,))
+    files = [f.parent.name for f in Path(work).rglob("*.parquet")]
+    per_month = {m: files.count(m) for m in files}
+    heavy_files = per_month.pop(f"{dashboard.MONTH}=202401")
+    assert heavy_files > 4, per_month
+    assert len(per_month) == 20 and max(per_month.values()) < heavy_files
+    back = read_table(spark, f"{work}/t")
+    assert (back.count(), back.select("id").distinct().count()) == (60_000, 60_000)
+
+
 def test_a_hot_restaurant_is_split(spark, rows, conf):
     """A third of all orders at one restaurant, and a restaurant table too big to broadcast: the join splits the hot key."""
     for key, value in {

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from tiffin.plans.pipeline import Config, enriched_orders, refresh_all, table
+from tiffin.plans.refresh import Config, enriched_orders, refresh_all, run_step, table
 from tiffin.schemas import EVENTS, RAW_COLUMNS, raw_schema
 from tiffin.sources.raw import parse_events
 
@@ -101,6 +101,16 @@ def test_repeated_deliveries_are_reduced_on_request(spark, config):
     assert sorted((r.customer_id, r.city or "") for r in table(spark, cfg.root, "dim_customer").collect()) == [(1, "Noida"), (2, "")]
 
 
+def test_single_steps_are_logged_too(spark, work):
+    def broken():
+        raise RuntimeError("no such table")
+
+    assert run_step(spark, "good", lambda: None, f"{work}/log", T1) == "SUCCESS"
+    assert run_step(spark, "bad", broken, f"{work}/log", T2) == "ERROR"
+    log = sorted(tuple(r) for r in spark.read.parquet(f"{work}/log").collect())
+    assert log == [("bad", T2, "ERROR", "no such table"), ("good", T1, "SUCCESS", "good loaded")]
+
+
 def test_keys_left_out_are_reported(spark, config):
     cfg = config(restaurant=[*DATA["restaurant"], ("x", *DATA["restaurant"][0][1:])])
     refresh_all(spark, cfg, T1)

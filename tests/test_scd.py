@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tiffin import schemas
 from tiffin.operators import dims
 from tiffin.operators.scd import OPEN_END, latest_per_key, scd2_apply, scd2_current, scd2_history
-from tiffin.plans.pipeline import check_keys
+from tiffin.plans.refresh import check_keys
 from tiffin.sources.tables import empty
 
 T1, T2, T3 = datetime(2024, 6, 1), datetime(2024, 6, 2), datetime(2024, 6, 3)

@@ -59,4 +59,4 @@ def digits(name: str) -> Column:
 
 
 def token_to_null(name: str, tokens: Sequence[str] = NULL_TOKENS) -> Column:
-    return F.when(~F.col(name).isin(*tokens), F.col(name)).alias(name)
+    return F.when(~F.col(name).isin(list(tokens)), F.col(name)).alias(name)

@@ -19,6 +19,8 @@ OPEN_END = datetime(9999, 12, 31)
 # Surrogate keys are dealt out by this many independent counters, so no task ever numbers all new rows.
 SK_COUNTERS = 1_024
 
+KEPT, CLOSED, FRESH = 0, 1, 2
+
 
 def _ntz(ts: datetime) -> Column:
     return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
@@ -66,54 +68,52 @@ def scd2_apply(
     """
     types = {f.name: f.dataType for f in dim.schema.fields}
     attributes = [key, *tracked, *carried]
-    current = dim.filter("is_current").select(F.col(key).alias("_key"), F.struct(*dim.columns).alias("old"))
+    current = dim.filter("is_current").select(
+        F.col(key).alias("_key"), *[F.col(c).alias(f"old_{c}") for c in dim.columns], F.lit(True).alias("_stored")
+    )
     incoming = src.filter(F.col(key).isNotNull()).select(
-        F.col(key).cast(types[key]).alias("_key"), F.struct(*[F.col(c).cast(types[c]).alias(c) for c in attributes]).alias("new")
+        F.col(key).cast(types[key]).alias("_key"),
+        *[F.col(c).cast(types[c]).alias(f"new_{c}") for c in attributes],
+        F.lit(True).alias("_delivered"),
     )
 
-    def differs(c: str, default: object) -> Column:
-        return F.coalesce(F.col(f"old.{c}"), F.lit(default)) != F.coalesce(F.col(f"new.{c}"), F.lit(default))
-
-    changed = F.lit(False)
+    differs = F.lit(False)
     for c, default in tracked.items():
-        changed = changed | differs(c, default)
-
-    met = current.join(incoming, "_key", "full").withColumn(
-        "_changed", F.col("old").isNotNull() & F.col("new").isNotNull() & changed
+        differs = differs | (F.coalesce(f"old_{c}", F.lit(default)) != F.coalesce(f"new_{c}", F.lit(default)))
+    kinds = (
+        F.when(F.col("_stored").isNull(), F.array(F.lit(FRESH)))
+        .when(F.col("_delivered") & differs, F.array(F.lit(CLOSED), F.lit(FRESH)))
+        .otherwise(F.array(F.lit(KEPT)))
     )
+    met = current.join(incoming, "_key", "full").withColumn("_kind", F.explode(kinds))
 
+    fresh, closed = F.col("_kind") == FRESH, F.col("_kind") == CLOSED
     fresh_values = {
-        **{c: F.col(f"new.{c}") for c in attributes},
-        sk: F.lit(None),
+        **{c: F.col(f"new_{c}") for c in attributes},
         "effective_from": _ntz(now),
         "effective_to": _ntz(OPEN_END),
         "is_current": F.lit(True),
         "record_source": F.lit(source),
     }
-    kept_values = {
-        **{c: F.col(f"old.{c}") for c in dim.columns},
-        "effective_to": F.when(F.col("_changed"), _ntz(now)).otherwise(F.col("old.effective_to")),
-        "is_current": ~F.col("_changed"),
+    stored_values = {
+        **{c: F.col(f"old_{c}") for c in dim.columns},
+        "effective_to": F.when(closed, _ntz(now)).otherwise(F.col("old_effective_to")),
+        "is_current": ~closed,
     }
-
-    def row(values: Mapping[str, Column], is_new: bool) -> Column:
-        return F.struct(*[values[c].cast(types[c]).alias(c) for c in dim.columns], F.lit(is_new).alias("_new"))
-
-    kept, fresh = row(kept_values, False), row(fresh_values, True)
+    others = [c for c in dim.columns if c != sk]
     versions = met.select(
-        F.inline(
-            F.when(F.col("old").isNull(), F.array(fresh)).when(F.col("_changed"), F.array(kept, fresh)).otherwise(F.array(kept))
-        )
+        fresh.alias("_fresh"),
+        F.col(f"old_{sk}").alias(sk),
+        *[F.when(fresh, fresh_values[c]).otherwise(stored_values[c]).cast(types[c]).alias(c) for c in others],
     )
 
     counter = F.pmod(F.col(key) if types[key].typeName() == "long" else F.xxhash64(key), F.lit(counters).cast("bigint"))
-    turn = F.row_number().over(Window.partitionBy("_new", "_counter").orderBy(key)).cast("bigint")
+    turn = F.row_number().over(Window.partitionBy("_fresh", "_counter").orderBy(key)).cast("bigint")
     highest = dim.agg(F.coalesce(F.max(sk), F.lit(0)).cast("bigint")).scalar()
-    dealt = highest + 1 + F.col("_counter") + (F.col("_turn") - 1) * counters
     numbered = (
         versions.withColumn("_counter", counter)
         .withColumn("_turn", turn)
-        .withColumn(sk, F.when(F.col("_new"), dealt).otherwise(F.col(sk)))
+        .withColumn(sk, F.when(F.col("_fresh"), highest + 1 + F.col("_counter") + (F.col("_turn") - 1) * counters).otherwise(F.col(sk)))
     )
     return dim.filter("not is_current").unionByName(numbered.select(*dim.columns))
 
@@ -122,8 +122,10 @@ def scd2_current(dim: DataFrame) -> DataFrame:
     return dim.filter("is_current")
 
 
-def scd2_history(dim: DataFrame, key: str, value: object) -> DataFrame:
-    return dim.filter(F.col(key) == F.lit(value)).orderBy("effective_from", "effective_to")
+def scd2_history(dim: DataFrame, key: str, *values: object) -> DataFrame:
+    """All versions of the given keys, or of every key, oldest first."""
+    chosen = dim.filter(F.col(key).isin(list(values))) if values else dim
+    return chosen.orderBy(key, "effective_from", "effective_to")
 
 
 def scd3_apply(
@@ -143,27 +145,30 @@ def scd3_apply(
 
     Rows without a change, or without a source row, stay as they are; unseen keys are inserted with no previous value.
     """
-    s = src.filter(F.col(key).isNotNull()).select(
-        F.col(key), F.struct(*dict.fromkeys([source_col, *refresh, *insert])).alias("s"), F.lit(True).alias("in_src")
+    stored = dim.select(F.col(key).alias("_key"), *[F.col(c).alias(f"old_{c}") for c in dim.columns], F.lit(True).alias("_stored"))
+    incoming = src.filter(F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"),
+        *[F.col(c).alias(f"new_{c}") for c in dict.fromkeys([source_col, *refresh, *insert])],
+        F.lit(True).alias("_delivered"),
     )
-    d = dim.select(F.col(key), F.struct(*dim.columns).alias("d"), F.lit(True).alias("in_dim"))
-    unseen = F.col("in_dim").isNull()
+    unseen = F.col("_stored").isNull()
     changed = (
-        F.col("in_dim") & F.col("in_src") & (F.coalesce(F.col(f"d.{current_col}"), F.lit("")) != F.coalesce(F.col(f"s.{source_col}"), F.lit("")))
+        F.col("_stored")
+        & F.col("_delivered")
+        & (F.coalesce(f"old_{current_col}", F.lit("")) != F.coalesce(f"new_{source_col}", F.lit("")))
     )
 
     def next_value(c: str) -> Column:
-        old = F.col(f"d.{c}")
+        old = F.col(f"old_{c}")
         if c == key:
-            return F.col(key)
+            return F.col("_key")
         if c == current_col:
-            return F.when(unseen | changed, F.col(f"s.{source_col}")).otherwise(old)
+            return F.when(unseen | changed, F.col(f"new_{source_col}")).otherwise(old)
         if c == previous_col:
-            return F.when(changed, F.col(f"d.{current_col}")).otherwise(old)
+            return F.when(changed, F.col(f"old_{current_col}")).otherwise(old)
         if c == stamp_col:
             return F.when(unseen | changed, _ntz(now)).otherwise(old)
-        if c in refresh:
-            return F.when(unseen | changed, F.col(f"s.{c}")).otherwise(old)
-        return F.when(unseen, F.col(f"s.{c}")).otherwise(old)
+        return F.when(unseen | changed if c in refresh else unseen, F.col(f"new_{c}")).otherwise(old)
 
-    return d.join(s, key, "full").select(*[next_value(c).cast(dim.schema[c].dataType).alias(c) for c in dim.columns])
+    met = stored.join(incoming, "_key", "full")
+    return met.select(*[next_value(c).cast(dim.schema[c].dataType).alias(c) for c in dim.columns])

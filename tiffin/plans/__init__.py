@@ -1 +1 @@
-"""Enriched order row, KPI marts, analysis and dashboard queries, refresh pipeline."""
+"""Enriched order row, KPI marts, analysis and dashboard queries, ordered refresh."""

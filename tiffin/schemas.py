@@ -28,6 +28,7 @@ def raw_schema(table: str) -> StructType:
     return StructType([StructField(c, StringType()) for c in RAW_COLUMNS[table].split()])
 
 
+# The columns of the maintained tables.
 DIM_CUSTOMER = (
     "customer_sk bigint, customer_id bigint, customer_name string, email string, primary_phone string, city string,"
     " area string, segment string, is_prime_member boolean, status string, effective_from timestamp_ntz,"
@@ -52,7 +53,7 @@ DIM_PROMOTION = (
 ROLE_ACCESS = "role_name string, access_type string, city string, restaurant_id bigint"
 RUN_LOG = "proc_name string, run_ts timestamp_ntz, status string, message string"
 
-# The order row every mart reads.
+# The order row every mart reads.
 ENRICHED_COLUMNS = (
     "order_id order_date_key full_date total_amount order_subtotal order_discount delivery_fee net_food_amount discount_pct"
     " sla_breached platform_commission restaurant_payout end_to_end_min order_status payment_method promo_id is_delivered"

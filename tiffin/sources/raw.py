@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tiffin.functions.clean import NULL_TOKENS, token_to_null
 from tiffin.schemas import raw_schema
 
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "enforceSchema": "true", "mode": "PERMISSIVE"}
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "enforceSchema": "true"}
 
 
 def null_tokens(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
@@ -24,8 +24,19 @@ def parse_events(lines: DataFrame) -> DataFrame:
     return lines.select(F.try_parse_json("value").alias("event_raw"))
 
 
-def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    return null_tokens(spark.read.schema(raw_schema(table)).options(**CSV_OPTIONS).csv(path))
+def read_raw_csv(
+    spark: SparkSession, path: str, table: str, *, mode: str = "PERMISSIVE", rejects: str | None = None
+) -> DataFrame:
+    """A folder of CSV files. Lines with too few or too many fields are kept as far as they go.
+
+    ``mode`` FAILFAST refuses them and DROPMALFORMED leaves them out; ``rejects`` names a column that holds their text.
+    """
+    reader = spark.read.options(**CSV_OPTIONS).option("mode", mode)
+    schema = raw_schema(table)
+    if rejects is not None:
+        reader = reader.option("columnNameOfCorruptRecord", rejects)
+        schema = schema.add(rejects, "string")
+    return null_tokens(reader.schema(schema).csv(path))
 
 
 def read_raw_events(spark: SparkSession, path: str) -> DataFrame:

@@ -6,7 +6,7 @@ overwritten while it is read, a failed write leaves the old version in place, an
     <table>/data/<version>/...            parquet files
     <table>/published/<millis>.<version>  marker; the highest one not after the asked time is the version to read
 
-One writer per table at a time is assumed: the refresh pipeline.
+One writer per table at a time is assumed: the refresh.
 """
 
 from __future__ import annotations

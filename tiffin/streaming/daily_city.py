@@ -30,6 +30,9 @@ SUMS_SCHEMA = (
 SUMS = [c.split()[0] for c in SUMS_SCHEMA.split(", ")][len(CITY_DAY) :]
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def daily_city_kpi_stream(
     spark: SparkSession,
     path: str,
@@ -39,9 +42,17 @@ def daily_city_kpi_stream(
     schema: StructType,
     interval: str | None = None,
     max_files: int | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Follow a folder of enriched order rows. Without an interval it takes in what is there and stops."""
-    reader = spark.readStream.schema(schema)
+    """Follow a folder of enriched order rows. Without an interval it takes in what is there and stops.
+
+    The ids seen are kept for good, as orders have no lateness limit, so the state lives in RocksDB and not on the heap.
+    It is spread over ``state_partitions``, or the session's shuffle partitions, a number the checkpoint then fixes.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    own.conf.set("spark.sql.shuffle.partitions", state_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
+    reader = own.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     orders = reader.parquet(path).select(*ORDER_COLUMNS).dropDuplicates(["order_id"])
