@@ -15,6 +15,7 @@ from tiffin.operators.edit import update_where
 from tiffin.plans.refresh import Config, refresh_all, table
 from tiffin.session import shared_folder
 from tiffin.sources.raw import null_tokens, parse_events
+from tiffin.sources.tables import from_rows
 
 FIRST_RUN = datetime(2024, 6, 1)
 SECOND_RUN = datetime(2024, 6, 2)
@@ -87,7 +88,7 @@ def deliveries(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame,
 
 
 def role_access(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(ROLES, schemas.ROLE_ACCESS)
+    return from_rows(spark, ROLES, schemas.ROLE_ACCESS)
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> str:

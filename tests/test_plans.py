@@ -42,7 +42,7 @@ def conf(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_all_pairs_joins(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))
-    for operator in ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "BroadcastNestedLoopJoin", "CartesianProduct"):
+    for operator in ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "BroadcastNestedLoopJoin", "CartesianProduct", "ExistingRDD"):
         assert operator not in text
 
 

@@ -18,7 +18,7 @@ from tiffin.operators.scd import latest_per_key
 from tiffin.plans.dashboard import MONTH
 from tiffin.plans.enriched import order_enriched
 from tiffin.schemas import RUN_LOG
-from tiffin.sources.tables import append_table, overwrite_table, read_table
+from tiffin.sources.tables import append_table, from_rows, overwrite_table, read_table
 
 
 @dataclass(frozen=True)
@@ -83,7 +83,7 @@ def attempt(name: str, step: Callable[[], object], run_ts: datetime) -> LogRow:
 
 
 def log_runs(spark: SparkSession, rows: Sequence[LogRow], log_path: str) -> None:
-    append_table(spark.createDataFrame(rows, RUN_LOG).coalesce(1), log_path)
+    append_table(from_rows(spark, rows, RUN_LOG).coalesce(1), log_path)
 
 
 def run_step(spark: SparkSession, name: str, step: Callable[[], object], log_path: str, run_ts: datetime) -> str:

@@ -15,8 +15,10 @@ import time
 import uuid
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 
@@ -88,6 +90,15 @@ def _open(spark: SparkSession, path: str, version: str) -> DataFrame:
     return held[1]
 
 
+def from_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A handful of rows. Handed over as Arrow they become a local relation, which needs no Python workers."""
+    columns = StructType.fromDDL(schema)
+    data = pa.table(
+        {f.name: pa.array([r[i] for r in rows], to_arrow_type(f.dataType)) for i, f in enumerate(columns.fields)}
+    )
+    return spark.createDataFrame(data, columns)
+
+
 def empty(spark: SparkSession, schema: str) -> DataFrame:
     """No rows. Written as a query, which the optimizer sees to be empty, unlike an empty RDD."""
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schema).fields]
