@@ -1,10 +1,13 @@
 """Refresh of a small warehouse: order of steps, log, errors, change of a dimension between runs, late facts."""
 
+from dataclasses import replace
 from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
+from tiffin.plans.marts import daily_city_kpi
 from tiffin.plans.refresh import Config, enriched_orders, refresh_all, run_step, table
 from tiffin.schemas import EVENTS, RAW_COLUMNS, raw_schema
 from tiffin.sources.raw import parse_events
@@ -96,9 +99,51 @@ def test_an_error_is_logged_and_the_other_steps_run(spark, config):
 
 def test_repeated_deliveries_are_reduced_on_request(spark, config):
     again = DATA["customer"][0][:4] + ("2023-05-05", "Noida") + DATA["customer"][0][6:]
-    cfg = config(customer=[*DATA["customer"], again], latest_by={"dim_customer": ["registered_at"]})
+    trip = DATA["delivery_trip"][0]
+    late = trip[:4] + ("2024-01-01 11:00:00",) + trip[5:]
+    cfg = config(
+        customer=[*DATA["customer"], again],
+        delivery_trip=[trip, late],
+        latest_by={"customer": ["registered_at"], "delivery_trip": ["drop_time"]},
+    )
     assert refresh_all(spark, cfg, T1)["dim_customer"] == "SUCCESS"
     assert sorted((r.customer_id, r.city or "") for r in table(spark, cfg.root, "dim_customer").collect()) == [(1, "Noida"), (2, "")]
+    assert [r.drop_time for r in table(spark, cfg.root, "fct_delivery").collect()] == [datetime(2024, 1, 1, 11)]
+    assert table(spark, cfg.root, "fct_order_secure").count() == 3
+
+
+def test_the_last_ingested_row_wins(spark, config):
+    """The ingest time is no staged column; keys are compared as numbers all the same."""
+    cfg = config(customer=[*DATA["customer"], (" 1 ", *DATA["customer"][0][1:5], "Noida", *DATA["customer"][0][6:])])
+    seen = F.when(F.col("city") == "Noida", 2).otherwise(1)
+    cfg = replace(cfg, raw={**cfg.raw, "customer": cfg.raw["customer"].withColumn("_ingest_ts", seen)}, latest_by={"customer": ["_ingest_ts"]})
+    assert refresh_all(spark, cfg, T1)["dim_customer"] == "SUCCESS"
+    assert sorted((r.customer_id, r.city or "") for r in table(spark, cfg.root, "dim_customer").collect()) == [(1, "Noida"), (2, "")]
+
+
+def test_a_second_trip_repeats_the_order_unless_reduced(spark, config):
+    """Nothing makes trips unique by itself: the order appears once per trip in the fact, and again per trip when enriched."""
+    cfg = config(delivery_trip=DATA["delivery_trip"] * 2)
+    refresh_all(spark, cfg, T1)
+    assert table(spark, cfg.root, "fct_order_enhanced").filter("order_id = 100").count() == 2
+    assert table(spark, cfg.root, "fct_order_secure").filter("order_id = 100").count() == 4
+
+
+def test_new_orders_show_up_in_the_daily_city_table(spark, config):
+    """Ten orders land after the first load; a refresh of the facts brings them into the marts."""
+    refresh_all(spark, config(), T1)
+    ten = [
+        (f"900000{i}", "1", "10", "2024-06-02 12:00:00", "DELIVERED", "UPI", "", "500.00", "50.00", "30.00", "480.00",
+         "2024-06-02 12:40:00", "2024-06-02 12:45:00", "")
+        for i in range(10)
+    ]
+    cfg = config(order_header=[*DATA["order_header"], *ten])
+    refresh_all(spark, cfg, T2)
+    today = daily_city_kpi(table(spark, cfg.root, "fct_order_secure")).filter("full_date = '2024-06-02'").collect()
+    assert [(r.customer_city, r.restaurant_city, r.total_orders, r.gmv, r.avg_rating) for r in today] == [
+        ("Delhi", "Pune", 10, Decimal("4800.00"), None)
+    ]
+    assert (today[0].delivered_orders, today[0].avg_sla_breach_rate) == (10, None)  # no trips yet
 
 
 def test_single_steps_are_logged_too(spark, work):
@@ -120,8 +165,6 @@ def test_keys_left_out_are_reported(spark, config):
 
 
 def test_money_without_decimals(spark, config, work):
-    from dataclasses import replace
-
     cfg = replace(config(), root=f"{work}/whole", money_scale=0)
     refresh_all(spark, cfg, T1)
     assert table(spark, cfg.root, "fct_order_enhanced").filter("order_id = 102").first().total_amount == Decimal("100.00")

@@ -27,13 +27,15 @@ def _ntz(ts: datetime) -> Column:
 
 
 def latest_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
-    """The last delivered row of each key.
+    """The last delivered row of each key; rows without a key are all kept.
 
     A max over structs instead of a window: re-delivered copies of a hot key are reduced before the shuffle.
     """
     rest = [c for c in df.columns if c != key and c not in order_by]
     newest = F.max(F.struct(*order_by, *rest)).alias("newest")
-    return df.groupBy(key).agg(newest).select(*[F.col(key) if c == key else F.col(f"newest.{c}") for c in df.columns])
+    keyed = df.filter(F.col(key).isNotNull()).groupBy(key).agg(newest)
+    last = keyed.select(*[F.col(key) if c == key else F.col(f"newest.{c}") for c in df.columns])
+    return last.unionByName(df.filter(F.col(key).isNull()))
 
 
 def scd1_upsert(dim: DataFrame, src: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:

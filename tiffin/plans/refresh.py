@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiffin import schemas
+from tiffin.functions.clean import to_int
 from tiffin.operators import dims, facts, staging
 from tiffin.operators.calendar import dim_date
 from tiffin.operators.scd import latest_per_key
@@ -25,8 +26,9 @@ from tiffin.sources.tables import append_table, from_rows, overwrite_table, read
 class Config:
     """Where the warehouse lives, and the raw tables by name (all-text; events as one VARIANT column).
 
-    ``latest_by`` names, per dimension, the staged columns that order repeated deliveries of a key; the last one is kept.
-    Without it a repeated key fails the step.
+    Raw tables only grow, so a key may have been delivered again. ``latest_by`` names, per raw table, the columns that
+    order its deliveries, such as the ingest time; the last one is kept. Without it, a repeated key fails a dimension
+    and is kept in a fact.
     """
 
     root: str
@@ -110,13 +112,39 @@ def check_keys(src: DataFrame, key: str) -> str:
     return f"{found.without_key} source rows without {key} left out"
 
 
+# Raw tables behind the refresh: staging step and key.
+SOURCES: dict[str, tuple[Callable[..., DataFrame], str]] = {
+    "customer": (staging.stg_customer, "customer_id"),
+    "restaurant": (staging.stg_restaurant, "restaurant_id"),
+    "delivery_agent": (staging.stg_delivery_agent, "agent_id"),
+    "promotion": (staging.stg_promotion, "promo_id"),
+    "order_header": (staging.stg_order_header, "order_id"),
+    "delivery_trip": (staging.stg_delivery_trip, "trip_id"),
+    "customer_feedback": (staging.stg_feedback, "feedback_id"),
+    schemas.EVENTS: (staging.stg_customer_events, "event_id"),
+}
+WITH_MONEY = {"promotion", "order_header"}
+
+
+def staged(cfg: Config, name: str) -> DataFrame:
+    (stage, key), raw, order_by = SOURCES[name], cfg.raw[name], cfg.latest_by.get(name)
+
+    def typed(rows: DataFrame) -> DataFrame:
+        return stage(rows, cfg.money_scale) if name in WITH_MONEY else stage(rows)
+
+    if not order_by:
+        return typed(raw)
+    if set(order_by) <= set(typed(raw).columns):
+        return latest_per_key(typed(raw), key, order_by)
+    return typed(latest_per_key(raw.withColumn("_key", to_int(key)), "_key", order_by).drop("_key"))
+
+
 def refresh_all(spark: SparkSession, cfg: Config, as_of: datetime) -> dict[str, str]:
     """Refresh every table once: dimensions, then facts, then the secure order table. Returns the status of each step.
 
     Steps of one stage do not depend on each other and are submitted together, so that the tail of one does not leave
     the cluster idle. The clock is an argument: both halves of a version change carry the same time.
     """
-    raw = cfg.raw
 
     def stored(name: str) -> DataFrame:
         return table(spark, cfg.root, name)
@@ -124,44 +152,33 @@ def refresh_all(spark: SparkSession, cfg: Config, as_of: datetime) -> dict[str,
     def save(name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
         overwrite_table(df, cfg.path(name), partition_by=partition_by)
 
-    def dimension(name: str, src: DataFrame, key: str, advance: Callable[..., DataFrame], *args: object) -> Callable[[], str]:
-        if name in cfg.latest_by:
-            src = latest_per_key(src, key, cfg.latest_by[name])
-
+    def dimension(name: str, source: str, advance: Callable[..., DataFrame], *args: object) -> Callable[[], str]:
         def step() -> str:
-            note = check_keys(src, key)
+            src = staged(cfg, source)
+            note = check_keys(src, SOURCES[source][1])
             save(name, advance(stored(name), src, *args))
             return note
 
         return step
 
-    customers = staging.stg_customer(raw["customer"])
-    restaurants = staging.stg_restaurant(raw["restaurant"])
-    agents = staging.stg_delivery_agent(raw["delivery_agent"])
-    promotions = staging.stg_promotion(raw["promotion"], cfg.money_scale)
-    orders = staging.stg_order_header(raw["order_header"], cfg.money_scale)
-    trips = staging.stg_delivery_trip(raw["delivery_trip"])
-    feedback = staging.stg_feedback(raw["customer_feedback"])
-    events = staging.stg_customer_events(raw[schemas.EVENTS])
+    def order_fact() -> DataFrame:
+        orders, trips, restaurants = (staged(cfg, n) for n in ("order_header", "delivery_trip", "restaurant"))
+        return facts.fct_order_enhanced(orders, stored("dim_date"), trips, restaurants)
 
     stages: list[dict[str, Callable[[], object]]] = [
         {
             "dim_date": lambda: save("dim_date", dim_date(spark, cfg.calendar_start, cfg.calendar_end)),
-            "dim_customer": dimension("dim_customer", customers, "customer_id", dims.next_customers, as_of),
-            "dim_restaurant": dimension("dim_restaurant", restaurants, "restaurant_id", dims.next_restaurants, as_of),
-            "dim_restaurant_scd3": dimension(
-                "dim_restaurant_scd3", restaurants, "restaurant_id", dims.next_restaurant_cuisines, as_of
-            ),
-            "dim_delivery_agent": dimension("dim_delivery_agent", agents, "agent_id", dims.next_agents),
-            "dim_promotion": dimension("dim_promotion", promotions, "promo_id", dims.next_promotions),
+            "dim_customer": dimension("dim_customer", "customer", dims.next_customers, as_of),
+            "dim_restaurant": dimension("dim_restaurant", "restaurant", dims.next_restaurants, as_of),
+            "dim_restaurant_scd3": dimension("dim_restaurant_scd3", "restaurant", dims.next_restaurant_cuisines, as_of),
+            "dim_delivery_agent": dimension("dim_delivery_agent", "delivery_agent", dims.next_agents),
+            "dim_promotion": dimension("dim_promotion", "promotion", dims.next_promotions),
         },
         {
-            "fct_order_enhanced": lambda: save(
-                "fct_order_enhanced", facts.fct_order_enhanced(orders, stored("dim_date"), trips, restaurants)
-            ),
-            "fct_delivery": lambda: save("fct_delivery", facts.fct_delivery(trips)),
-            "fct_feedback": lambda: save("fct_feedback", facts.fct_feedback(feedback)),
-            "fct_customer_event": lambda: save("fct_customer_event", facts.fct_customer_event(events)),
+            "fct_order_enhanced": lambda: save("fct_order_enhanced", order_fact()),
+            "fct_delivery": lambda: save("fct_delivery", facts.fct_delivery(staged(cfg, "delivery_trip"))),
+            "fct_feedback": lambda: save("fct_feedback", facts.fct_feedback(staged(cfg, "customer_feedback"))),
+            "fct_customer_event": lambda: save("fct_customer_event", facts.fct_customer_event(staged(cfg, schemas.EVENTS))),
         },
         {
             "fct_order_secure": lambda: save(

@@ -60,7 +60,9 @@ def overwrite_table(
     """Write a full new version and make it current. ``df`` may read the table itself. Returns the publish time."""
     spark, version = df.sparkSession, uuid.uuid4().hex
     df.write.partitionBy(*partition_by).parquet(f"{path}/data/{version}")
-    return _publish(spark, path, version, at_millis)
+    millis = _publish(spark, path, version, at_millis)
+    _open(spark, path, version, df.schema)
+    return millis
 
 
 def append_table(df: DataFrame, path: str) -> None:
@@ -81,12 +83,13 @@ def read_table(spark: SparkSession, path: str, as_of_millis: int | None = None,
 _opened: dict[tuple[str, str], tuple[str, DataFrame]] = {}
 
 
-def _open(spark: SparkSession, path: str, version: str) -> DataFrame:
-    """A version never changes, so the file listing of the last one opened per table is kept."""
+def _open(spark: SparkSession, path: str, version: str, schema: StructType | None = None) -> DataFrame:
+    """A version never changes, so the schema and file listing of the last one opened per table are kept."""
     key = (spark.sparkContext.applicationId, path)
     held = _opened.get(key)
     if held is None or held[0] != version or held[1].sparkSession is not spark:
-        held = _opened[key] = (version, spark.read.parquet(f"{path}/data/{version}"))
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        held = _opened[key] = (version, reader.parquet(f"{path}/data/{version}"))
     return held[1]
 
 
