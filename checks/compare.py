@@ -10,7 +10,7 @@ import time
 from pathlib import Path
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame
 
 from checks.oracle import oracle_sql
 from checks.registry import queries
@@ -30,9 +30,8 @@ def _sorted(rows: list[tuple], order: list[int]) -> list[tuple]:
     return sorted(picked, key=lambda r: tuple((v is not None, 0 if v is None else v) for v in r))
 
 
-def difference(spark: SparkSession, con: duckdb.DuckDBPyConnection, name: str, sf_dir: str) -> str | None:
+def difference(df: DataFrame, con: duckdb.DuckDBPyConnection, name: str) -> str | None:
     """None when names, types and all values agree; otherwise what differs first."""
-    df = queries()[name](spark, sf_dir)
     result = con.execute(oracle_sql()[name])
     types = {c[0]: str(c[1]) for c in result.description}
     theirs = result.fetchall()
@@ -61,7 +60,7 @@ def main() -> int:
     con, bad = connect(sf_dir), 0
     for name in names:
         start = time.perf_counter()
-        found = difference(spark, con, name, sf_dir)
+        found = difference(queries()[name](spark, sf_dir), con, name)
         bad += found is not None
         print(f"{'ok ' if found is None else 'BAD'} {name} {time.perf_counter() - start:.2f}s {found or ''}", flush=True)
     print(f"{len(names) - bad} of {len(names)} agree")

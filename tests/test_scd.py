@@ -176,7 +176,7 @@ def test_repeated_keys_fail_loudly(rows):
 deliveries = st.lists(st.dictionaries(st.integers(0, 6), st.sampled_from(["A", "B", None]), max_size=5), min_size=1, max_size=4)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(deliveries)
 def test_type2_against_a_plain_model(spark, people, batches):
     """Versions per key are contiguous, exactly one is current, and the values follow the deliveries."""
