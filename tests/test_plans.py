@@ -11,6 +11,7 @@ from checks.registry import SOME_PLACES, order_rows, secure
 from tiffin.operators.access import apply_row_access
 from tiffin.operators.facts import fct_order_enhanced
 from tiffin.plans import analysis, dashboard, marts
+from tiffin.plans.enriched import order_enriched
 from tiffin.plans.refresh import by_month
 from tiffin.sources.tables import overwrite_table, read_table
 
@@ -79,6 +80,24 @@ def test_agent_join_comes_after_aggregation(spark):
     assert join < aggregate, tree  # the tree is printed from the result down
 
 
+def test_orders_without_an_id_bypass_the_joins_on_it(spark, conf):
+    """A third of the orders has no id. All are kept, and none of them is shuffled by the id they lack."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    orders = stored(spark, SF_DIR, "fct_order_enhanced")
+    nameless = orders.withColumn("order_id", F.when(F.col("order_id") % 3 > 0, F.col("order_id")))
+    others = [stored(spark, SF_DIR, n) for n in ("dim_date", "dim_customer", "dim_restaurant", "fct_delivery", "fct_feedback")]
+    got = order_enriched(nameless, *others)
+    assert got.count() == orders.count()
+    want = order_rows(spark, SF_DIR).filter("order_id % 3 > 0")
+    assert sorted(map(tuple, got.filter("order_id is not null").collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    lost = got.filter("order_id is null")
+    assert lost.filter("rating is not null or sla_breach_flag is not null").count() == 0
+    assert lost.filter("restaurant_city is not null").count() > 0
+    simple = got._jdf.queryExecution().executedPlan().toString().splitlines()
+    left = next(i for i, line in enumerate(simple) if "hashpartitioning(order_id" in line)
+    assert any("isnotnull(CASE" in line or "isnotnull(order_id" in line for line in simple[left : left + 4])
+
+
 def test_a_heavy_month_is_written_by_many_tasks(spark, conf, work):
     """The month layout neither funnels a month through one task nor scatters each month over all tasks."""
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")

@@ -67,6 +67,13 @@ def test_restart_takes_only_new_files(orders, follow, work):
     assert follow() == same(daily_city_kpi(orders))
 
 
+def test_orders_without_an_id_all_count(orders, follow, work):
+    nameless = orders.withColumn("order_id", F.when(F.col("order_id") % 3 > 0, F.col("order_id")))
+    append_table(nameless.filter("order_id < 100 or order_id is null"), f"{work}/in")
+    append_table(nameless.filter("order_id is not null"), f"{work}/in")
+    assert follow(max_files=4) == same(daily_city_kpi(nameless))
+
+
 def test_a_replayed_batch_counts_once(spark, orders, work):
     for _ in range(2):
         _write_part(city_day_sums(orders.filter("order_id < 200")), f"{work}/out", 0)

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # A hot customer or restaurant is split across tasks in the lookup joins.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Also where the split costs a later join on the same key its ready-made partitioning.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Recording a stack trace for every column expression costs more than planning most of the queries here.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",

@@ -6,7 +6,7 @@ part folder, overwritten whole when a batch is replayed. Reading adds the parts
     <out>/parts/part_id=<batch>/       sums of one micro-batch, or of one correction
     <out>/base/upto=<batch>/           all parts up to a batch, added up by ``compact``
 
-Orders delivered twice are dropped by id in the state store. A trip or a rating that arrives after its order changes
+Orders delivered twice are dropped by id in the state store; an order without an id counts wherever it stands. A trip or a rating that arrives after its order changes
 figures already added; ``correct_keys`` recomputes the touched keys and adds the difference as a part of its own.
 """
 
@@ -55,7 +55,9 @@ def daily_city_kpi_stream(
     reader = own.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    orders = reader.parquet(path).select(*ORDER_COLUMNS).dropDuplicates(["order_id"])
+    place = F.concat_ws(":", "_metadata.file_path", "_metadata.row_index")
+    no_id = F.when(F.col("order_id").isNull(), place).alias("_place")
+    orders = reader.parquet(path).select(*ORDER_COLUMNS, no_id).dropDuplicates(["order_id", "_place"])
 
     def add_part(batch: DataFrame, batch_id: int) -> None:
         _write_part(city_day_sums(batch), out, batch_id)
