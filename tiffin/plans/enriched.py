@@ -15,9 +15,10 @@ def order_enriched(
     """Five left joins, so every order stays. Customer and restaurant ids come from the dimensions: NULL when unmatched.
 
     Trips and feedback are order-sized and joined first, back to back, on one partitioning by order. Adaptive execution
-    does not split a join that feeds another on the same key, so orders without an id, which match nothing, bypass both;
-    where a file has none, its statistics keep it from being read for them. The calendar is broadcast, being bounded by its builder. Customers and restaurants are broadcast while small, otherwise shuffled,
-    where adaptive execution splits a hot key.
+    need not split a join that feeds another on the same key, so orders without an id, which match nothing, bypass both;
+    where a file has none, its statistics keep it from being read for them. The calendar is broadcast, being bounded by
+    its builder. Customers and restaurants are broadcast while small, otherwise shuffled, where adaptive execution splits
+    a hot key.
     """
     trip = trips.select("order_id", "distance_km", "sla_breach_flag")
     rating = feedback.select("order_id", "rating", "sentiment_score")

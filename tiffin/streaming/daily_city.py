@@ -6,8 +6,9 @@ part folder, overwritten whole when a batch is replayed. Reading adds the parts
     <out>/parts/part_id=<batch>/       sums of one micro-batch, or of one correction
     <out>/base/upto=<batch>/           all parts up to a batch, added up by ``compact``
 
-Orders delivered twice are dropped by id in the state store; an order without an id counts wherever it stands. A trip or a rating that arrives after its order changes
-figures already added; ``correct_keys`` recomputes the touched keys and adds the difference as a part of its own.
+Orders delivered twice are dropped by id in the state store; an order without an id counts wherever it stands. A trip
+or a rating that arrives after its order changes figures already added; ``correct_keys`` recomputes the touched keys and
+adds the difference as a part of its own.
 """
 
 from __future__ import annotations
