@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as driver
+from checks import oracle, registry
 from checks.compare import connect, difference
 
 # No Python workers, no all-pairs joins.
@@ -26,10 +27,10 @@ def duck():
 
 
 def test_every_query_has_a_statement():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert registry.queries().keys() == oracle.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_matches_duckdb(spark, duck, name):
     df = driver.queries()[name](spark, SF_DIR)
     assert difference(df, duck, name) is None
