@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import bpe, langid
+from tiffin.llm import bpe, langid, simhash, warc
+from tiffin.llm.store import stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,22 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = simhash.compare_edits(_table(spark, sf_dir, "documents"))
+    done = stored(done.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)).drop("edited"), "fingerprints")
+    near = simhash.within_radius(done, radius=3)
+    return done.join(near, "fingerprint").select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_near"
+    )
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write(_table(spark, sf_dir, "pages"))
+    return warc.read(spark, manifest).select(
+        F.col("row_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "url"
+    )
+
+
 def held_out(doc_id: str = "doc_id") -> F.Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
@@ -45,6 +62,8 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
+    "op5_fingerprints": op5_fingerprints,
+    "op7_warc": op7_warc,
     "op10_langid": op10_langid,
 }
 SQL: dict[str, str] = {}

@@ -13,6 +13,8 @@ import pyarrow as pa
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 9, 10, 11, 12, 13]] = True
+#: For comparing prose: every ASCII character other than a letter or a digit separates words.
+PLAIN = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -48,10 +50,11 @@ def _offsets(column: pa.Array) -> np.ndarray:
 class Words:
     """The words of a slice of texts: byte ranges, hashes, and where each text's words begin.
 
-    ``first[i] : first[i + 1]`` are the words of text i; ``data[start[j] : end[j]]`` are the bytes of word j.
+    ``first[i] : first[i + 1]`` are the words of text i; ``data[start[j] : end[j]]`` are the bytes of word j. ``blank`` marks the bytes
+    that separate words; ``lower`` lower-cases A-Z.
     """
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, blank: np.ndarray = _BLANK):
         offsets = _offsets(column).astype(np.int64)
         if len(column) and column.buffers()[2] is not None:
             data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
@@ -59,7 +62,7 @@ class Words:
             data = np.zeros(0, np.uint8)
         offsets -= offsets[0] if len(offsets) else 0
         self.data, self.offsets = _LOWER[data] if lower else data, offsets
-        solid = ~_BLANK[data]
+        solid = ~blank[data]
         opens = solid.copy()
         opens[1:] &= ~solid[:-1]
         heads = offsets[:-1][offsets[:-1] < len(data)]
