@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import bpe, langid, simhash, warc
+from tiffin.llm import bpe, decontaminate, langid, simhash, warc
 from tiffin.llm.store import stored
 
 
@@ -49,6 +49,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def held_out(doc_id: str = "doc_id") -> F.Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op5_fingerprints": op5_fingerprints,
     "op7_warc": op7_warc,
+    "op9_decontaminate": op9_decontaminate,
     "op10_langid": op10_langid,
 }
 SQL: dict[str, str] = {}
