@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import bpe, decontaminate, langid, simhash, warc
+from tiffin.llm import bpe, decontaminate, langid, simhash, url_filter, warc
 from tiffin.llm.store import stored
 
 
@@ -33,6 +33,71 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The rules of the url query.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.filter_urls(_table(spark, sf_dir, "pages"), url_filter.rule_table(spark, URL_RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+_REFERENCE = r"""
+    SELECT url, regexp_extract(html, '(?is)(<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>)', 1) AS tag, 'href' AS kind FROM pages
+    UNION ALL
+    SELECT url, regexp_extract(html, '(?is)(<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>)', 1), 'url' FROM pages
+"""
+_URL_SQL = r"""
+WITH RECURSIVE
+rules(action, host, path) AS (VALUES $rules),
+seen AS ($reference),
+aimed AS (
+    SELECT url, replace(regexp_extract(tag, '(?is)(?:href|url)\s*=\s*["'']?([^"''>\s]*)', 1), '&amp;', '&') AS target FROM seen WHERE tag <> ''
+),
+named AS (
+    SELECT url AS f, CASE WHEN contains(target, '://') THEN target
+                          WHEN starts_with(target, '/') THEN 'x://' || regexp_extract(url, '^.*?://([^/?#]*)', 1) || target END AS t
+    FROM aimed WHERE contains(url, '://')
+),
+urls AS (SELECT url AS u FROM pages UNION SELECT f FROM named UNION SELECT t FROM named WHERE t IS NOT NULL),
+cut AS (
+    SELECT u, CASE WHEN contains(u, '://') THEN u[strpos(u, '://') + 3:] END AS rest FROM urls
+),
+split AS (
+    SELECT u, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+           coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path, coalesce(regexp_extract(rest, '^[^?#]*(\?[^#]*)', 1), '') AS query
+    FROM cut
+),
+ruled AS (
+    SELECT s.u, s.host, s.path, CASE WHEN s.host <> '' THEN s.host || CASE WHEN s.path = '' THEN '/' ELSE s.path END || s.query END AS node,
+           (SELECT r.host || r.path FROM rules r WHERE (s.host = r.host OR ends_with(s.host, '.' || r.host)) AND starts_with(s.path, r.path)
+            ORDER BY length(r.host || r.path) DESC, r.action LIMIT 1) AS rule,
+           (SELECT r.action FROM rules r WHERE (s.host = r.host OR ends_with(s.host, '.' || r.host)) AND starts_with(s.path, r.path)
+            ORDER BY length(r.host || r.path) DESC, r.action LIMIT 1) AS action
+    FROM split s
+),
+edges AS (
+    SELECT a.node AS x, b.node AS y FROM named n JOIN ruled a ON a.u = n.f JOIN ruled b ON b.u = n.t WHERE a.node IS NOT NULL AND b.node IS NOT NULL
+),
+ties AS (SELECT x, y FROM edges UNION SELECT y, x FROM edges),
+reach(x, y) AS (SELECT x, x FROM ties UNION SELECT r.x, t.y FROM reach r JOIN ties t ON t.x = r.y),
+carried AS (SELECT r.x, min(n.action) AS action FROM reach r JOIN ruled n ON n.node = r.y WHERE n.action IS NOT NULL GROUP BY r.x)
+SELECT p.page_id, coalesce(r.host, '') AS host, coalesce(r.path, '') AS path, r.rule, coalesce(r.action, c.action, 'allow') AS verdict
+FROM pages p LEFT JOIN ruled r ON r.u = p.url LEFT JOIN carried c ON c.x = r.node
+"""
+
+
+def _url_sql() -> str:
+    rules = ", ".join(f"('{a}', '{h}', '{p}')" for a, h, p in URL_RULES)
+    return _URL_SQL.replace("$rules", rules).replace("$reference", _REFERENCE)
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = simhash.compare_edits(_table(spark, sf_dir, "documents"))
     done = stored(done.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)).drop("edited"), "fingerprints")
@@ -66,9 +131,10 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
+    "op4_url_filter": op4_url_filter,
     "op5_fingerprints": op5_fingerprints,
     "op7_warc": op7_warc,
     "op9_decontaminate": op9_decontaminate,
     "op10_langid": op10_langid,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_url_filter": _url_sql()}
