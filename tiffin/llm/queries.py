@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import bpe, decontaminate, langid, simhash, url_filter, warc
+from tiffin.llm import bpe, decontaminate, langid, pii, simhash, url_filter, warc
 from tiffin.llm.store import stored
 
 
@@ -107,6 +107,24 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = pii.find_personal_data(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def joined(spans: str) -> F.Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> F.Column:
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return done.select(
+        "doc_id",
+        *map(count, pii.KINDS),
+        F.sha2(joined("base_spans").cast("binary"), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+        (F.size("spans") - F.size("base_spans")).cast("long").alias("n_added"),
+    )
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write(_table(spark, sf_dir, "pages"))
     return warc.read(spark, manifest).select(
@@ -133,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op4_url_filter": op4_url_filter,
     "op5_fingerprints": op5_fingerprints,
+    "op6_pii": op6_pii,
     "op7_warc": op7_warc,
     "op9_decontaminate": op9_decontaminate,
     "op10_langid": op10_langid,
