@@ -10,6 +10,7 @@ columns pass through; columns named like the outputs are replaced.
 
 from __future__ import annotations
 
+import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -19,8 +20,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-#: Words whose ids a worker keeps at once; beyond it the store is emptied and fills anew.
-CACHED_WORDS = 200_000
+#: Tokens between white space whose ids a worker keeps in each of two generations.
+CACHED_WORDS = 150_000
+#: Fragments of more bytes than this are merged one by one.
+LONG_FRAGMENT = 64
 
 
 def byte_letters() -> list[str]:
@@ -38,7 +41,6 @@ class Vocabulary:
         self.ids: dict[str, int] = model["vocab"]
         self.suffix: str = model["end_of_word_suffix"] or ""
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.ranks = {p: i for i, p in enumerate(pairs)}
         special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.special = special
         self.tokens = {i: t for t, i in (self.ids | special).items()}
@@ -47,94 +49,171 @@ class Vocabulary:
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.word = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
         self.blanks = regex.compile(r"\p{White_Space}+")
-        self.letters = byte_letters()
-        self.joined = self._joined()
-
-    def _joined(self) -> set[str]:
-        """The pairs of byte letters that stand side by side in some token."""
-        bare = (t.removesuffix(self.suffix) for t in self.ids)
-        return {t[i : i + 2] for t in bare for i in range(len(t) - 1)}
-
-    def words(self, text: str) -> list[str]:
-        """Normalised words of a text without special tokens."""
-        text = self.blanks.sub(" ", unicodedata.normalize("NFC", text))
-        # One letter at a time: str.lower() alone would write a sigma at a word's end in its final form.
-        return self.word.findall(text.replace("Σ", "σ").lower())
-
-    def fragments(self, word: str) -> list[list[str]]:
-        """The byte letters of a word, cut where no token can reach across; the last letter carries the suffix."""
-        letters = "".join(self.letters[b] for b in word.encode("utf-8", "surrogatepass"))
-        cuts = [0, *(i for i in range(1, len(letters)) if letters[i - 1 : i + 1] not in self.joined), len(letters)]
-        out = [list(letters[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
-        out[-1][-1] += self.suffix
+        letters = byte_letters()
+        self.inner = np.array([self.ids[c] for c in letters], np.int32)
+        self.final = np.array([self.ids[c + self.suffix] for c in letters], np.int32)
+        self.ranks = {(self.ids[a], self.ids[b]): i for i, (a, b) in enumerate(pairs)}
+        self.result = np.array([self.ids[a + b] for a, b in pairs], np.int32)
+        both = np.array([*self.ranks], np.uint64).reshape(-1, 2)
+        key = (both[:, 0] << np.uint64(32)) | both[:, 1]
+        self.order = np.argsort(key)
+        self.pair = key[self.order]
+        self.joined = self._joined(letters)
+
+    def _joined(self, letters: list[str]) -> np.ndarray:
+        """Whether two bytes stand side by side in some token."""
+        place = {c: i for i, c in enumerate(letters)}
+        out = np.zeros((256, 256), bool)
+        for token in self.ids:
+            bytes_ = [place[c] for c in token.removesuffix(self.suffix)]
+            out[bytes_[:-1], bytes_[1:]] = True
         return out
 
-    def merged(self, symbols: list[str]) -> list[str]:
-        """Applies the merges by rank, the leftmost first among equals."""
-        if len(symbols) > 64:
-            return self._merged_long(symbols)
-        ranks = self.ranks
-        while len(symbols) > 1:
-            best, at = None, -1
-            for i in range(len(symbols) - 1):
-                r = ranks.get((symbols[i], symbols[i + 1]))
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
+    def words(self, token: str) -> list[str]:
+        """Normalised words of a run of characters without white space or special tokens."""
+        if not token.isascii():
+            token = unicodedata.normalize("NFC", token)
+        # One letter at a time: str.lower() alone would write a sigma at a word's end in its final form.
+        token = token.replace("Σ", "σ").lower()
+        return [token] if token.isalpha() else self.word.findall(token)
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, as little-endian 32-bit integers. All words are cut and merged together."""
+        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        length = np.array([len(r) for r in raw], np.int64)
+        flat = np.frombuffer(b"".join(raw), np.uint8)
+        if not len(flat):
+            return [b""] * len(words)
+        ends = np.cumsum(length)
+        ids = self.inner[flat]
+        ids[ends[length > 0] - 1] = self.final[flat[ends[length > 0] - 1]]
+        cut = np.ones(len(flat), bool)
+        cut[1:] = ~self.joined[flat[:-1], flat[1:]]
+        heads = ends - length
+        cut[heads[length > 0]] = True
+        start = np.flatnonzero(cut)
+        size = np.diff(np.append(start, len(flat)))
+        keep = np.ones(len(flat), bool)
+        for width in np.unique(size[size > 1]):
+            own = start[size == width]
+            for some in np.array_split(own, len(own) * width // 1_000_000 + 1):
+                at = some[:, None] + np.arange(width)
+                if width > LONG_FRAGMENT:
+                    for row in at:
+                        done = self._merged_long(ids[row].tolist())
+                        ids[row[: len(done)]], keep[row[len(done) :]] = done, False
+                    continue
+                done, left = self._merged(ids[at])
+                ids[at] = done
+                keep[at] = np.arange(width) < left[:, None]
+        total = np.concatenate([[0], np.cumsum(keep)]) * 4
+        out = ids[keep].astype("<i4").tobytes()
+        return [out[i:j] for i, j in zip(total[heads].tolist(), total[ends].tolist(), strict=True)]
+
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of the merge of each pair of ids, or the number of merges if there is none."""
+        key = (a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64)
+        at = np.searchsorted(self.pair, key)
+        at[at == len(self.pair)] = 0
+        return np.where(self.pair[at] == key, self.order[at], len(self.pair)).astype(np.int32)
+
+    def _merged(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Merges each row of ids: in every round the pair of the lowest rank, the leftmost among equals. Returns rows and lengths."""
+        none, width = len(self.pair), rows.shape[1]
+        out, left = rows.copy(), np.full(len(rows), width)
+        live = np.arange(len(rows))
+        now, rank = rows, self._rank(rows[:, :-1], rows[:, 1:])
+        while len(live):
+            at = rank.argmin(axis=1)
+            best = rank[np.arange(len(live)), at]
+            go = best < none
+            if not go.all():
+                out[live[~go]] = np.pad(now[~go], ((0, 0), (0, width - now.shape[1])))
+                left[live[~go]] = now.shape[1]
+                live, now, rank, at, best = live[go], now[go], rank[go], at[go], best[go]
+                if not len(live):
+                    break
+            now[np.arange(len(live)), at] = self.result[best]
+            if now.shape[1] == 2:
+                out[live, 0], left[live] = now[:, 0], 1
                 break
-            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
-        return symbols
-
-    def _merged_long(self, symbols: list[str]) -> list[str]:
-        """The same with a heap over a linked list, for fragments of any length."""
-        import heapq
-
-        n, ranks = len(symbols), self.ranks
+            place = np.arange(now.shape[1] - 1)
+            now = np.take_along_axis(now, place + (place > at[:, None]), axis=1)
+            place = np.arange(now.shape[1] - 1)
+            rank = np.take_along_axis(rank, place + (place >= at[:, None]), axis=1)
+            line = np.arange(len(live))
+            for side in (at - 1, at):
+                fits = (side >= 0) & (side < now.shape[1] - 1)
+                x, y = line[fits], side[fits]
+                rank[x, y] = self._rank(now[x, y], now[x, y + 1])
+        return out, left
+
+    def _merged_long(self, ids: list[int]) -> list[int]:
+        """The same for one fragment of any length, with a heap over a linked list."""
+        n, ranks, result = len(ids), self.ranks, self.result
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        heap = [(r, i, symbols[i], symbols[i + 1]) for i in range(n - 1) if (r := ranks.get((symbols[i], symbols[i + 1]))) is not None]
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := ranks.get((ids[i], ids[i + 1]))) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            r, i, a, b = heapq.heappop(heap)
             j = after[i]
-            if symbols[i] != a or j < 0 or symbols[j] != b:
+            if ids[i] != a or j < 0 or ids[j] != b:
                 continue
-            symbols[i], symbols[j], after[i] = a + b, "", after[j]
+            ids[i], ids[j], after[i] = int(result[r]), -1, after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for x, y in ((before[i], i), (i, after[i])):
-                if x >= 0 and y >= 0 and (r := ranks.get((symbols[x], symbols[y]))) is not None:
-                    heapq.heappush(heap, (r, x, symbols[x], symbols[y]))
-        return [s for s in symbols if s]
-
-    def word_ids(self, word: str) -> list[int]:
-        return [self.ids[t] for f in self.fragments(word) for t in self.merged(f)]
-
-
-def encoder(vocabulary: Vocabulary):
-    """A function from a text to its ids as little-endian 32-bit integers."""
-    store: dict[str, bytes] = {}
-
-    def known(word: str) -> bytes:
-        if len(word) > 200:
-            return np.array(vocabulary.word_ids(word), "<i4").tobytes()
-        if len(store) >= CACHED_WORDS:
-            store.clear()
-        return store.setdefault(word, np.array(vocabulary.word_ids(word), "<i4").tobytes())
-
-    def plain(text: str) -> bytes:
-        return b"".join([store.get(w) or known(w) for w in vocabulary.words(text)])
-
-    def encode(text: str | None) -> bytes:
-        if not text:
-            return b""
-        if vocabulary.special_at is None or not vocabulary.special_at.search(text):
-            return plain(text)
-        parts = vocabulary.special_at.split(text)
-        return b"".join(
-            np.array([vocabulary.special[p]], "<i4").tobytes() if i % 2 else plain(p) for i, p in enumerate(parts)
-        )
-
-    return encode
+                if x >= 0 and y >= 0 and (r := ranks.get((ids[x], ids[y]))) is not None:
+                    heapq.heappush(heap, (r, x, ids[x], ids[y]))
+        return [x for x in ids if x >= 0]
+
+
+class Encoder:
+    """Encodes batches of texts, keeping the ids of the words met last in two generations of bounded size."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _split(self, text: str) -> list[str]:
+        # str.split() also splits at these four controls, which are no white space in Unicode.
+        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            return [t for t in self.vocabulary.blanks.split(text) if t]
+        return text.split()
+
+    def _learn(self, tokens: set[str]) -> None:
+        """Brings the ids of these tokens into the young generation; those not in store are encoded together."""
+        if len(self.young) > CACHED_WORDS:
+            self.old, self.young = self.young, {}
+        fresh = tokens.difference(self.young)
+        self.young.update((t, self.old[t]) for t in fresh.intersection(self.old))
+        missing = [*fresh.difference(self.old)]
+        words = [self.vocabulary.words(t) for t in missing]
+        distinct = {w: i for i, w in enumerate({w for own in words for w in own})}
+        ids = self.vocabulary.encode_words([*distinct])
+        self.young.update((t, b"".join([ids[distinct[w]] for w in own])) for t, own in zip(missing, words, strict=True))
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers."""
+        special = self.vocabulary.special_at
+        parts = []
+        for text in texts:
+            text = text or ""
+            marked = special is not None and any(s in text for s in self.vocabulary.special)
+            parts.append([self._split(p) if i % 2 == 0 else p for i, p in enumerate(special.split(text) if marked else [text])])
+        seen: set[str] = set()
+        for own in parts:
+            for p in own[::2]:
+                seen.update(p)
+        self._learn(seen)
+        ids = self.young
+        one = {s: np.array([i], "<i4").tobytes() for s, i in self.vocabulary.special.items()}
+        out = [b"".join([b"".join([ids[t] for t in p]) if i % 2 == 0 else one[p] for i, p in enumerate(own)]) for own in parts]
+        for token in seen:
+            if len(token) > 100:  # too long to be met again
+                del ids[token]
+        return out
 
 
 def _vocabulary(path: str) -> dict:
@@ -154,7 +233,7 @@ def _schema(df: DataFrame, **added: str) -> str:
     return ", ".join([*kept, *(f"`{c}` {t}" for c, t in added.items())])
 
 
-def _in_parts(batches: Iterator[pa.RecordBatch], text: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def _in_parts(batches: Iterator[pa.RecordBatch], text: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     from tiffin.llm.text import chunks
 
     for batch in batches:
@@ -167,9 +246,9 @@ def encode(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "
     spec = df.sparkSession.sparkContext.broadcast(_vocabulary(vocabulary_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = encoder(Vocabulary(spec.value))
+        encoder = Encoder(Vocabulary(spec.value))
         for batch in _in_parts(batches, text):
-            found = [ids_of(t) for t in batch.column(text).to_pylist()]
+            found = encoder.encode(batch.column(text).to_pylist())
             ends = np.cumsum([0, *map(len, found)]) // 4
             flat = pa.array(np.frombuffer(b"".join(found), "<i4"))
             yield _replaced(batch, {ids: pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)})
