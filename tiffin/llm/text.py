@@ -43,7 +43,8 @@ def chunks(column: pa.Array, limit: int) -> Iterator[tuple[int, pa.Array]]:
 
 
 def _offsets(column: pa.Array) -> np.ndarray:
-    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
+    kind = np.int64 if wide else np.int32
     return np.frombuffer(column.buffers()[1], kind)[column.offset : column.offset + len(column) + 1]
 
 
