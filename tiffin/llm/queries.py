@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import bpe, decontaminate, langid, pii, simhash, substring_dedup, url_filter, warc
+from tiffin.llm import bpe, decontaminate, langid, ngram_join, pii, simhash, substring_dedup, url_filter, warc
 from tiffin.llm.store import stored
 
 
@@ -38,6 +38,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_components(_table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 # The rules of the url query.
 URL_RULES = [
     ("allow", "com", "/"),
@@ -155,6 +159,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_bpe": op2_bpe,
+    "op3_ngram_join": op3_ngram_join,
     "op4_url_filter": op4_url_filter,
     "op5_fingerprints": op5_fingerprints,
     "op6_pii": op6_pii,
