@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tiffin.llm.store import stored
 from tiffin.llm.text import chunks, mix
 
 ORDER = 4
@@ -250,7 +251,7 @@ def build(counts: pd.DataFrame) -> Model:
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", max_entries: int = MAX_ENTRIES) -> Model:
     """A model from all rows with a text and a language. The counts come from every text; what reaches the driver is bounded."""
     rows = labelled.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(text, lang)
-    shared = gram_counts(rows, text, lang)
+    shared = stored(gram_counts(rows, text, lang), "gram-counts")
     top = shared.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
     names = sorted(r["lang"] for r in top)
     own = [
@@ -286,14 +287,16 @@ def _calibrate(model: Model, rows: DataFrame, text: str, lang: str) -> np.ndarra
                     ["lang", "mean", "each"],
                 )
 
-    # A fixed share of hash values makes the sample the same on every run and at any partitioning.
-    chosen = rows.withColumn("_h", F.xxhash64(text)).orderBy("_h").limit(CALIBRATION_ROWS).drop("_h")
-    seen = chosen.mapInArrow(run, "lang string, mean double, each double").toPandas()
+    # The rows with the smallest hashes: the same ones on every run and at any partitioning. Only hashes are sorted, no texts move.
+    mark = F.xxhash64(text)
+    last = rows.select(mark.alias("h")).orderBy("h").limit(CALIBRATION_ROWS).agg(F.max("h")).first()[0]
+    chosen = rows.filter(mark <= F.lit(last))
+    seen = chosen.mapInArrow(run, "lang string, mean double, each double").groupBy("lang")
+    per = seen.agg(F.count("*").alias("n"), F.avg("mean").alias("mean"), F.stddev_samp("mean").alias("between"), F.avg("each").alias("each"))
     out = np.zeros((len(model.languages), 3))
-    out[:, 0] = np.inf
-    for name, own in seen.groupby("lang"):
-        if len(own) >= 30:
-            out[place[name]] = own["mean"].mean(), own["mean"].std(), own["each"].mean()
+    out[:, 0] = np.inf  # too few to judge by
+    for r in per.filter("n >= 30").collect():
+        out[place[r["lang"]]] = r["mean"], r["between"], r["each"]
     return out
 
 
