@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import bpe, decontaminate, langid, ngram_join, pii, simhash, substring_dedup, url_filter, warc
+from tiffin.llm import bpe, decontaminate, langid, licenses, ngram_join, pii, simhash, substring_dedup, url_filter, warc
 from tiffin.llm.store import stored
 
 
@@ -141,6 +141,15 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents carry no path, so source and language serve as their directories."""
+    docs = _table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return licenses.scan(docs.select("doc_id", "text", "source", "lang"), path).select(
+        "doc_id", "license", F.round("cosine", 6).alias("cosine"), "is_file", "license_from"
+    )
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -164,6 +173,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_fingerprints": op5_fingerprints,
     "op6_pii": op6_pii,
     "op7_warc": op7_warc,
+    "op8_licenses": op8_licenses,
     "op9_decontaminate": op9_decontaminate,
     "op10_langid": op10_langid,
 }
