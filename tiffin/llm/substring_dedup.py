@@ -3,7 +3,7 @@
 A window is ``window`` consecutive words of one text. A word goes if a window that covers it also starts earlier: in a row with a smaller
 id, or earlier in the same text. Windows are judged on the input.
 
-1. Every window has an anchor, the smallest hash among its 6-word shingles (the leftmost of equals). Neighbouring windows with the same
+1. Every window has an anchor, the smallest hash among its 4-word shingles (the leftmost of equals). Neighbouring windows with the same
    anchor form a segment. Equal windows have equal anchors, so a shard per anchor hash sees all windows it has to compare.
 2. Segments that occur several times within a task are sent once; the others are known repeats. Anchors that stand in a large share
    of all segments (at most 20,000 such, found in a first pass) are dealt out window by window instead.
@@ -33,13 +33,13 @@ from tiffin.llm.store import stored
 from tiffin.llm.text import Words, chunks, mix, ranges, shingles
 
 WINDOW = 20
-ANCHOR = 6
+ANCHOR = 4
 #: Segments of a shard on average, about a million words.
-SHARD_SEGMENTS = 40_000
+SHARD_SEGMENTS = 50_000
 #: An anchor with more than this share of all segments is dealt out by windows; so there are at most as many as its inverse.
 HOT_SHARE = 1 / 20_000
 _CHUNK = 4 << 20
-_META = np.dtype([("id", "<i8"), ("tag", "<u4"), ("at", "<u4"), ("key", "<u8"), ("words", "<u2")])
+_META = np.dtype([("id", "<i8"), ("tag", "<u4"), ("at", "<u4"), ("words", "<u2")])
 _ODD = 0x9E3779B97F4A7C15
 
 
@@ -131,15 +131,24 @@ def _crowded(rows: DataFrame, window: int, anchor: int) -> tuple[np.ndarray, int
 
 
 def _pack(rows: np.ndarray, texts: list[bytes]) -> bytes:
-    body = b"".join(texts)
-    return zstandard.ZstdCompressor(level=3).compress(len(rows).to_bytes(8, "little") + rows.tobytes() + body)
+    """Segments as one compressed block: ids as differences, and each byte of a column by itself, as most of them are zero."""
+    parts = [len(rows).to_bytes(8, "little")]
+    for name in _META.names:
+        column = np.diff(rows[name], prepend=rows[name].dtype.type(0)) if name == "id" else np.ascontiguousarray(rows[name])
+        parts.append(column.view(np.uint8).reshape(len(rows), column.itemsize).T.tobytes())
+    return zstandard.ZstdCompressor(level=6).compress(b"".join([*parts, *texts]))
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, bytes]:
     raw = zstandard.ZstdDecompressor().decompress(blob)
-    n = int.from_bytes(raw[:8], "little")
-    end = 8 + n * _META.itemsize
-    return np.frombuffer(raw[8:end], _META), raw[end:]
+    n, at = int.from_bytes(raw[:8], "little"), 8
+    rows = np.empty(n, _META)
+    for name in _META.names:
+        size = _META[name].itemsize
+        column = np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T.copy().view(_META[name])[:, 0]
+        rows[name] = np.cumsum(column) if name == "id" else column
+        at += n * size
+    return rows, raw[at:]
 
 
 def _deal(rows: DataFrame, window: int, anchor: int, hot: np.ndarray, shards: int) -> DataFrame:
@@ -166,7 +175,7 @@ def _deal(rows: DataFrame, window: int, anchor: int, hot: np.ndarray, shards: in
                 once = once[np.argsort(found.key[once] % np.uint64(shards), kind="stable")]
                 meta = np.zeros(len(once), _META)
                 meta["id"], meta["tag"] = ids[found.text[once]], tags[found.text[once]]
-                meta["at"], meta["key"] = at[once], found.key[once]
+                meta["at"] = at[once]
                 meta["words"] = found.windows[once] + window - 1
                 low, high = after[found.begin[once]], after[found.begin[once] + meta["words"]]
                 shard = (found.key[once] % np.uint64(shards)).astype(np.int64)
@@ -193,17 +202,23 @@ def _deal(rows: DataFrame, window: int, anchor: int, hot: np.ndarray, shards: in
     return rows.mapInArrow(run, "shard long, open boolean, blob binary")
 
 
-def repeats(meta: np.ndarray, text: bytes, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repeats(meta: np.ndarray, text: bytes, window: int, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(number of the segment, first window, windows) of the intervals of windows that start earlier in some segment of the shard."""
     none = np.zeros(0, np.int64)
     words = Words(pa.array([text], pa.large_binary())).hash
     start = np.concatenate([[0], np.cumsum(meta["words"].astype(np.int64))])[:-1]
-    _, inverse, times = np.unique(meta["key"], return_inverse=True, return_counts=True)
+    if not len(meta):
+        return none, none, none
+    # A segment's anchor is the least of all its shingles; segments whose anchor is theirs alone share no window with others.
+    anchor = min(anchor, window)
+    inside = meta["words"].astype(np.int64) - anchor + 1
+    least = np.minimum.reduceat(shingles(words, anchor)[ranges(start, inside)], np.cumsum(inside) - inside)
+    _, inverse, times = np.unique(least, return_inverse=True, return_counts=True)
     order = np.lexsort((meta["at"], meta["tag"], meta["id"]))
     order = order[times[inverse[order]] > 1]
     if len(order):
         # The same segment of a repeated row.
-        place = meta[order][["id", "tag", "at", "key"]]
+        place = meta[order]
         order = order[np.concatenate([[True], place[1:] != place[:-1]])]
     length = meta["words"][order].astype(np.int64)
     if len(order) < 2:
@@ -255,7 +270,7 @@ def repeated_intervals(
                     yield intervals(meta, meta["at"], meta["words"])
         if metas:
             meta = np.concatenate(metas)
-            owner, first, n = repeats(meta, b"".join(texts), window)
+            owner, first, n = repeats(meta, b"".join(texts), window, anchor)
             if len(owner):
                 yield intervals(meta[owner], meta["at"][owner] + first, n + window - 1)
 
