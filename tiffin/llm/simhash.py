@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tiffin.llm.text import Words, chunks, mix, shingles
 
@@ -156,13 +157,9 @@ def within_radius(prints: DataFrame, radius: int = 3, fingerprint: str = "finger
     return distinct.join(near, "fingerprint", "left").select("fingerprint", F.coalesce("n_near", F.lit(0)).alias("n_near"))
 
 
-def with_next(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, text, next_text): each row with the text of the row after it in ascending order of ``key``; after the last, the first.
-
-    Null keys come last; rows with equal keys are ordered by their texts, null texts as empty ones. A single row follows itself.
-    Rows are dealt by ranges of the key; the first rows of a range also go to the range before it, so that no task but those
-    of two neighbouring ranges has to know of a row.
-    """
+def _in_order(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(part, tail, key, text): the rows dealt by ranges of the key and sorted in each; the first rows of a range also stand, as its
+    tail, behind the range before it, so that no task has to know of more than its own range."""
     spark = df.sparkSession
     top = (1 << 63) - 1
     rows = df.select(F.col(key).alias("key"), F.coalesce(text, F.lit("")).alias("text"))
@@ -203,26 +200,38 @@ def with_next(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
     kind = df.schema[key].dataType.simpleString()
     dealt = rows.mapInArrow(deal, f"part int, tail boolean, key {kind}, text string, rank long")
-    ordered = dealt.repartition(n, "part").sortWithinPartitions("part", "tail", "rank", F.col("key").isNull(), "text").select("part", "tail", "key", "text")
+    ordered = dealt.repartition(n, "part").sortWithinPartitions("part", "tail", "rank", F.col("key").isNull(), "text")
+    return ordered.select("part", "tail", "key", "text")
 
-    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting = None  # the last row read, which still lacks its next text
-        for batch in batches:
-            for first, part in chunks(batch.column("text"), 8 << 20):
-                own = batch.slice(first, len(part))
-                out = []
-                for number, tail, row_key, row_text in zip(*(c.to_pylist() for c in own.columns), strict=True):
-                    if waiting is not None and waiting[0] == number:
-                        out.append((waiting[1], waiting[2], row_text))
-                    waiting = None if tail else (number, row_key, row_text)
-                if out:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([x[0] for x in out], own.schema.field("key").type), *(pa.array([x[j] for x in out], pa.string()) for j in (1, 2))],
-                        ["key", "text", "next_text"],
-                    )
-
-    done = ordered.mapInArrow(follow, f"key {kind}, text string, next_text string")
-    return done.select(F.col("key").alias(key), F.col("text").alias(text), "next_text")
+
+def _followed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str], list[str]]]:
+    """(keys, texts, next texts) of rows in order, a few megabytes at a time."""
+    waiting = None  # the last row read, which still lacks its next text
+    for batch in batches:
+        for first, part in chunks(batch.column("text"), 2 << 20):
+            out = []
+            for number, tail, key, text in zip(*(c.to_pylist() for c in batch.slice(first, len(part)).columns), strict=True):
+                if waiting is not None and waiting[0] == number:
+                    out.append((waiting[1], waiting[2], text))
+                waiting = None if tail else (number, key, text)
+            if out:
+                yield tuple(map(list, zip(*out, strict=True)))
+
+
+def with_next(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, text, next_text): each row with the text of the row after it in ascending order of ``key``; after the last, the first.
+
+    Null keys come last; rows with equal keys are ordered by their texts, null texts as empty ones. A single row follows itself.
+    """
+    kind = df.schema[key].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, texts, after in _followed(batches):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, to_arrow_type(kind)), pa.array(texts, pa.string()), pa.array(after, pa.string())], [key, text, "next_text"]
+            )
+
+    return _in_order(df, key, text).mapInArrow(run, f"`{key}` {kind.simpleString()}, `{text}` string, next_text string")
 
 
 def edited(text: str, following: str) -> str:
@@ -234,31 +243,23 @@ def edited(text: str, following: str) -> str:
 def compare_edits(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next): each whole text against its edited form
     and against the next row's text (see ``with_next``)."""
-    kind = df.schema[key].dataType.simpleString()
+    kind = df.schema[key].dataType
+    names = [key, "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, part in chunks(batch.column("text"), 8 << 20):
-                own = batch.slice(first, len(part))
-                texts, after = part.to_pylist(), own.column("next_text").to_pylist()
-                changed = pa.array([edited(t, x) for t, x in zip(texts, after, strict=True)], pa.string())
-                prints, other = fingerprints(part), fingerprints(changed)
-                # The next text is nearly always that of the next row; only the others are fingerprinted here.
-                apart = [i for i, x in enumerate(after) if i + 1 == len(texts) or texts[i + 1] != x]
-                follow = np.roll(prints, -1, axis=0)
-                follow[apart] = fingerprints(pa.array([after[i] for i in apart], pa.string()))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        own.column(0),
-                        pa.array([len(t) for t in texts], pa.int64()),
-                        changed,
-                        as_hex(prints),
-                        as_hex(other),
-                        pa.array(likeness(prints, other)),
-                        pa.array(likeness(prints, follow)),
-                    ],
-                    [key, "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
-                )
-
-    schema = f"`{key}` {kind}, n_chars long, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return with_next(df, key, text).mapInArrow(run, schema)
+        for keys, texts, after in _followed(batches):
+            changed = pa.array([edited(t, x) for t, x in zip(texts, after, strict=True)], pa.string())
+            prints, other = fingerprints(pa.array(texts, pa.string())), fingerprints(changed)
+            # The next text is nearly always that of the next row; only the others are fingerprinted here.
+            apart = [i for i, x in enumerate(after) if i + 1 == len(texts) or texts[i + 1] != x]
+            follow = np.roll(prints, -1, axis=0)
+            follow[apart] = fingerprints(pa.array([after[i] for i in apart], pa.string()))
+            size = pa.array([len(t) for t in texts], pa.int64())
+            likes = [pa.array(likeness(prints, x)) for x in (other, follow)]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, to_arrow_type(kind)), size, changed, as_hex(prints), as_hex(other), *likes], names)
+
+    schema = (
+        f"`{key}` {kind.simpleString()}, n_chars long, edited string, fingerprint string, edited_fingerprint string, near_edited double,"
+        " near_next double"
+    )
+    return _in_order(df, key, text).mapInArrow(run, schema)
