@@ -158,7 +158,7 @@ def _directory(path: Column) -> Column:
 def scan(df: DataFrame, path: Column, text: str = "text", templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """The rows with license, cosine, is_file, and license_from: ``declared``, the directory it is inherited from, or null. The text is dropped."""
     rows = stored(
-        declared(df.withColumn("_path", F.coalesce(path, F.lit(""))).select(*df.columns, "_path"), text, templates).drop(text), "license-rows"
+        declared(df.withColumn("_path", F.coalesce(path, F.lit(""))).select(*df.columns, "_path"), text, templates).drop(text), "license-rows", small=True
     ).withColumn("_dir", _directory(F.col("_path")))
     offers = (
         rows.filter("is_file")

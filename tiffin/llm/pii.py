@@ -193,7 +193,7 @@ def with_context(found: DataFrame, patterns: list[str], column: str = "found") -
 
 def find_personal_data(df: DataFrame, text: str = "text") -> DataFrame:
     """Each row with base_spans and spans in place of its text. The texts are read once; what is kept of them is their candidates."""
-    found = stored(candidates(df, text).drop(text), "pii-found")
+    found = stored(candidates(df, text).drop(text), "pii-found", small=True)
     return with_context(found, trusted_patterns(found)).drop("found")
 
 

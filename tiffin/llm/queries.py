@@ -109,7 +109,7 @@ def _url_sql() -> str:
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = simhash.compare_edits(_table(spark, sf_dir, "documents"))
-    done = stored(done.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)).drop("edited"), "fingerprints")
+    done = stored(done.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)).drop("edited"), "fingerprints", small=True)
     near = simhash.within_radius(done, radius=3)
     return done.join(near, "fingerprint").select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_near"

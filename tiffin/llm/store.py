@@ -13,8 +13,12 @@ def new_folder(spark, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows written as Parquet and read back: the lineage ends there, so a lost executor costs only what read it last."""
+def stored(df: DataFrame, name: str, small: bool = False) -> DataFrame:
+    """The rows written as Parquet and read back: the lineage ends there, so a lost executor costs only what read it last.
+
+    ``small`` is for rows much smaller than what they were made from: they are gathered into files of the advisory size, where each task
+    would else write a tiny file.
+    """
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.hint("rebalance") if small else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
