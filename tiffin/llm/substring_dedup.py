@@ -35,7 +35,7 @@ from tiffin.llm.text import Words, chunks, mix, ranges, shingles
 WINDOW = 20
 ANCHOR = 4
 #: Segments of a shard on average, about a million words.
-SHARD_SEGMENTS = 50_000
+SHARD_SEGMENTS = 35_000
 #: An anchor with more than this share of all segments is dealt out by windows; so there are at most as many as its inverse.
 HOT_SHARE = 1 / 20_000
 _CHUNK = 4 << 20
@@ -168,7 +168,8 @@ def _deal(rows: DataFrame, window: int, anchor: int, hot: np.ndarray, shards: in
                 again = np.flatnonzero(moved)
                 # All words of the chunk with one blank behind each, so that a segment is one slice.
                 size = words.end - words.start + 1
-                lines = np.append(words.data, np.uint8(32))[ranges(words.start, size)]
+                small = np.int32 if len(words.data) < 1 << 30 else np.int64
+                lines = np.append(words.data, np.uint8(32))[ranges(words.start, size, small)]
                 after = np.concatenate([[0], np.cumsum(size)])
                 lines[after[1:] - 1] = 32
                 buffer = lines.tobytes()

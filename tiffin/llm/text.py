@@ -101,14 +101,14 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     return mix(h)
 
 
-def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+def ranges(start: np.ndarray, length: np.ndarray, kind: type = np.int64) -> np.ndarray:
     """The numbers start[i] .. start[i] + length[i] - 1 of all i, one after the other."""
     total = int(length.sum())
     if not total:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, kind)
     keep = length > 0
     start, length = start[keep].astype(np.int64), length[keep].astype(np.int64)
-    step = np.ones(total, np.int64)
+    step = np.ones(total, kind)
     step[0] = start[0]
     step[np.cumsum(length)[:-1]] = start[1:] - (start[:-1] + length[:-1] - 1)
-    return np.cumsum(step)
+    return np.cumsum(step, dtype=kind, out=step)
