@@ -19,7 +19,7 @@ def num(c: str, default: int | None = None) -> str:
 
 
 def money(c: str) -> str:
-    return f"cast(coalesce(try_cast({c} as decimal(18,2)), 0) as decimal(18,2)) as {c}"
+    return f"coalesce(try_cast({c} as decimal(38,2)), case when try_cast({c} as double) is null then 0 end) as {c}"
 
 
 def dbl(c: str, default: str | None = None) -> str:
@@ -57,11 +57,13 @@ def avg(c: str) -> str:
 
 
 def avg_d(c: str) -> str:
-    return ratio(f"sum(cast({c} as decimal(18,6)))", f"count({c})")
+    # Through text, so that every digit of a double's shortest form counts; values that are not finite count as missing.
+    kept = f"case when isfinite({c}) then {c} end"
+    return ratio(f"sum(cast(cast({kept} as varchar) as decimal(38,18)))", f"count({kept})")
 
 
 def rnd(e: str, n: int) -> str:
-    return f"cast(round(cast({e} as decimal(28,10)), {n}) as double)"
+    return f"cast(round(cast(cast({e} as varchar) as decimal(38,18)), {n}) as double)"
 
 
 def tally(cond: str) -> str:
@@ -171,17 +173,20 @@ CTES["order_dates"] = _calendar(
     "(select cast(cast(max(o_orderdate) as date) as timestamp) from orders)",
 )
 
+CTES["rates"] = "select restaurant_id as place, cast(cast(commission_rate as varchar) as decimal(25,18)) as share from stg_restaurant"
+CTES["late_trips"] = "select order_id as trip_order, sla_breach_flag = 1 as late from stg_delivery_trip"
+CTES["priced"] = """
+select o.*, cast(total_amount as decimal(12,2)) as due, cast(total_amount as decimal(12,2)) * share as cut, coalesce(late, false) as late
+from stg_order_header o left join rates on place = o.restaurant_id left join late_trips on trip_order = o.order_id
+"""
 CTES["fct_order"] = """
-select oh.order_id, oh.customer_id, oh.restaurant_id, dd.date_key as order_date_key, oh.order_status, oh.payment_method, oh.promo_id,
- oh.order_subtotal, oh.order_discount, oh.delivery_fee, oh.total_amount, oh.order_subtotal - oh.order_discount as net_food_amount,
- case when oh.order_subtotal > 0 then cast(oh.order_discount as double) / cast(oh.order_subtotal as double) else 0 end as discount_pct,
- cast(case when dt.sla_breach_flag = 1 then 1 else 0 end as bigint) as sla_breached,
- cast(oh.total_amount * cast(r.commission_rate as decimal(9,6)) as decimal(12,2)) as platform_commission,
- cast(oh.total_amount - oh.total_amount * cast(r.commission_rate as decimal(9,6)) as decimal(12,2)) as restaurant_payout,
- date_diff('minute', oh.order_created_at, oh.actual_delivery_at) as end_to_end_min,
- cast(oh.order_status = 'DELIVERED' as bigint) as is_delivered, cast(oh.order_status = 'CANCELLED' as bigint) as is_cancelled
-from stg_order_header oh left join dates dd on dd.full_date = cast(oh.order_created_at as date)
- left join stg_delivery_trip dt on oh.order_id = dt.order_id left join stg_restaurant r on oh.restaurant_id = r.restaurant_id
+select order_id, customer_id, restaurant_id, date_key as order_date_key, order_status, payment_method, promo_id, order_subtotal,
+ order_discount, delivery_fee, total_amount, order_subtotal - order_discount as net_food_amount,
+ case when order_subtotal > 0 then cast(order_discount as double) / cast(order_subtotal as double) else 0 end as discount_pct,
+ cast(late as bigint) as sla_breached, cast(cut as decimal(12,2)) as platform_commission,
+ cast(due - cut as decimal(12,2)) as restaurant_payout, date_diff('minute', order_created_at, actual_delivery_at) as end_to_end_min,
+ cast(order_status = 'DELIVERED' as bigint) as is_delivered, cast(order_status = 'CANCELLED' as bigint) as is_cancelled
+from priced left join dates on full_date = cast(order_created_at as date)
 """
 
 CTES["fct_delivery"] = "select * replace (cast(distance_km as decimal(10,2)) as distance_km) from stg_delivery_trip"
@@ -243,6 +248,32 @@ select full_date, customer_city, restaurant_city, count(*) as total_orders, {gmv
 from enriched group by 1, 2, 3
 """
 
+# Orders with a negative id or none at all, as the stream gets them: those without one have no trip and no feedback.
+_ODD = "case when order_id % 50 = 7 then -order_id when order_id % 50 <> 9 then order_id end"
+CTES["enriched_plain"] = """
+select f.order_id, f.is_delivered, f.is_cancelled, f.total_amount, dd.full_date, c.city as customer_city, r.city as restaurant_city
+from fct_order f left join dates dd on f.order_date_key = dd.date_key left join stg_customer c on f.customer_id = c.customer_id
+ left join stg_restaurant r on f.restaurant_id = r.restaurant_id
+"""
+CTES["odd_orders"] = f"select * replace ({_ODD} as order_id) from enriched_plain"
+CTES["odd_trips"] = f"select {_ODD} as trip_of, sla_breach_flag from stg_delivery_trip"
+CTES["odd_feedback"] = f"select {_ODD} as rated, feedback_id, rating, sentiment_score from stg_feedback"
+for _name, _value in {"odd_all": "rating", "odd_lowered": "case when feedback_id % 10 = 3 then 1 else rating end"}.items():
+    CTES[_name] = f"""
+select o.*, t.sla_breach_flag, {_value} as rating, sentiment_score
+from odd_orders o left join odd_trips t on trip_of = o.order_id left join odd_feedback f on rated = o.order_id
+"""
+
+
+def _city_days(source: str) -> str:
+    return f"""
+select full_date, customer_city, restaurant_city, count(*) as total_orders, {gmv()} as gmv, {total('is_delivered')} as delivered_orders,
+ {total('is_cancelled')} as cancelled_orders, {rnd(avg('rating'), 2)} as avg_rating,
+ {rnd(avg_d('sentiment_score'), 2)} as avg_sentiment_score, {rnd(avg('sla_breach_flag'), 4)} as avg_sla_breach_rate
+from {source} group by 1, 2, 3
+"""
+
+
 CTES["rest_feedback"] = f"""
 select {_DAY}, count(*) as total_orders, {total('is_delivered')} as delivered_orders, {total('is_cancelled')} as cancelled_orders,
  coalesce({ratio('sum(is_cancelled)', 'count(*)')}, 0) as cancel_rate, {avg('rating')} as avg_customer_rating,
@@ -277,13 +308,15 @@ def _query(body: str) -> str:
         needed |= todo
         todo = set().union(*[names(CTES[n]) for n in todo]) - needed
     head = ",\n".join(f"{n} as ({sql.strip()})" for n, sql in CTES.items() if n in needed)
-    return f"with {head}\n{body.strip()}" if head else body.strip()
+    body = body.strip()
+    if head and body.startswith("with "):
+        return f"with {head},\n{body[5:]}"
+    return f"with {head}\n{body}" if head else body
 
 
 # ---- dimensions over two deliveries ---------------------------------------------------------------------------------
 
 _T1, _T2, _OPEN = "2024-06-01 00:00:00", "2024-06-02 00:00:00", "9999-12-31 00:00:00"
-COUNTERS = 1024
 
 for _name, (_key, _changes) in MOVED.items():
     CTES[f"first_{_name}"] = f"select * from raw_{_name} where not ends_with({_key}, '9')"
@@ -293,30 +326,34 @@ for _name, (_key, _changes) in MOVED.items():
     CTES[f"stg_second_{_name}"] = _staged_from(_name, f"second_{_name}")
 
 
-def _scd2(name: str, key: str, sk: str, attributes: str) -> str:
-    """Batch 1 opens version 1 of its keys; batch 2 replaces keys ending in 5 and opens keys ending in 9."""
-    cols = ", ".join([key, *attributes.split()])
-    deal = f"1 + {key} % {COUNTERS} + {COUNTERS} * (row_number() over (partition by {key} % {COUNTERS} order by {key}) - 1)"
-    CTES[f"opened1_{name}"] = f"select {deal} as {sk}, {cols} from stg_first_{name}"
-    CTES[f"opened2_{name}"] = f"""
-select (select max({sk}) from opened1_{name}) + {deal} as {sk}, {cols} from stg_second_{name} where {key} % 10 in (5, 9)
+def _scd2(name: str, key: str, compared: dict[str, str], carried: str = "") -> str:
+    """Versions after two deliveries: a key whose compared values differ, NULL being its default, closes one and opens another."""
+    cols = ", ".join([key, *compared, *carried.split()])
+    differs = " or ".join(f"coalesce(a.{c}, {d}) <> coalesce(b.{c}, {d})" for c, d in compared.items())
+    CTES[f"changed_{name}"] = f"""
+select a.{key} as moved from stg_first_{name} a join stg_second_{name} b on a.{key} = b.{key} where {differs}
 """
     return f"""
-select *, '{_T1}' as effective_from, case when {key} % 10 = 5 then '{_T2}' else '{_OPEN}' end as effective_to,
- {key} % 10 <> 5 as is_current, 'stg_{name}' as record_source from opened1_{name}
+select {cols}, '{_T1}' as effective_from, case when moved is null then '{_OPEN}' else '{_T2}' end as effective_to,
+ moved is null as is_current, 'stg_{name}' as record_source, true as key_is_unique, true as key_has_grown
+from stg_first_{name} left join changed_{name} on moved = {key} where {key} is not null
 union all
-select *, '{_T2}', '{_OPEN}', true, 'stg_{name}' from opened2_{name}
+select {cols}, '{_T2}', '{_OPEN}', true, 'stg_{name}', true, true from stg_second_{name}
+where {key} is not null and ({key} in (select moved from changed_{name}) or {key} not in (select {key} from stg_first_{name} where {key} is not null))
 """
 
 
 _CUSTOMER_SCD2 = _scd2(
-    "customer", "customer_id", "customer_sk", "customer_name email primary_phone city area segment is_prime_member status"
+    "customer",
+    "customer_id",
+    {c: "''" for c in "customer_name email primary_phone city area segment status".split()} | {"is_prime_member": "false"},
 )
 _RESTAURANT_SCD2 = _scd2(
     "restaurant",
     "restaurant_id",
-    "restaurant_sk",
-    "restaurant_name cuisine_primary cuisine_secondary city area avg_rating commission_rate is_active onboarded_at",
+    {c: "''" for c in "restaurant_name cuisine_primary cuisine_secondary city area".split()}
+    | {"avg_rating": "0", "commission_rate": "0", "is_active": "false"},
+    "onboarded_at",
 )
 
 # ---- one statement per registered query -----------------------------------------------------------------------------
@@ -353,6 +390,55 @@ BODIES: dict[str, str] = {
 select agent_id, agent_name, phone, hire_date, case when right(agent_id, 1) = '1' then 'Moved' else city end as city, vehicle_type,
  case when right(agent_id, 1) = '1' then 'INACTIVE' else status end as status from raw_delivery_agent
 """,
+    "ingest_events_batch": retyped("select * from stg_customer_events", text="event_ts"),
+    "ingest_csv_feedback": retyped(
+        "select * replace ('said \"' || comment || '\",' || chr(10) || 'then left' as comment) from stg_feedback", text="created_at"
+    ),
+    "events_latest": retyped(
+        "select * replace (case when event_id % 2 = 1 and device_os = 'iOS' then 'Old' else device_os end as device_os) from stg_customer_events",
+        text="event_ts",
+    ),
+    "table_overwrite": "select agent_id, upper(city) as city from stg_delivery_agent",
+    "table_append": "select trip_id, order_id from stg_delivery_trip",
+    "run_log": f"""
+select unnest(['dim_date', 'dim_customer', 'dim_restaurant', 'dim_restaurant_scd3', 'dim_delivery_agent', 'dim_promotion',
+ 'fct_order_enhanced', 'fct_delivery', 'fct_feedback', 'fct_customer_event', 'fct_order_secure']) as proc_name, '{_T1}' as run_ts,
+ 'SUCCESS' as status
+""",
+    "stg_money_wide": f"""
+select {num('order_id')}, cast(case when ends_with(order_id, '3') then 0
+ else cast('98765432109876543210' || lpad(order_id, 10, '0') || '.129' as decimal(38,2)) end as varchar) as amount from raw_order_header
+""",
+    "dirty_sentiment_kpi": """
+with scored as (
+ select rating, feedback_id % 7 as kind,
+  case feedback_id % 7 when 0 then null when 1 then null when 2 then 1e13 when 3 then 0.123456789::double else sentiment_score end as score
+ from stg_feedback)
+select rating, kind, (coalesce(cast(sum(cast(cast(case when abs(score) < 1e9 then score end as varchar) as decimal(38,18))) as double), 0)
+ + coalesce(sum(case when abs(score) >= 1e9 then score end), 0)) / nullif(count(score), 0) as avg_sentiment, count(*) as n
+from scored group by 1, 2
+""",
+    "commission_long_rate": """
+with cut as (
+ select order_id, total_amount as due, total_amount * case restaurant_id % 3 when 0 then cast('0.123456789123' as decimal(25,18))
+  when 1 then cast('1234.5' as decimal(25,18)) else share end as part
+ from (select o.order_id, cast(o.total_amount as decimal(12,2)) as total_amount, r.restaurant_id, share
+  from stg_order_header o left join stg_restaurant r on r.restaurant_id = o.restaurant_id left join rates on place = o.restaurant_id) t)
+select order_id, cast(cast(part as decimal(12,2)) as double) as platform_commission,
+ cast(cast(due - part as decimal(12,2)) as double) as restaurant_payout from cut
+""",
+    "city_search_to_order_enriched": retyped(
+        f"""
+with first_day as (select customer_id, min(full_date) as dt from enriched where is_delivered = 1 group by 1),
+ looked as (select e.customer_id, f.dt, count(*) as n from stg_customer_events e join first_day f on e.customer_id = f.customer_id
+  where event_type = 'SEARCH' group by 1, 2),
+ bought as (select customer_id, full_date as dt, count(*) as n from enriched where is_delivered = 1 group by 1, 2)
+select c.city as customer_city, s.dt, {total('s.n')} as total_searches, {total('o.n')} as total_orders,
+ {ratio('sum(o.n)', 'sum(s.n)')} as search_to_order_ratio
+from looked s join bought o on s.customer_id = o.customer_id and s.dt = o.dt join stg_customer c on s.customer_id = c.customer_id group by 1, 2
+""",
+        text="dt",
+    ),
     "flag_normalise": f"select {num('customer_id')}, is_prime_member as raw_flag, {flag('is_prime_member')} from raw_customer",
     "stg_customer": retyped("select * from stg_customer", text="registered_at"),
     "stg_restaurant": retyped("select * from stg_restaurant", text="onboarded_at"),
@@ -370,10 +456,10 @@ select agent_id, agent_name, phone, hire_date, case when right(agent_id, 1) = '1
     "stg_feedback": retyped("select * from stg_feedback", text="created_at"),
     "stg_customer_events": retyped("select * from stg_customer_events", text="event_ts"),
     "dim_date": retyped("select * from order_dates", text="full_date"),
-    "scd2_customer": retyped(_CUSTOMER_SCD2, ints="customer_sk"),
-    "scd2_restaurant": retyped(_RESTAURANT_SCD2, ints="restaurant_sk", text="onboarded_at"),
+    "scd2_customer": _CUSTOMER_SCD2,
+    "scd2_restaurant": retyped(_RESTAURANT_SCD2, text="onboarded_at"),
     "scd2_history": f"""
-select cast(customer_sk as bigint) as customer_sk, customer_id, customer_name, city, segment, effective_from, effective_to, is_current
+select customer_id, customer_name, city, segment, effective_from, effective_to, is_current
 from ({_CUSTOMER_SCD2}) v
 """,
     "scd3_restaurant_cuisine": f"""
@@ -442,7 +528,8 @@ from fct_delivery d join stg_delivery_agent a on d.agent_id = a.agent_id left jo
 group by 1, 2, 3, 4, 5
 """,
     "daily_city_kpi": retyped("select * from city_daily", text="full_date"),
-    "daily_city_kpi_stream": retyped("select * from city_daily", text="full_date"),
+    "daily_city_kpi_stream": retyped(_city_days("odd_all"), text="full_date"),
+    "daily_city_late_feedback": retyped(_city_days("odd_lowered"), text="full_date"),
     "q1_city_kpi": f"""
 select restaurant_city as city, count(*) as total_orders, {gmv()} as gmv, {_DONE}, {_GONE}, {_RATING}, {_SENTIMENT},
  {rnd(avg('sla_breach_flag'), 4)} as avg_sla_breach_rate from enriched group by 1

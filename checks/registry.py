@@ -23,19 +23,20 @@ from checks.inputs import (
 )
 from checks.raw_inputs import RAW_SQL
 from tiffin import schemas
-from tiffin.functions.clean import to_flag, to_int
+from tiffin.functions.calc import mean_of_doubles
+from tiffin.functions.clean import to_flag, to_int, to_money
 from tiffin.functions.policy import mask_email, mask_phone, sla_bucket
 from tiffin.operators import dims, facts, staging
 from tiffin.operators.access import apply_masks, apply_row_access
 from tiffin.operators.calendar import dim_date
 from tiffin.operators.edit import update_where
 from tiffin.operators.scd import scd2_current, scd2_history
-from tiffin.plans import analysis, dashboard, marts
+from tiffin.plans import analysis, dashboard, marts, refresh
 from tiffin.plans.dashboard import Filter
 from tiffin.plans.refresh import DIM_SCHEMAS, enriched_orders
-from tiffin.sources.raw import null_tokens
+from tiffin.sources.raw import null_tokens, read_raw_csv, read_raw_events
 from tiffin.sources.tables import append_table, empty, overwrite_table, read_table
-from tiffin.streaming.daily_city import ORDER_COLUMNS, daily_city_kpi_stream, read_daily_city_kpi
+from tiffin.streaming.daily_city import PERIOD, daily_city_kpi_stream, land, land_orders, read_daily_city_kpi
 from tiffin.streaming.ingest import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,24 +104,76 @@ def ingested_events(s: SparkSession, d: str) -> DataFrame:
     return staging.stg_customer_events(s.read.schema("event_raw variant").parquet(f"{work}/raw"))
 
 
-def streamed_city_days(s: SparkSession, d: str) -> DataFrame:
-    """Orders arriving in two waves; the second brings a quarter of the first again."""
+STREAMED = {"orders": "order_header", "trips": "delivery_trip", "feedback": "customer_feedback"}
+
+
+def _stream(s: SparkSession, d: str, waves: list[dict[str, DataFrame]]) -> DataFrame:
+    """The daily city table after several landings, each taken in by its own run of the stream."""
     work = run_folder(s, "stream")
-    rows = order_rows(s, d).select(*ORDER_COLUMNS)
-    quarter = F.col("order_id") % 4
-    for wave in ([0, 1], [2, 3, 0]):
-        append_table(rows.filter(quarter.isin(wave)), f"{work}/landing")
+    landing = {n: f"{work}/landing/{n}" for n in STREAMED}
+    day_schema = {n: df.schema for n, df in waves[0].items()}
+    day_schema["orders"] = day_schema["orders"].add(PERIOD, "date")
+    for wave in waves:
+        for name, rows in wave.items():
+            land_orders(rows, landing[name], "month") if name == "orders" else land(rows, landing[name])
         daily_city_kpi_stream(
             s,
-            f"{work}/landing",
+            landing,
             f"{work}/out",
             f"{work}/checkpoint",
-            schema=rows.schema,
-            state_partitions=s.sparkContext.defaultParallelism,
+            schemas=day_schema,
+            dimensions=lambda: (stored(s, d, "dim_date"), customers(s, d), stored(s, d, "dim_restaurant")),
+            latest_by=["delivery"],
+            grain="month",
         ).awaitTermination()
     return read_daily_city_kpi(s, f"{work}/out")
 
 
+def _staged_for_stream(s: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Staged orders, some with a negative id and some without any, which then have no trip and no feedback."""
+    stage = {"orders": staging.stg_order_header, "trips": staging.stg_delivery_trip, "feedback": staging.stg_feedback}
+    k = F.col("order_id")
+    odd = F.when(F.pmod(k, F.lit(50)) == 7, -k).when(F.pmod(k, F.lit(50)) != 9, k)
+    return {n: stage[n](raw(s, d, r)).withColumn("order_id", odd).filter("order_id is not null" if n != "orders" else "true") for n, r in STREAMED.items()}
+
+
+def _delivered(df: DataFrame, number: int) -> DataFrame:
+    return df.withColumn("delivery", F.lit(number).cast("bigint"))
+
+
+def streamed_city_days(s: SparkSession, d: str) -> DataFrame:
+    """Three landings: half of the orders, an eighth of them still open; then the other half, the open ones again as they ended, and all
+    trips with half of the feedback; at last the rest of the feedback, and a quarter of the orders once more."""
+    rows = _staged_for_stream(s, d)
+    part = F.pmod(F.xxhash64(F.coalesce("order_id", F.lit(0)), "order_created_at"), F.lit(8))
+    orders, open_ = rows["orders"], part == 0
+    early = orders.filter(part < 4)
+    undone = early.withColumns(
+        {"order_status": F.when(open_ & F.col("order_id").isNotNull(), "PLACED").otherwise(F.col("order_status"))}
+    )
+    late = orders.filter(part >= 4).unionByName(early.filter(open_ & F.col("order_id").isNotNull()))
+    again = orders.filter(part.isin(1, 2) & F.col("order_id").isNotNull())
+    half = F.pmod("feedback_id", F.lit(2)) == 0
+    waves = [
+        {"orders": undone, "trips": rows["trips"].limit(0), "feedback": rows["feedback"].limit(0)},
+        {"orders": late, "trips": rows["trips"], "feedback": rows["feedback"].filter(half)},
+        {"orders": again, "trips": rows["trips"].limit(0), "feedback": rows["feedback"].filter(~half)},
+    ]
+    return _stream(s, d, [{n: _delivered(df, i) for n, df in wave.items()} for i, wave in enumerate(waves)])
+
+
+def late_feedback_days(s: SparkSession, d: str) -> DataFrame:
+    """All orders and trips first; then feedback alone, of which every tenth comes a second time with the lowest rating."""
+    rows = _staged_for_stream(s, d)
+    lower = rows["feedback"].filter(F.pmod("feedback_id", F.lit(10)) == 3).withColumn("rating", F.lit(1).cast("bigint"))
+    waves = [
+        {"orders": rows["orders"], "trips": rows["trips"], "feedback": rows["feedback"].limit(0)},
+        {"feedback": rows["feedback"]},
+        {"feedback": lower},
+    ]
+    return _stream(s, d, [{n: _delivered(df, i) for n, df in wave.items()} for i, wave in enumerate(waves)])
+
+
 def _two_runs(name: str, source: str, stage, advance, *, clocked: bool) -> Query:
     """A dimension after two deliveries, the first one stored in between, as a refresh would."""
 
@@ -134,6 +187,20 @@ def _two_runs(name: str, source: str, stage, advance, *, clocked: bool) -> Query
     return query
 
 
+def _judged_keys(query: Query, sk: str) -> Query:
+    """Surrogate keys are not compared by value: they must be unique, and those of the second run above all of the first."""
+
+    def judged(s: SparkSession, d: str) -> DataFrame:
+        dim = query(s, d)
+        top = dim.filter(F.col("effective_from") < F.lit(SECOND_RUN)).agg(F.max(sk)).scalar()
+        copies = dim.groupBy(sk).agg(F.count("*").alias("_copies"))
+        grown = (F.col("effective_from") < F.lit(SECOND_RUN)) | (F.col(sk) > top)
+        judged_ = dim.join(copies, sk).withColumns({"key_is_unique": F.col("_copies") == 1, "key_has_grown": grown})
+        return judged_.drop(sk, "_copies")
+
+    return judged
+
+
 scd2_customers = _two_runs("dim_customer", "customer", staging.stg_customer, dims.next_customers, clocked=True)
 scd2_restaurants = _two_runs("dim_restaurant", "restaurant", staging.stg_restaurant, dims.next_restaurants, clocked=True)
 scd3_cuisines = _two_runs(
@@ -174,6 +241,92 @@ def masked_customers(s: SparkSession, d: str) -> DataFrame:
     )
 
 
+def wide_money(s: SparkSession, d: str) -> DataFrame:
+    """Amounts of thirty digits, some of them no number; as text, since a double could not show them."""
+    text = F.when(F.col("order_id").endswith("3"), "n/a").otherwise(
+        F.concat(F.lit("98765432109876543210"), F.lpad("order_id", 10, "0"), F.lit(".129"))
+    )
+    amounts = raw(s, d, "order_header").select("order_id", text.alias("amount"))
+    return amounts.select(to_int("order_id"), to_money("amount").cast("string").alias("amount"))
+
+
+def dirty_sentiments(s: SparkSession, d: str) -> DataFrame:
+    """Scores that ingest accepts: not finite, very large, with nine decimals."""
+    k = F.pmod(F.col("feedback_id").cast("bigint"), F.lit(7))
+    score = F.when(k == 0, "NaN").when(k == 1, "Infinity").when(k == 2, "1e13").when(k == 3, "0.123456789")
+    staged = staging.stg_feedback(raw(s, d, "customer_feedback").withColumn("sentiment_score", score.otherwise(F.col("sentiment_score"))))
+    return staged.groupBy("rating", k.alias("kind")).agg(mean_of_doubles("sentiment_score").alias("avg_sentiment"), F.count("*").alias("n"))
+
+
+def long_rates(s: SparkSession, d: str) -> DataFrame:
+    """Commission rates of twelve decimals, and above a thousand."""
+    k = F.pmod(F.col("restaurant_id").cast("bigint"), F.lit(3))
+    rate = F.when(k == 0, "0.123456789123").when(k == 1, "1234.5").otherwise(F.col("commission_rate"))
+    return facts.fct_order_enhanced(
+        staging.stg_order_header(raw(s, d, "order_header")),
+        stored(s, d, "dim_date"),
+        staging.stg_delivery_trip(raw(s, d, "delivery_trip")),
+        staging.stg_restaurant(raw(s, d, "restaurant").withColumn("commission_rate", rate)),
+    ).select("order_id", "platform_commission", "restaurant_payout")
+
+
+def batch_events(s: SparkSession, d: str) -> DataFrame:
+    path = run_folder(s, "events")
+    raw_text(s, d, schemas.EVENTS).write.text(path)
+    return staging.stg_customer_events(read_raw_events(s, path))
+
+
+def csv_feedback(s: SparkSession, d: str) -> DataFrame:
+    """Feedback as CSV files whose comments hold line breaks, quotes and commas."""
+    path = run_folder(s, "feedback")
+    comment = F.concat(F.lit('said "'), F.col("comment"), F.lit('",\nthen left'))
+    raw_text(s, d, "customer_feedback").withColumn("comment", comment).write.options(header=True, quote='"', escape='"').csv(path)
+    return staging.stg_feedback(read_raw_csv(s, path, "customer_feedback", rejects="bad"))
+
+
+def latest_events(s: SparkSession, d: str) -> DataFrame:
+    """All events delivered once with an old device name, those with an even id again as they are."""
+    text = raw_text(s, d, schemas.EVENTS).withColumnRenamed("event_raw", "value")
+    old = text.withColumn("value", F.replace("value", F.lit("iOS"), F.lit("Old")))
+    even = F.pmod(F.get_json_object("value", "$.event_id").cast("bigint"), F.lit(2)) == 0
+    both = old.withColumn("delivery", F.lit(1)).unionByName(text.filter(even).withColumn("delivery", F.lit(2)))
+    events = both.select(F.try_parse_json("value").alias("event_raw"), "delivery")
+    return refresh.staged(refresh.Config("", {schemas.EVENTS: events}, latest_by={schemas.EVENTS: ["delivery"]}), schemas.EVENTS)
+
+
+def overwritten(s: SparkSession, d: str) -> DataFrame:
+    """A table written twice, the second time from itself; only the last version stays."""
+    path = run_folder(s, "table")
+    agents_ = staging.stg_delivery_agent(raw(s, d, "delivery_agent"))
+    overwrite_table(agents_.select("agent_id", "city"), path)
+    again = read_table(s, path)
+    overwrite_table(again.withColumn("city", F.upper("city")), path, keep=1)
+    return read_table(s, path)
+
+
+def appended(s: SparkSession, d: str) -> DataFrame:
+    path = run_folder(s, "table")
+    trips_ = staging.stg_delivery_trip(raw(s, d, "delivery_trip")).select("trip_id", "order_id")
+    late = F.pmod("trip_id", F.lit(2)) == 1
+    append_table(trips_.filter(~late), path)
+    append_table(trips_.filter(late), path)
+    return s.read.parquet(path)
+
+
+def run_log(s: SparkSession, d: str) -> DataFrame:
+    return s.read.parquet(f"{warehouse(s, d)}/run_log").select("proc_name", "run_ts", "status")
+
+
+def late_funnel(s: SparkSession, d: str) -> DataFrame:
+    """The funnel fed from the enriched order row, with the events moved to the day of the customer's first order."""
+    rows = order_rows(s, d)
+    first = rows.filter("is_delivered = 1").groupBy("customer_id").agg(F.min("full_date").alias("day"))
+    moved = (
+        stored(s, d, "fct_customer_event").join(first, "customer_id").withColumn("event_ts", F.col("day").cast("timestamp_ntz")).drop("day")
+    )
+    return marts.city_search_to_order(moved, rows, customers(s, d))
+
+
 def _staged(name: str, stage) -> Query:
     return lambda s, d: stage(raw(s, d, name))
 
@@ -210,7 +363,16 @@ QUERIES: dict[str, Query] = {
         F.col("agent_id").endswith("1"),
         {"city": F.lit("Moved"), "status": F.lit("INACTIVE")},
     ),
+    "ingest_events_batch": batch_events,
+    "ingest_csv_feedback": csv_feedback,
+    "events_latest": latest_events,
+    "table_overwrite": overwritten,
+    "table_append": appended,
+    "run_log": run_log,
     # staging
+    "stg_money_wide": wide_money,
+    "dirty_sentiment_kpi": dirty_sentiments,
+    "commission_long_rate": long_rates,
     "flag_normalise": lambda s, d: raw_text(s, d, "customer").select(
         to_int("customer_id"), F.col("is_prime_member").alias("raw_flag"), to_flag("is_prime_member")
     ),
@@ -227,10 +389,10 @@ QUERIES: dict[str, Query] = {
     "stg_customer_events": _staged(schemas.EVENTS, staging.stg_customer_events),
     # dimensions and facts
     "dim_date": order_calendar,
-    "scd2_customer": scd2_customers,
-    "scd2_restaurant": scd2_restaurants,
+    "scd2_customer": _judged_keys(scd2_customers, "customer_sk"),
+    "scd2_restaurant": _judged_keys(scd2_restaurants, "restaurant_sk"),
     "scd2_history": lambda s, d: scd2_history(scd2_customers(s, d), "customer_id").select(
-        "customer_sk", "customer_id", "customer_name", "city", "segment", "effective_from", "effective_to", "is_current"
+        "customer_id", "customer_name", "city", "segment", "effective_from", "effective_to", "is_current"
     ),
     "scd3_restaurant_cuisine": scd3_cuisines,
     "scd1_delivery_agent": scd1_agents,
@@ -260,7 +422,9 @@ QUERIES: dict[str, Query] = {
         "agent_feedback_kpi",
         "daily_city_kpi",
     )},
+    "city_search_to_order_enriched": late_funnel,
     "daily_city_kpi_stream": streamed_city_days,
+    "daily_city_late_feedback": late_feedback_days,
     # analysis
     "q1_city_kpi": lambda s, d: analysis.city_kpi(order_rows(s, d)),
     "q2_top_restaurants": lambda s, d: analysis.top_restaurants(order_rows(s, d)),

@@ -28,8 +28,8 @@ def apply(rows, values, column):
         ("-2.5", -3, Decimal("-2.50"), -3),
         ("x", None, Decimal("0.00"), 0),
         ("1e3", 1000, Decimal("1000.00"), 1000),
-        ("9223372036854775808", None, Decimal("0.00"), 0),
-        ("9223372036854775807", 9223372036854775807, Decimal("0.00"), 0),
+        ("9223372036854775808", None, Decimal("9223372036854775808.00"), 9223372036854775808),
+        ("9223372036854775807", 9223372036854775807, Decimal("9223372036854775807.00"), 9223372036854775807),
     ],
 )
 def test_numbers(rows, value, number, money, whole):
@@ -108,4 +108,21 @@ def test_averages_and_division(rows):
 
 def test_rounding_is_half_up_in_decimal(rows):
     got = rows([(2.675,), (0.125,), (-0.125,)], "x double").select(rounded(F.col("x"), 2).alias("r")).collect()
-    assert [r.r for r in got] == [Decimal("2.68"), Decimal("0.13"), Decimal("-0.13")]
+    assert [r.r for r in got] == [2.68, 0.13, -0.13]
+
+
+def test_money_keeps_every_digit_and_a_number_too_wide_is_no_default(rows):
+    wide = "123456789012345678901234567890123456.78"
+    assert apply(rows, [wide, "1e40", "none"], to_money("v")) == [Decimal(wide), None, Decimal("0.00")]
+
+
+def test_averages_of_doubles_keep_small_digits_and_leave_out_what_is_not_finite(rows):
+    def mean_of(*values):
+        return rows([(v,) for v in values], "x double").agg(mean_of_doubles("x").alias("m")).first().m
+
+    assert mean_of(0.123456789, 0.123456789) == 0.123456789
+    assert mean_of(0.5, float("nan"), float("inf"), None) == 0.5
+    assert mean_of(1e13, 3e13) == 2e13 and mean_of(1e300) == 1e300
+    assert mean_of(float("nan")) is None and mean_of(None) is None
+    got = rows([(2.67499999999,), (1e30,)], "x double").select(rounded(F.col("x"), 2).alias("r")).collect()
+    assert [r.r for r in got] == [2.67, 1e30]

@@ -11,6 +11,7 @@ from tiffin.plans.marts import daily_city_kpi
 from tiffin.plans.refresh import Config, enriched_orders, refresh_all, run_step, table
 from tiffin.schemas import EVENTS, RAW_COLUMNS, raw_schema
 from tiffin.sources.raw import parse_events
+from tiffin.sources.tables import list_names, versions
 
 T1, T2 = datetime(2024, 6, 1), datetime(2024, 6, 2)
 
@@ -121,29 +122,51 @@ def test_the_last_ingested_row_wins(spark, config):
     assert sorted((r.customer_id, r.city or "") for r in table(spark, cfg.root, "dim_customer").collect()) == [(1, "Noida"), (2, "")]
 
 
-def test_a_second_trip_repeats_the_order_unless_reduced(spark, config):
-    """Nothing makes trips unique by itself: the order appears once per trip in the fact, and again per trip when enriched."""
-    cfg = config(delivery_trip=DATA["delivery_trip"] * 2)
-    refresh_all(spark, cfg, T1)
-    assert table(spark, cfg.root, "fct_order_enhanced").filter("order_id = 100").count() == 2
-    assert table(spark, cfg.root, "fct_order_secure").filter("order_id = 100").count() == 4
+def test_a_second_trip_fails_the_order_fact_and_skips_what_reads_it(spark, config):
+    """Two trips of an order would multiply it: the step says so, and the table built on it is not touched."""
+    cfg = config(delivery_trip=[DATA["delivery_trip"][0], ("9", *DATA["delivery_trip"][0][1:])])
+    status = refresh_all(spark, cfg, T1)
+    assert (status["fct_order_enhanced"], status["fct_order_secure"], status["fct_delivery"]) == ("ERROR", "SKIPPED", "SUCCESS")
+    log = {r.proc_name: r.message for r in spark.read.parquet(cfg.log_path).collect()}
+    assert "order_id occurs up to 2 times" in log["fct_order_enhanced"]
+    assert log["fct_order_secure"] == "fct_order_secure waits for fct_order_enhanced"
+    allowed = refresh_all(spark, replace(cfg, one_per_order=False), T2)
+    assert allowed["fct_order_secure"] == "SUCCESS"
+
+
+def test_old_versions_expire(spark, config):
+    for when in (T1, T2, datetime(2024, 6, 3)):
+        refresh_all(spark, replace(config(), keep=2), when)
+    cfg = config()
+    assert len(versions(spark, cfg.path("dim_customer"))) == 2
+    assert len(list_names(spark, cfg.path("dim_customer/data"))) == 2
+    assert table(spark, cfg.root, "fct_order_secure").count() == 3
+
+
+def test_redelivered_events_are_reduced(spark, config):
+    cfg = config()
+    events = cfg.raw[EVENTS]
+    newer = events.withColumn("seen", F.lit(1)).unionByName(events.withColumn("seen", F.lit(2)))
+    cfg = replace(cfg, raw={**cfg.raw, EVENTS: newer}, latest_by={EVENTS: ["seen"]})
+    assert refresh_all(spark, cfg, T1)["fct_customer_event"] == "SUCCESS"
+    assert table(spark, cfg.root, "fct_customer_event").count() == events.count()
 
 
 def test_new_orders_show_up_in_the_daily_city_table(spark, config):
-    """Ten orders land after the first load; a refresh of the facts brings them into the marts."""
+    """Orders that land after the first load reach the marts with the next refresh of the facts."""
     refresh_all(spark, config(), T1)
-    ten = [
-        (f"900000{i}", "1", "10", "2024-06-02 12:00:00", "DELIVERED", "UPI", "", "500.00", "50.00", "30.00", "480.00",
-         "2024-06-02 12:40:00", "2024-06-02 12:45:00", "")
-        for i in range(10)
+    more = [
+        (str(7700 + i), "1", "10", "2024-06-02 19:05:00", "DELIVERED", "CARD", "", "321.10", "21.10", "17.25", "317.25",
+         "2024-06-02 19:30:00", "2024-06-02 19:41:00", "")
+        for i in range(7)
     ]
-    cfg = config(order_header=[*DATA["order_header"], *ten])
+    cfg = config(order_header=[*DATA["order_header"], *more])
     refresh_all(spark, cfg, T2)
     today = daily_city_kpi(table(spark, cfg.root, "fct_order_secure")).filter("full_date = '2024-06-02'").collect()
     assert [(r.customer_city, r.restaurant_city, r.total_orders, r.gmv, r.avg_rating) for r in today] == [
-        ("Delhi", "Pune", 10, Decimal("4800.00"), None)
+        ("Delhi", "Pune", 7, Decimal("2220.75"), None)
     ]
-    assert (today[0].delivered_orders, today[0].avg_sla_breach_rate) == (10, None)  # no trips yet
+    assert (today[0].delivered_orders, today[0].avg_sla_breach_rate) == (7, None)  # no trips yet
 
 
 def test_single_steps_are_logged_too(spark, work):

@@ -197,3 +197,17 @@ def test_type2_against_a_plain_model(spark, people, batches):
     assert got == model
     assert dim.select("customer_sk").distinct().count() == dim.count()
     assert dim.filter(F.col("customer_sk").isNull()).count() == 0
+
+
+def test_type2_numbers_only_new_versions_and_spreads_strided_keys(spark, rows):
+    """Ids that are all multiples of 1,024 use many counters, and no window runs over unchanged rows."""
+    schema = "sk bigint, k bigint, v string, effective_from timestamp_ntz, effective_to timestamp_ntz, is_current boolean, record_source string"
+    src = spark.range(4_000).select((F.col("id") * 1024).alias("k"), F.lit("x").alias("v"))
+    first = scd2_apply(empty(spark, schema), src, key="k", sk="sk", tracked={"v": ""}, now=T1, source="s", counters=64)
+    keys = sorted(r.sk for r in first.collect())
+    assert len(set(keys)) == 4_000
+    assert len({k % 64 for k in keys}) == 64 and keys[-1] < 3 * 4_000
+    plan = first._jdf.queryExecution().optimizedPlan().toString()
+    window = plan[plan.index("Window") :]
+    assert "Filter" in window
+    assert plan.count("Window [") == 1

@@ -1,113 +1,111 @@
-"""The incrementally kept daily city table equals the one computed at once."""
+"""The daily city table as a stream: whatever the order of arrival, it ends where the batch mart does."""
 
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from tiffin.plans.marts import daily_city_kpi
-from tiffin.sources.tables import append_table
-from tiffin.streaming.daily_city import (
-    ORDER_COLUMNS,
-    _write_part,
-    city_day_sums,
-    compact,
-    correct_keys,
-    daily_city_kpi_stream,
-    read_daily_city_kpi,
-)
+from tiffin import schemas
+from tiffin.sources.tables import empty
+from tiffin.streaming.daily_city import PERIOD, daily_city_kpi_stream, land, land_orders, read_daily_city_kpi
 
-SCHEMA = (
-    "full_date date, customer_city string, restaurant_city string, order_id bigint, total_amount decimal(12,2), is_delivered bigint,"
-    " is_cancelled bigint, rating bigint, sentiment_score double, sla_breach_flag bigint"
+ORDER = (
+    "order_id bigint, customer_id bigint, restaurant_id bigint, order_created_at timestamp_ntz, order_status string, payment_method string,"
+    " promo_id bigint, order_subtotal decimal(38,2), order_discount decimal(38,2), delivery_fee decimal(38,2), total_amount decimal(38,2),"
+    " expected_delivery_at timestamp_ntz, actual_delivery_at timestamp_ntz, cancellation_reason string, delivery int"
 )
+TRIP = (
+    "trip_id bigint, order_id bigint, agent_id bigint, pickup_time timestamp_ntz, drop_time timestamp_ntz, distance_km double,"
+    " estimated_time_min bigint, actual_time_min bigint, sla_breach_flag bigint, delivery int"
+)
+FEEDBACK = (
+    "feedback_id bigint, order_id bigint, customer_id bigint, rating bigint, comment string, sentiment_score double,"
+    " created_at timestamp_ntz, delivery int"
+)
+KINDS = {"orders": ORDER, "trips": TRIP, "feedback": FEEDBACK}
+D1, D2 = datetime(2024, 3, 1, 12), datetime(2024, 3, 2, 9)
 
 
-def some_orders(n):
-    for i in range(n):
-        yield (
-            None if i % 31 == 0 else date(2024, 1, 1 + i % 5), f"C{i % 3}" if i % 7 else None, f"R{i % 4}" if i % 5 else None, i,
-            Decimal(i * 37 % 1000) / 100, int(i % 3 > 0), int(i % 3 == 0), i % 6 if i % 2 else None, i % 9 / 10 if i % 2 else None,
-            i % 2 if i % 3 else None,
-        )
-
-
-@pytest.fixture
-def orders(rows):
-    df = rows(list(some_orders(400)), SCHEMA)
-    assert df.columns == ORDER_COLUMNS
-    return df
+def order(key, when=D1, status="DELIVERED", amount=10, delivery=1):
+    money, none = Decimal(amount), Decimal(0)
+    return (key, 1, 10, when, status, "CASH", None, money, none, none, money, None, None, None, delivery)
 
 
-@pytest.fixture
-def follow(spark, work, orders):
-    def run(**options):
-        daily_city_kpi_stream(spark, f"{work}/in", f"{work}/out", f"{work}/ckpt", schema=orders.schema, **options).awaitTermination()
-        return same(read_daily_city_kpi(spark, f"{work}/out"))
+def trip(key, order_id, late=0, delivery=1):
+    return (key, order_id, 5, D1, D1, 1.0, 20, 20, late, delivery)
 
-    return run
 
+def feedback(key, order_id, rating, delivery=1):
+    return (key, order_id, 1, rating, "c", 0.5, D1, delivery)
 
-def same(df):
-    return sorted(map(tuple, df.collect()), key=str)
 
+@pytest.fixture
+def city(spark, rows, work):
+    """Land rows, run the stream over what is new, and read the table."""
+    dates = rows([(20240300 + d, date(2024, 3, d)) for d in range(1, 4)], "date_key bigint, full_date date")
+    customers = empty(spark, schemas.DIM_CUSTOMER).unionByName(
+        rows([(1, "Delhi", True)], "customer_id bigint, city string, is_current boolean"), allowMissingColumns=True
+    )
+    places = empty(spark, schemas.DIM_RESTAURANT).unionByName(
+        rows([(10, "Pune", True, 0.2)], "restaurant_id bigint, city string, is_current boolean, commission_rate double"), allowMissingColumns=True
+    )
+    landing = {n: f"{work}/{n}" for n in KINDS}
+    typed = {n: empty(spark, k).schema for n, k in KINDS.items()}
+    typed["orders"] = typed["orders"].add(PERIOD, "date")
+
+    def run(grain="day", checkpoint="checkpoint", **landed):
+        for name in KINDS:
+            df = rows(landed.get(name, []), KINDS[name])
+            land_orders(df, landing[name], grain) if name == "orders" else land(df, landing[name])
+        daily_city_kpi_stream(
+            spark,
+            landing,
+            f"{work}/out",
+            f"{work}/{checkpoint}",
+            schemas=typed,
+            dimensions=lambda: (dates, customers, places),
+            latest_by=["delivery"],
+            grain=grain,
+        ).awaitTermination()
+        got = read_daily_city_kpi(spark, f"{work}/out").orderBy("full_date").collect()
+        return [(r.full_date and r.full_date.day, r.total_orders, float(r.gmv), r.delivered_orders, r.avg_rating, r.avg_sla_breach_rate) for r in got]
 
-def test_four_files_one_of_them_twice(orders, follow, work):
-    for part in (0, 1, 2, 3, 0):
-        append_table(orders.filter(F.col("order_id") % 4 == part).coalesce(1), f"{work}/in")
-    assert follow(max_files=1) == same(daily_city_kpi(orders))
+    return run
 
 
-def test_restart_takes_only_new_files(orders, follow, work):
-    append_table(orders.filter("order_id < 100"), f"{work}/in")
-    assert follow() == same(daily_city_kpi(orders.filter("order_id < 100")))
-    append_table(orders.filter("order_id >= 50"), f"{work}/in")  # 50 to 99 come again
-    assert follow() == same(daily_city_kpi(orders))
-    assert follow() == same(daily_city_kpi(orders))
+def test_a_change_of_status_a_late_trip_and_a_late_rating(city):
+    assert city(orders=[order(1, status="PLACED"), order(-2, D2)]) == [(1, 1, 10.0, 0, None, None), (2, 1, 10.0, 1, None, None)]
+    assert city(orders=[order(1, amount=12, delivery=2)], trips=[trip(7, 1, late=1)]) == [(1, 1, 12.0, 1, None, 1.0), (2, 1, 10.0, 1, None, None)]
+    assert city(feedback=[feedback(3, 1, 4), feedback(4, -2, 2)]) == [(1, 1, 12.0, 1, 4.0, 1.0), (2, 1, 10.0, 1, 2.0, None)]
+    assert city(feedback=[feedback(3, 1, 5, delivery=2)])[0] == (1, 1, 12.0, 1, 5.0, 1.0)
 
 
-def test_orders_without_an_id_all_count(orders, follow, work):
-    nameless = orders.withColumn("order_id", F.when(F.col("order_id") % 3 > 0, F.col("order_id")))
-    append_table(nameless.filter("order_id < 100 or order_id is null"), f"{work}/in")
-    append_table(nameless.filter("order_id is not null"), f"{work}/in")
-    assert follow(max_files=4) == same(daily_city_kpi(nameless))
+def test_repeated_deliveries_replays_and_orders_without_an_id(city):
+    rows = [order(1), order(None), order(None), order(2, D2)]
+    want = [(1, 3, 30.0, 3, None, None), (2, 1, 10.0, 1, None, None)]
+    assert city(orders=rows) == want
+    assert city(orders=[order(1, delivery=2), order(2, D2, delivery=2)]) == want
+    # A checkpoint that is lost replays everything.
+    assert city(checkpoint="another") == want
 
 
-def test_a_replayed_batch_counts_once(spark, orders, work):
-    for _ in range(2):
-        _write_part(city_day_sums(orders.filter("order_id < 200")), f"{work}/out", 0)
-        _write_part(city_day_sums(orders.filter("order_id >= 200")), f"{work}/out", 1)
-    assert same(read_daily_city_kpi(spark, f"{work}/out")) == same(daily_city_kpi(orders))
+def test_an_order_that_moves_leaves_its_old_day(city):
+    assert city(orders=[order(1), order(5, None)]) == [(None, 1, 10.0, 1, None, None), (1, 1, 10.0, 1, None, None)]
+    assert city(orders=[order(1, D2, delivery=2)]) == [(None, 1, 10.0, 1, None, None), (2, 1, 10.0, 1, None, None)]
 
 
-def test_compaction_keeps_the_result(spark, orders, work):
-    out = f"{work}/out"
-    parts = [orders.filter(F.col("order_id") % 5 == i) for i in range(5)]
-    for i in (0, 1, 2):
-        _write_part(city_day_sums(parts[i]), out, i)
-    assert compact(spark, out) == 2
-    assert compact(spark, out) is None
-    for i in (3, 4):
-        _write_part(city_day_sums(parts[i]), out, i)
-    assert same(read_daily_city_kpi(spark, out)) == same(daily_city_kpi(orders))
-    assert compact(spark, out) == 4
-    assert same(read_daily_city_kpi(spark, out)) == same(daily_city_kpi(orders))
+def test_months_as_periods(city):
+    assert city("month", orders=[order(1), order(2, D2)]) == [(1, 1, 10.0, 1, None, None), (2, 1, 10.0, 1, None, None)]
+    assert city("month", feedback=[feedback(1, 2, 3)]) == [(1, 1, 10.0, 1, None, None), (2, 1, 10.0, 1, 3.0, None)]
 
 
-def test_late_feedback_moves_old_keys(spark, orders, follow, work):
-    append_table(orders, f"{work}/in")
-    follow()
-    late = F.col("order_id") % 10 == 0
-    now = orders.withColumn("rating", F.when(late, F.lit(5).cast("bigint")).otherwise(F.col("rating")))
-    now = now.withColumn("customer_city", F.when(F.col("order_id") == 20, F.lit("Moved")).otherwise(F.col("customer_city")))
-    touched = orders.filter(late).unionByName(now.filter(late))
-    for _ in range(2):  # a correction may be run again
-        correct_keys(spark, f"{work}/out", now, touched, correction_id=0)
-        assert same(read_daily_city_kpi(spark, f"{work}/out")) == same(daily_city_kpi(now))
-    compact(spark, f"{work}/out")
-    assert same(read_daily_city_kpi(spark, f"{work}/out")) == same(daily_city_kpi(now))
+def test_nothing_landed_yet(spark, work):
+    assert read_daily_city_kpi(spark, f"{work}/none").collect() == []
 
 
-def test_nothing_arrived_yet(spark, work):
-    assert read_daily_city_kpi(spark, f"{work}/none").count() == 0
+def test_reads_of_one_day_prune_the_folders(city, spark, work):
+    city(orders=[order(1), order(2, D2)])
+    one = read_daily_city_kpi(spark, f"{work}/out")
+    assert {f.rsplit("=", 1)[1][:10] for f in spark.read.parquet(f"{work}/out").filter(F.col(PERIOD) == date(2024, 3, 1)).inputFiles()} >= {"2024-03-01"}
+    assert one.count() == 2

@@ -37,16 +37,16 @@ def test_a_table_never_written(spark, work):
 def test_undo_a_wrong_update(spark, rows, work):
     """Read a table as it was before a mistake, then make that version current again."""
     path = f"{work}/dim"
-    overwrite_table(rows([(100, "Loyal"), (101, "New")], "customer_id int, segment string"), path, at_millis=1_000_000)
-    broken = update_where(read_table(spark, path), F.col("customer_id") == 100, {"segment": F.lit("BROKEN")})
+    overwrite_table(rows([(31, "Gold"), (32, "Trial")], "customer_id int, segment string"), path, at_millis=1_000_000)
+    broken = update_where(read_table(spark, path), F.col("customer_id") == 31, {"segment": F.lit("OOPS")})
     overwrite_table(broken, path, at_millis=1_400_000)
-    assert values(read_table(spark, path)) == [(100, "BROKEN"), (101, "New")]
-    assert values(read_as_of(spark, path, 1_400_000 - 300_000)) == [(100, "Loyal"), (101, "New")]
+    assert values(read_table(spark, path)) == [(31, "OOPS"), (32, "Trial")]
+    assert values(read_as_of(spark, path, 1_250_000)) == [(31, "Gold"), (32, "Trial")]
     with pytest.raises(FileNotFoundError):
         read_as_of(spark, path, 999_999)
-    restore_as_of(spark, path, 1_400_000 - 300_000, at_millis=1_500_000)
-    assert values(read_table(spark, path)) == [(100, "Loyal"), (101, "New")]
-    assert values(read_as_of(spark, path, 1_450_000)) == [(100, "BROKEN"), (101, "New")]
+    restore_as_of(spark, path, 1_250_000, at_millis=1_500_000)
+    assert values(read_table(spark, path)) == [(31, "Gold"), (32, "Trial")]
+    assert values(read_as_of(spark, path, 1_450_000)) == [(31, "OOPS"), (32, "Trial")]
     with pytest.raises(FileNotFoundError):
         restore_as_of(spark, path, 5)
 

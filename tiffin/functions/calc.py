@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EXACT = "decimal(18,6)"
-ROUNDING = "decimal(28,10)"
+# Doubles are summed in this type up to LARGE, which keeps 18 decimal places; larger ones are summed as doubles beside it.
+FINE = "decimal(38,18)"
+LARGE = 1e9
 
 
 def divide(num: Column, den: Column) -> Column:
@@ -15,14 +16,41 @@ def divide(num: Column, den: Column) -> Column:
 
 
 def rounded(c: Column, digits: int) -> Column:
-    """Half-up rounding done in decimal: a binary double such as 2.675 sits just below its tie."""
-    return F.round(c.cast(ROUNDING), digits)
+    """Half-up rounding done in decimal: a binary double such as 2.675 sits just below its tie. Values too large for it are
+    rounded as doubles."""
+    c = c.cast("double")
+    return F.coalesce(F.round(c.try_cast(FINE), digits).cast("double"), F.round(c, digits))
 
 
-def exact_sum(c: str | Column) -> Column:
-    """Sum of a double column through a six-digit decimal."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.sum(c.cast(EXACT))
+def usable(name: str) -> Column:
+    """A double that can be summed: NaN and the infinities count as NULL, in sums and in counts alike."""
+    c = F.col(name)
+    return F.when(~F.isnan(c) & (F.abs(c) < float("inf")), c)
+
+
+def double_parts(name: str) -> dict[str, Column]:
+    """Aggregates from which the sum and the average of a double column follow, at any level: see ``double_sum``."""
+    c = usable(name)
+    return {
+        f"{name}_fine": F.sum(F.when(F.abs(c) < LARGE, c).cast(FINE)),
+        f"{name}_large": F.sum(F.when(F.abs(c) >= LARGE, c)),
+        f"{name}_n": F.count(c),
+    }
+
+
+def merged_parts(name: str) -> dict[str, Column]:
+    """The parts of groups added up."""
+    return {f"{name}_{p}": F.sum(f"{name}_{p}") for p in ("fine", "large", "n")}
+
+
+def double_sum(parts: dict[str, Column]) -> Column:
+    """The sum that parts stand for; NULL without a usable value."""
+    fine, large, n = parts.values()
+    return F.when(n > 0, F.coalesce(fine.cast("double"), F.lit(0.0)) + F.coalesce(large, F.lit(0.0)))
+
+
+def double_mean(parts: dict[str, Column]) -> Column:
+    return divide(double_sum(parts), [*parts.values()][2])
 
 
 def mean(name: str) -> Column:
@@ -31,7 +59,8 @@ def mean(name: str) -> Column:
 
 
 def mean_of_doubles(name: str) -> Column:
-    return divide(exact_sum(name), F.count(name))
+    """Average of the usable values of a double column."""
+    return double_mean(double_parts(name))
 
 
 def count_if(cond: Column) -> Column:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 NULL_TOKENS = ("", "NULL", "null")
 TRUE_TOKENS = ("Y", "1", "TRUE")
 
-MONEY_PRECISION = 18
+# The widest decimal: money keeps all its digits.
+MONEY_PRECISION = 38
 
 
 def _with_default(c: Column, default) -> Column:
@@ -25,10 +26,15 @@ def to_int(name: str, default: int | None = None) -> Column:
 
 
 def to_money(name: str, scale: int = 2, default: int | None = 0) -> Column:
-    """Text to decimal. ``scale=0`` rounds to whole units, as a scale-less number cast does."""
-    parsed = F.col(name).try_cast(f"decimal({MONEY_PRECISION},{scale})")
+    """Text to decimal. ``scale=0`` rounds to whole units, as a scale-less number cast does.
+
+    The default stands for text that is no number; a number too wide for the type becomes NULL, never the default.
+    """
+    kind = f"decimal({MONEY_PRECISION},{scale})"
+    parsed = F.col(name).try_cast(kind)
     if default is not None:
-        parsed = F.coalesce(parsed, F.lit(default).cast(f"decimal({MONEY_PRECISION},{scale})"))
+        no_number = F.col(name).try_cast("double").isNull()
+        parsed = F.coalesce(parsed, F.when(no_number, F.lit(default).cast(kind)))
     return parsed.alias(name)
 
 

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 # Roles that see every row. Deployments pass their own names.
 ALL_ROWS_ROLES = frozenset({"ADMIN", "SYSADMIN"})
 
-# Up to this many mapped cities and restaurants become literals in the scan filter; beyond it they are joined.
-MAX_LITERALS = 1_000
-
 Mask = Callable[[Column, str], Column]
 
 
@@ -28,12 +25,11 @@ def apply_row_access(
     city_col: str = "restaurant_city",
     id_col: str = "restaurant_id",
     all_rows_roles: Collection[str] = ALL_ROWS_ROLES,
-    max_literals: int = MAX_LITERALS,
 ) -> DataFrame:
     """Rows whose city or restaurant is mapped to the role. An unmapped role sees nothing, an admin role everything.
 
-    The usual role has a handful of entries, which are turned into literals so that the filter reaches the parquet scan.
-    A role with more entries than ``max_literals`` is served by two equi-joins instead of an OR join.
+    The mapping is read when the result is, so a change of it holds from the next run on. Two equi-joins instead of one OR join;
+    a role's few entries are broadcast.
     """
     if role in all_rows_roles:
         return df
@@ -41,21 +37,6 @@ def apply_row_access(
     by_city = mine.filter("access_type = 'CITY' and city is not null").select("city").distinct()
     by_id = mine.filter("access_type = 'RESTAURANT' and restaurant_id is not null").select("restaurant_id").distinct()
 
-    entries = (
-        by_city.select("city", F.lit(None).cast("bigint").alias("restaurant_id"))
-        .unionByName(by_id.select(F.lit(None).cast("string").alias("city"), "restaurant_id"))
-        .take(max_literals + 1)
-    )
-    if len(entries) <= max_literals:
-        cities = [e.city for e in entries if e.city is not None]
-        ids = [e.restaurant_id for e in entries if e.restaurant_id is not None]
-        allowed = F.lit(False)
-        if cities:
-            allowed = allowed | F.col(city_col).isin(cities)
-        if ids:
-            allowed = allowed | F.col(id_col).isin(ids)
-        return df.filter(allowed)
-
     city_hit = by_city.select(F.col("city").alias(city_col), F.lit(True).alias("_city_hit"))
     id_hit = by_id.select(F.col("restaurant_id").alias(id_col), F.lit(True).alias("_id_hit"))
     return (

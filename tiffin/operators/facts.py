@@ -10,27 +10,29 @@ from tiffin.schemas import ENRICHED_COLUMNS
 
 AMOUNT = "decimal(12,2)"
 FEE = "decimal(10,2)"
+RATE = "decimal(25,18)"
 
 
 def fct_order_enhanced(orders: DataFrame, dates: DataFrame, trips: DataFrame, restaurants: DataFrame) -> DataFrame:
     """One row per order (per trip, should an order have several), with eight derived columns.
 
-    The trip join comes first: it is the one fact-sized join. The calendar is broadcast, being bounded by its builder;
-    restaurants are if their size allows it, otherwise adaptive execution splits a hot restaurant across tasks.
+    The trip join comes first: it is the one fact-sized join; orders without an id match no trip and bypass it. Calendar and
+    restaurants are broadcast if their size allows it, otherwise adaptive execution splits a hot restaurant across tasks.
     """
     day = dates.select(F.col("full_date").alias("order_day"), F.col("date_key").alias("order_date_key"))
     trip = trips.select("order_id", "sla_breach_flag")
-    rate = restaurants.select("restaurant_id", F.col("commission_rate").cast("decimal(9,6)").alias("rate"))
+    rate = restaurants.select("restaurant_id", F.col("commission_rate").try_cast(RATE).alias("rate"))
 
+    dated = orders.withColumn("order_day", F.to_date("order_created_at"))
+    identified = dated.filter("order_id is not null").join(trip, "order_id", "left")
     joined = (
-        orders.withColumn("order_day", F.to_date("order_created_at"))
-        .join(trip, "order_id", "left")
-        .join(F.broadcast(day), "order_day", "left")
+        identified.unionByName(dated.filter("order_id is null"), allowMissingColumns=True)
+        .join(day, "order_day", "left")
         .join(rate, "restaurant_id", "left")
     )
     subtotal, discount, total = F.col("order_subtotal"), F.col("order_discount"), F.col("total_amount")
-    # Decimal product: a binary one would round half-cent ties either way.
-    commission = total * F.col("rate")
+    # Decimal product: a binary one would round half-cent ties either way. These types multiply without loss.
+    commission = total.cast(AMOUNT) * F.col("rate")
     return joined.select(
         "order_id",
         "customer_id",

@@ -16,9 +16,6 @@ from pyspark.sql.window import Window
 
 OPEN_END = datetime(9999, 12, 31)
 
-# Surrogate keys are dealt out by this many independent counters, so no task ever numbers all new rows.
-SK_COUNTERS = 1_024
-
 KEPT, CLOSED, FRESH = 0, 1, 2
 
 
@@ -26,16 +23,20 @@ def _ntz(ts: datetime) -> Column:
     return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
-def latest_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
+def latest_per_key(df: DataFrame, key: str | Column, order_by: Sequence[str]) -> DataFrame:
     """The last delivered row of each key; rows without a key are all kept.
 
-    A max over structs instead of a window: re-delivered copies of a hot key are reduced before the shuffle.
+    The greatest ordering wins and carries its row along, so only the ordering columns are compared, and columns without an
+    order, such as VARIANT, may be part of a row. Equal orderings are told apart by a hash of the other columns that have one.
+    Re-delivered copies of a hot key are reduced before the shuffle.
     """
-    rest = [c for c in df.columns if c != key and c not in order_by]
-    newest = F.max(F.struct(*order_by, *rest)).alias("newest")
-    keyed = df.filter(F.col(key).isNotNull()).groupBy(key).agg(newest)
-    last = keyed.select(*[F.col(key) if c == key else F.col(f"newest.{c}") for c in df.columns])
-    return last.unionByName(df.filter(F.col(key).isNull()))
+    keyed = df.withColumn("_key", F.col(key) if isinstance(key, str) else key)
+    plain = [c for c, kind in df.dtypes if "variant" not in kind and "map<" not in kind and c not in order_by]
+    texts = [F.to_json(c) for c, kind in df.dtypes if kind == "variant"]
+    tie = F.xxhash64(*[F.col(c) for c in plain], *texts) if plain or texts else F.lit(0)
+    newest = F.max_by(F.struct(*df.columns), F.struct(*order_by, tie)).alias("newest")
+    last = keyed.filter("_key is not null").groupBy("_key").agg(newest).select("newest.*")
+    return last.unionByName(keyed.filter("_key is null").drop("_key"))
 
 
 def scd1_upsert(dim: DataFrame, src: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
@@ -56,17 +57,17 @@ def scd2_apply(
     carried: Sequence[str] = (),
     now: datetime,
     source: str,
-    counters: int = SK_COUNTERS,
+    counters: int | None = None,
 ) -> DataFrame:
     """Close the current version of every key whose tracked columns changed, and open one for each key without any.
 
     ``tracked`` maps each compared column to the value NULL is taken for, so NULL and that value are equal.
     ``carried`` columns are stored but do not open a version by themselves. Keys missing from the source stay open.
 
-    Closed versions of earlier runs pass through untouched. Current versions and source meet in one full outer join on
-    the key, which yields up to two rows per key. New surrogate keys follow on the highest one: key modulo ``counters``
-    picks a counter, and each counter deals every ``counters``-th number, which needs no global sort. Numbers are
-    unique and grow from run to run, but may skip.
+    Closed versions of earlier runs pass through untouched. Current versions and source meet in one full outer join on the key, which
+    yields up to two rows per key. Only the new versions are numbered, from the highest surrogate key on: a hash of the key picks one
+    of ``counters`` (by default as many as there are shuffle partitions), and each counter deals every ``counters``-th number, which
+    needs no global sort. Numbers are unique and grow from run to run, but may skip.
     """
     types = {f.name: f.dataType for f in dim.schema.fields}
     attributes = [key, *tracked, *carried]
@@ -109,15 +110,17 @@ def scd2_apply(
         *[F.when(fresh, fresh_values[c]).otherwise(stored_values[c]).cast(types[c]).alias(c) for c in others],
     )
 
-    counter = F.pmod(F.col(key) if types[key].typeName() == "long" else F.xxhash64(key), F.lit(counters).cast("bigint"))
-    turn = F.row_number().over(Window.partitionBy("_fresh", "_counter").orderBy(key)).cast("bigint")
+    n = counters or int(dim.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     highest = dim.agg(F.coalesce(F.max(sk), F.lit(0)).cast("bigint")).scalar()
+    turn = F.row_number().over(Window.partitionBy("_counter").orderBy(key)).cast("bigint")
     numbered = (
-        versions.withColumn("_counter", counter)
+        versions.filter("_fresh")
+        .withColumn("_counter", F.pmod(F.xxhash64(key), F.lit(n).cast("bigint")))
         .withColumn("_turn", turn)
-        .withColumn(sk, F.when(F.col("_fresh"), highest + 1 + F.col("_counter") + (F.col("_turn") - 1) * counters).otherwise(F.col(sk)))
+        .withColumn(sk, highest + 1 + F.col("_counter") + (F.col("_turn") - 1) * n)
     )
-    return dim.filter("not is_current").unionByName(numbered.select(*dim.columns))
+    stay = versions.filter("not _fresh").select(*dim.columns)
+    return dim.filter("not is_current").unionByName(stay).unionByName(numbered.select(*dim.columns))
 
 
 def scd2_current(dim: DataFrame) -> DataFrame:

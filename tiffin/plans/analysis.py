@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiffin.functions.calc import divide, exact_sum, mean, mean_of_doubles, rounded
+from tiffin.functions.calc import divide, double_mean, double_parts, mean, mean_of_doubles, merged_parts, rounded
 from tiffin.operators.access import apply_row_access
 from tiffin.operators.scd import scd2_current
-from tiffin.plans.marts import RESTAURANT
+from tiffin.plans.marts import RESTAURANT, trips_per_agent
 
 
 def _gmv() -> Column:
@@ -118,8 +118,7 @@ def prime_kpi(enriched: DataFrame, customers: DataFrame) -> DataFrame:
         F.count("total_amount").alias("amount_n"),
         F.sum("rating").alias("rating"),
         F.count("rating").alias("rating_n"),
-        exact_sum("sentiment_score").alias("sentiment"),
-        F.count("sentiment_score").alias("sentiment_n"),
+        *[c.alias(n) for n, c in double_parts("sentiment_score").items()],
     )
     member = scd2_current(customers).select("customer_id", F.col("is_prime_member").alias("member"))
 
@@ -135,18 +134,19 @@ def prime_kpi(enriched: DataFrame, customers: DataFrame) -> DataFrame:
             F.sum("amount").alias("gmv"),
             average("amount").alias("avg_order_value"),
             average("rating").alias("avg_rating"),
-            average("sentiment").alias("avg_sentiment_score"),
+            rounded(double_mean(merged_parts("sentiment_score")), 2).alias("avg_sentiment_score"),
         )
         .orderBy(*_by_gmv("is_prime_member"))
     )
 
 
 def agent_perf(trips: DataFrame, agents: DataFrame) -> DataFrame:
-    per_agent = trips.groupBy("agent_id").agg(
-        F.count_distinct("order_id").alias("orders_delivered"),
-        rounded(mean("distance_km"), 2).alias("avg_distance_km"),
-        rounded(mean("actual_time_min"), 2).alias("avg_delivery_time_min"),
-        rounded(mean("sla_breach_flag"), 4).alias("sla_breach_rate"),
+    per_agent = trips_per_agent(trips).select(
+        "agent_id",
+        "orders_delivered",
+        rounded(F.col("avg_distance_km"), 2).alias("avg_distance_km"),
+        rounded(F.col("avg_delivery_time_min"), 2).alias("avg_delivery_time_min"),
+        rounded(F.col("sla_breach_rate"), 4).alias("sla_breach_rate"),
     )
     agent = agents.select("agent_id", "agent_name", F.col("city").alias("agent_city"), "vehicle_type", F.col("status").alias("agent_status"))
     return (
@@ -157,9 +157,11 @@ def agent_perf(trips: DataFrame, agents: DataFrame) -> DataFrame:
 
 
 def feedback_dist(feedback: DataFrame, enriched: DataFrame) -> DataFrame:
+    given = feedback.select("order_id", "rating", "sentiment_score")
+    place = enriched.filter("order_id is not null").select("order_id", "restaurant_city")
+    placed = given.filter("order_id is not null").join(place, "order_id", "left")
     return (
-        feedback.select("order_id", "rating", "sentiment_score")
-        .join(enriched.select("order_id", "restaurant_city"), "order_id", "left")
+        placed.unionByName(given.filter("order_id is null"), allowMissingColumns=True)
         .groupBy("restaurant_city", "rating")
         .agg(F.count("*").alias("feedback_count"), _sentiment())
         .orderBy(F.col("restaurant_city").asc_nulls_last(), F.col("rating").asc_nulls_last())

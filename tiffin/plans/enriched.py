@@ -16,9 +16,8 @@ def order_enriched(
 
     Trips and feedback are order-sized and joined first, back to back, on one partitioning by order. Adaptive execution
     need not split a join that feeds another on the same key, so orders without an id, which match nothing, bypass both;
-    where a file has none, its statistics keep it from being read for them. The calendar is broadcast, being bounded by
-    its builder. Customers and restaurants are broadcast while small, otherwise shuffled, where adaptive execution splits
-    a hot key.
+    where a file has none, its statistics keep it from being read for them. Calendar, customers and
+    restaurants are broadcast while small, otherwise shuffled, where adaptive execution splits a hot key.
     """
     trip = trips.select("order_id", "distance_km", "sla_breach_flag")
     rating = feedback.select("order_id", "rating", "sentiment_score")
@@ -42,7 +41,7 @@ def order_enriched(
     identified = renamed.filter("order_id is not null").join(trip, "order_id", "left").join(rating, "order_id", "left")
     joined = (
         identified.unionByName(renamed.filter("order_id is null"), allowMissingColumns=True)
-        .join(F.broadcast(day), "order_date_key", "left")
+        .join(day, "order_date_key", "left")
         .join(customer, F.col("o_customer") == F.col("c_id"), "left")
         .join(restaurant, F.col("o_restaurant") == F.col("r_id"), "left")
     )

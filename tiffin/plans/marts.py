@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tiffin.functions.calc import count_if, divide, exact_sum, mean, mean_of_doubles, rounded
+from tiffin.functions.calc import count_if, divide, double_mean, double_parts, mean, mean_of_doubles, rounded
 from tiffin.operators.scd import scd2_current
 
 RESTAURANT = ["restaurant_id", "restaurant_name", "restaurant_city", "cuisine_primary"]
@@ -54,20 +54,46 @@ def restaurant_advanced_kpi(enriched: DataFrame) -> DataFrame:
     )
 
 
-def _per_agent(trips: DataFrame) -> DataFrame:
-    """Trip figures per agent. Aggregated before the agent join, so a hot agent never travels as single trips."""
-    return trips.groupBy("agent_id").agg(
-        F.count_distinct("order_id").alias("orders_delivered"),
-        mean("distance_km").alias("avg_distance_km"),
-        mean("actual_time_min").alias("avg_delivery_time_min"),
-        mean("sla_breach_flag").alias("sla_breach_rate"),
-        F.count_distinct(F.to_date("pickup_time")).alias("days_worked"),
-    )
+def _per_agent(trips: DataFrame, sums: dict[str, Column], derive: dict[str, Column]) -> DataFrame:
+    """Orders, days and sums per agent. Aggregated before the agent join, so a hot agent never travels as single trips.
+
+    Days come from one aggregate by agent and day, which carries the sums; orders from one by agent and order. Both shrink to one
+    row per agent and meet there. ``sums`` are added up by day and then by agent; ``derive`` builds columns of the totals.
+    """
+    known = trips.filter("agent_id is not null")
+    by_day = known.groupBy("agent_id", F.to_date("pickup_time").alias("day")).agg(*[c.alias(n) for n, c in sums.items()])
+    totals = by_day.groupBy("agent_id").agg(*[F.sum(n).alias(n) for n in sums], F.count("day").alias("days_worked"))
+    orders = known.select("agent_id", "order_id").distinct().groupBy("agent_id").agg(F.count("order_id").alias("orders_delivered"))
+    return orders.join(totals, "agent_id").select("agent_id", "orders_delivered", *[c.alias(n) for n, c in derive.items()], "days_worked")
+
+
+def _averages(*names: str) -> dict[str, Column]:
+    return {k: c for n in names for k, c in ((n, F.sum(n)), (f"{n}_n", F.count(n)))}
+
+
+def _average(name: str) -> Column:
+    return divide(F.col(name), F.col(f"{name}_n"))
+
+
+def _trip_sums() -> dict[str, Column]:
+    return _averages("distance_km", "actual_time_min", "sla_breach_flag")
+
+
+def _trip_means() -> dict[str, Column]:
+    return {
+        "avg_distance_km": _average("distance_km"),
+        "avg_delivery_time_min": _average("actual_time_min"),
+        "sla_breach_rate": _average("sla_breach_flag"),
+    }
+
+
+def trips_per_agent(trips: DataFrame) -> DataFrame:
+    return _per_agent(trips, _trip_sums(), _trip_means())
 
 
 def agent_efficiency_kpi(trips: DataFrame, agents: DataFrame) -> DataFrame:
     return (
-        _per_agent(trips)
+        trips_per_agent(trips)
         .join(agents, "agent_id")
         .select(
             "agent_id",
@@ -165,16 +191,20 @@ def agent_feedback_kpi(trips: DataFrame, agents: DataFrame, enriched: DataFrame)
 
     Trips meet orders on the order id, then shrink to one row per agent before the agent join.
     """
-    rated = trips.join(enriched.select("order_id", "rating", "sentiment_score"), "order_id", "left")
-    per_agent = rated.groupBy("agent_id").agg(
-        F.count_distinct("order_id").alias("orders_delivered"),
-        mean("distance_km").alias("avg_distance_km"),
-        mean("actual_time_min").alias("avg_delivery_time_min"),
-        mean("sla_breach_flag").alias("sla_breach_rate"),
-        mean("rating").alias("avg_customer_rating"),
-        mean_of_doubles("sentiment_score").alias("avg_sentiment_score"),
-        count_if(is_low_rating()).alias("low_rating_orders"),
-        F.count_distinct(F.to_date("pickup_time")).alias("days_worked"),
+    order = enriched.filter("order_id is not null").select("order_id", "rating", "sentiment_score")
+    rated = (
+        trips.filter("order_id is not null").join(order, "order_id", "left").unionByName(trips.filter("order_id is null"), allowMissingColumns=True)
+    )
+    parts = double_parts("sentiment_score")
+    per_agent = _per_agent(
+        rated,
+        {**_trip_sums(), **_averages("rating"), **parts, "low_rating_orders": count_if(is_low_rating())},
+        {
+            **_trip_means(),
+            "avg_customer_rating": _average("rating"),
+            "avg_sentiment_score": double_mean({p: F.col(p) for p in parts}),
+            "low_rating_orders": F.col("low_rating_orders"),
+        },
     )
     agent = agents.select("agent_id", "agent_name", F.col("city").alias("agent_city"), "vehicle_type", F.col("status").alias("agent_status"))
     return (
@@ -185,7 +215,7 @@ def agent_feedback_kpi(trips: DataFrame, agents: DataFrame, enriched: DataFrame)
 
 
 def city_day_sums(rows: DataFrame) -> DataFrame:
-    """Additive form of the daily city table: sums and non-null counts, from which every output column follows."""
+    """Figures per day and pair of cities, from which every output column follows."""
     return rows.groupBy(*CITY_DAY).agg(
         F.count("*").alias("total_orders"),
         F.sum("total_amount").cast("decimal(38,2)").alias("gmv"),
@@ -193,8 +223,7 @@ def city_day_sums(rows: DataFrame) -> DataFrame:
         F.sum("is_cancelled").alias("cancelled_orders"),
         F.coalesce(F.sum("rating"), F.lit(0)).alias("rating_sum"),
         F.count("rating").alias("rating_n"),
-        F.coalesce(exact_sum("sentiment_score"), F.lit(0)).cast("decimal(38,6)").alias("sentiment_sum"),
-        F.count("sentiment_score").alias("sentiment_n"),
+        mean_of_doubles("sentiment_score").alias("sentiment"),
         F.coalesce(F.sum("sla_breach_flag"), F.lit(0)).alias("sla_sum"),
         F.count("sla_breach_flag").alias("sla_n"),
     )
@@ -208,7 +237,7 @@ def city_day_view(sums: DataFrame) -> DataFrame:
         "delivered_orders",
         "cancelled_orders",
         rounded(divide(F.col("rating_sum"), F.col("rating_n")), 2).alias("avg_rating"),
-        rounded(divide(F.col("sentiment_sum"), F.col("sentiment_n")), 2).alias("avg_sentiment_score"),
+        rounded(F.col("sentiment"), 2).alias("avg_sentiment_score"),
         rounded(divide(F.col("sla_sum"), F.col("sla_n")), 4).alias("avg_sla_breach_rate"),
     )
 

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime
+from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -27,8 +28,10 @@ class Config:
     """Where the warehouse lives, and the raw tables by name (all-text; events as one VARIANT column).
 
     Raw tables only grow, so a key may have been delivered again. ``latest_by`` names, per raw table, the columns that
-    order its deliveries, such as the ingest time; the last one is kept. Without it, a repeated key fails a dimension
-    and is kept in a fact.
+    order its deliveries, such as the ingest time; the last one is kept. Without it, a repeated key fails a dimension.
+
+    A second trip or feedback of an order would multiply it in the facts; ``one_per_order`` makes the step fail instead.
+    ``keep`` is the number of versions of each table that stay on disk; by default all do.
     """
 
     root: str
@@ -37,6 +40,8 @@ class Config:
     calendar_end: date = date(2028, 12, 31)
     money_scale: int = 2
     latest_by: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    one_per_order: bool = True
+    keep: int | None = None
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -72,6 +77,12 @@ def by_month(secure: DataFrame) -> DataFrame:
     return secure.select("*", month).hint("rebalance", MONTH)
 
 
+# What a step reads: it is skipped if one of these has failed.
+NEEDS = {
+    "fct_order_enhanced": ("dim_date", "dim_restaurant"),
+    "fct_order_secure": ("dim_date", "dim_customer", "dim_restaurant", "fct_order_enhanced", "fct_delivery", "fct_feedback"),
+}
+
 LogRow = tuple[str, datetime, str, str]
 
 
@@ -136,25 +147,44 @@ def staged(cfg: Config, name: str) -> DataFrame:
         return typed(raw)
     if set(order_by) <= set(typed(raw).columns):
         return latest_per_key(typed(raw), key, order_by)
-    return typed(latest_per_key(raw.withColumn("_key", to_int(key)), "_key", order_by).drop("_key"))
+    # Ordered by columns that staging drops, such as the ingest time: the key is taken from the raw row.
+    raw_key = F.try_variant_get("event_raw", "$.event_id", "bigint") if name == schemas.EVENTS else to_int(key)
+    return typed(latest_per_key(raw, raw_key, order_by))
 
 
 def refresh_all(spark: SparkSession, cfg: Config, as_of: datetime) -> dict[str, str]:
     """Refresh every table once: dimensions, then facts, then the secure order table. Returns the status of each step.
 
     Steps of one stage do not depend on each other and are submitted together, so that the tail of one does not leave
-    the cluster idle. The clock is an argument: both halves of a version change carry the same time.
+    the cluster idle. A raw table is typed and stored once, by the first step that needs it; checks and the other steps read what is
+    stored, a check no more than its column. A step whose inputs failed is logged as SKIPPED. Each stage is logged as it ends. The
+    clock is an argument: both halves of a version change carry the same time.
     """
+    locks = {name: Lock() for name in SOURCES}
+    ready: dict[str, DataFrame] = {}
+
+    def source_rows(name: str) -> DataFrame:
+        with locks[name]:
+            if name not in ready:
+                overwrite_table(staged(cfg, name), cfg.path(f"staging/{name}"), keep=1)
+                ready[name] = table(spark, cfg.root, f"staging/{name}")
+        return ready[name]
+
+    def only_one(name: str) -> DataFrame:
+        rows = source_rows(name)
+        if cfg.one_per_order:
+            check_keys(rows.select("order_id"), "order_id")
+        return rows
 
     def stored(name: str) -> DataFrame:
         return table(spark, cfg.root, name)
 
     def save(name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
-        overwrite_table(df, cfg.path(name), partition_by=partition_by)
+        overwrite_table(df, cfg.path(name), partition_by=partition_by, keep=cfg.keep)
 
     def dimension(name: str, source: str, advance: Callable[..., DataFrame], *args: object) -> Callable[[], str]:
         def step() -> str:
-            src = staged(cfg, source)
+            src = source_rows(source)
             note = check_keys(src, SOURCES[source][1])
             save(name, advance(stored(name), src, *args))
             return note
@@ -162,7 +192,7 @@ def refresh_all(spark: SparkSession, cfg: Config, as_of: datetime) -> dict[str,
         return step
 
     def order_fact() -> DataFrame:
-        orders, trips, restaurants = (staged(cfg, n) for n in ("order_header", "delivery_trip", "restaurant"))
+        orders, trips, restaurants = source_rows("order_header"), only_one("delivery_trip"), source_rows("restaurant")
         return facts.fct_order_enhanced(orders, stored("dim_date"), trips, restaurants)
 
     stages: list[dict[str, Callable[[], object]]] = [
@@ -176,9 +206,9 @@ def refresh_all(spark: SparkSession, cfg: Config, as_of: datetime) -> dict[str,
         },
         {
             "fct_order_enhanced": lambda: save("fct_order_enhanced", order_fact()),
-            "fct_delivery": lambda: save("fct_delivery", facts.fct_delivery(staged(cfg, "delivery_trip"))),
-            "fct_feedback": lambda: save("fct_feedback", facts.fct_feedback(staged(cfg, "customer_feedback"))),
-            "fct_customer_event": lambda: save("fct_customer_event", facts.fct_customer_event(staged(cfg, schemas.EVENTS))),
+            "fct_delivery": lambda: save("fct_delivery", facts.fct_delivery(source_rows("delivery_trip"))),
+            "fct_feedback": lambda: save("fct_feedback", facts.fct_feedback(only_one("customer_feedback"))),
+            "fct_customer_event": lambda: save("fct_customer_event", facts.fct_customer_event(source_rows(schemas.EVENTS))),
         },
         {
             "fct_order_secure": lambda: save(
@@ -186,10 +216,17 @@ def refresh_all(spark: SparkSession, cfg: Config, as_of: datetime) -> dict[str,
             ),
         },
     ]
-    log: list[LogRow] = []
+    status: dict[str, str] = {}
     with ThreadPoolExecutor(max_workers=max(len(s) for s in stages)) as pool:
         for steps in stages:
-            runs = [pool.submit(inheritable_thread_target(spark)(attempt), name, step, as_of) for name, step in steps.items()]
+            log, runs = [], []
+            for name, step in steps.items():
+                failed = [n for n in NEEDS.get(name, ()) if status.get(n, "SUCCESS") != "SUCCESS"]
+                if failed:
+                    log.append((name, as_of, "SKIPPED", f"{name} waits for {', '.join(failed)}"))
+                else:
+                    runs.append(pool.submit(inheritable_thread_target(spark)(attempt), name, step, as_of))
             log += [run.result() for run in runs]
-    log_runs(spark, log, cfg.log_path)
-    return {name: status for name, _, status, _ in log}
+            log_runs(spark, log, cfg.log_path)
+            status |= {name: state for name, _, state, _ in log}
+    return status

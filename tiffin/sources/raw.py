@@ -12,6 +12,19 @@ from tiffin.schemas import raw_schema
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "enforceSchema": "true"}
 
+# Tables with a free-text column, whose quoted fields may hold line breaks. Their files are read whole, not in splits.
+FREE_TEXT = frozenset({"customer_feedback"})
+
+
+def csv_reader(reader, table: str, mode: str, rejects: str | None, multi_line: bool | None):
+    """A reader, batch or streaming, set up for the landing files of a table."""
+    whole = table in FREE_TEXT if multi_line is None else multi_line
+    schema = raw_schema(table)
+    if rejects is not None:
+        schema = schema.add(rejects, "string")
+        reader = reader.option("columnNameOfCorruptRecord", rejects)
+    return reader.options(**CSV_OPTIONS, mode=mode, multiLine=str(whole).lower()).schema(schema)
+
 
 def null_tokens(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
     """Blank, NULL and null read as NULL in every text column."""
@@ -25,18 +38,21 @@ def parse_events(lines: DataFrame) -> DataFrame:
 
 
 def read_raw_csv(
-    spark: SparkSession, path: str, table: str, *, mode: str = "PERMISSIVE", rejects: str | None = None
+    spark: SparkSession,
+    path: str,
+    table: str,
+    *,
+    mode: str = "PERMISSIVE",
+    rejects: str | None = None,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """A folder of CSV files. Lines with too few or too many fields are kept as far as they go.
 
     ``mode`` FAILFAST refuses them and DROPMALFORMED leaves them out; ``rejects`` names a column that holds their text.
+    ``multi_line`` lets quoted fields hold line breaks; by default it is on for tables with free text only, as such files are
+    not split.
     """
-    reader = spark.read.options(**CSV_OPTIONS).option("mode", mode)
-    schema = raw_schema(table)
-    if rejects is not None:
-        reader = reader.option("columnNameOfCorruptRecord", rejects)
-        schema = schema.add(rejects, "string")
-    return null_tokens(reader.schema(schema).csv(path))
+    return null_tokens(csv_reader(spark.read, table, mode, rejects, multi_line).csv(path))
 
 
 def read_raw_events(spark: SparkSession, path: str) -> DataFrame:

@@ -55,16 +55,32 @@ def _publish(spark: SparkSession, path: str, version: str, at_millis: int | None
 
 
 def overwrite_table(
-    df: DataFrame, path: str, *, partition_by: Sequence[str] = (), at_millis: int | None = None
+    df: DataFrame, path: str, *, partition_by: Sequence[str] = (), at_millis: int | None = None, keep: int | None = None
 ) -> int:
-    """Write a full new version and make it current. ``df`` may read the table itself. Returns the publish time."""
+    """Write a full new version and make it current. ``df`` may read the table itself. Returns the publish time.
+
+    With ``keep``, only so many of the newest versions stay, the new one included.
+    """
     spark, version = df.sparkSession, uuid.uuid4().hex
     df.write.partitionBy(*partition_by).parquet(f"{path}/data/{version}")
     millis = _publish(spark, path, version, at_millis)
     _open(spark, path, version, df.schema)
+    if keep is not None:
+        _expire(spark, path, max(1, keep))
     return millis
 
 
+def _expire(spark: SparkSession, path: str, keep: int) -> None:
+    """Remove versions before the newest ones: the marker first, so that nobody opens what is about to go."""
+    known = versions(spark, path)
+    staying = {version for _, version in known[-keep:]}
+    for millis, version in known[:-keep]:
+        marker, fs = _fs(spark, f"{path}/published/{millis:015d}.{version}")
+        fs.delete(marker, False)
+        if version not in staying:
+            fs.delete(_fs(spark, f"{path}/data/{version}")[0], True)
+
+
 def append_table(df: DataFrame, path: str) -> None:
     """Add rows to a plain parquet folder."""
     df.write.mode("append").parquet(path)

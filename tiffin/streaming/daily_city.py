@@ -1,149 +1,137 @@
-"""The daily city table, kept fresh as orders arrive.
+"""The daily city table, kept up to date as orders, trips and feedback arrive.
 
-Averages cannot be merged, so each micro-batch adds its sums and counts per (day, customer city, restaurant city) as one
-part folder, overwritten whole when a batch is replayed. Reading adds the parts up and derives the averages.
+Every micro-batch finds the days it touches: those of its own orders and of the orders that its trips and feedback belong to, in all
+versions delivered so far. The figures of these days are computed anew from the staged tables and replace the days' folders whole.
+So a change of status, a late trip or rating, a repeated delivery and a replayed batch all end in the figures that the batch
+mart would show, without a state of ids, without corrections and without compaction.
 
-    <out>/parts/part_id=<batch>/       sums of one micro-batch, or of one correction
-    <out>/base/upto=<batch>/           all parts up to a batch, added up by ``compact``
+    <out>/period=<first day>/    figures of one period; one that lost its last order holds a row without orders
 
-Orders delivered twice are dropped by id in the state store; an order without an id counts wherever it stands. A trip
-or a rating that arrives after its order changes figures already added; ``correct_keys`` recomputes the touched keys and
-adds the difference as a part of its own.
+Periods are days, or months where days are many and small. Staged orders are expected in folders by period (see
+``land_orders``), which prunes the reads to the touched ones.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tiffin.operators.facts import fct_delivery, fct_feedback, fct_order_enhanced
+from tiffin.operators.scd import latest_per_key, scd2_current
+from tiffin.plans.enriched import order_enriched
 from tiffin.plans.marts import CITY_DAY, city_day_sums, city_day_view
-from tiffin.sources.tables import empty, exists, list_names
-
-ORDER_COLUMNS = [*CITY_DAY, "order_id", "total_amount", "is_delivered", "is_cancelled", "rating", "sentiment_score", "sla_breach_flag"]
+from tiffin.sources.tables import append_table, empty, exists
 
-SUMS_SCHEMA = (
-    "full_date date, customer_city string, restaurant_city string, total_orders bigint, gmv decimal(38,2),"
-    " delivered_orders bigint, cancelled_orders bigint, rating_sum bigint, rating_n bigint, sentiment_sum decimal(38,6),"
-    " sentiment_n bigint, sla_sum bigint, sla_n bigint"
+PERIOD = "period"
+KEYS = {"orders": "order_id", "trips": "trip_id", "feedback": "feedback_id"}
+KPI_SCHEMA = (
+    "full_date date, customer_city string, restaurant_city string, total_orders bigint, gmv decimal(38,2), delivered_orders bigint,"
+    " cancelled_orders bigint, avg_rating double, avg_sentiment_score double, avg_sla_breach_rate double"
 )
-SUMS = [c.split()[0] for c in SUMS_SCHEMA.split(", ")][len(CITY_DAY) :]
-
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def daily_city_kpi_stream(
-    spark: SparkSession,
-    path: str,
-    out: str,
-    checkpoint: str,
-    *,
-    schema: StructType,
-    interval: str | None = None,
-    max_files: int | None = None,
-    state_partitions: int | None = None,
-) -> StreamingQuery:
-    """Follow a folder of enriched order rows. Without an interval it takes in what is there and stops.
 
-    The ids seen are kept for good, as orders have no lateness limit, so the state lives in RocksDB and not on the heap.
-    It is spread over ``state_partitions``, or the session's shuffle partitions, a number the checkpoint then fixes.
-    """
-    own = spark.newSession()
-    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    own.conf.set("spark.sql.shuffle.partitions", state_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
-    reader = own.readStream.schema(schema)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    place = F.concat_ws(":", "_metadata.file_path", "_metadata.row_index")
-    no_id = F.when(F.col("order_id").isNull(), place).alias("_place")
-    orders = reader.parquet(path).select(*ORDER_COLUMNS, no_id).dropDuplicates(["order_id", "_place"])
-
-    def add_part(batch: DataFrame, batch_id: int) -> None:
-        _write_part(city_day_sums(batch), out, batch_id)
-
-    writer = orders.writeStream.foreachBatch(add_part).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
-    return writer.start()
 
+def _period(time: str, grain: str) -> Column:
+    return F.trunc(F.to_date(time), "month") if grain == "month" else F.to_date(time)
 
-def _write_part(sums: DataFrame, out: str, part_id: int) -> None:
-    sums.write.mode("overwrite").parquet(f"{out}/parts/part_id={part_id}")
 
+def land_orders(staged: DataFrame, path: str, grain: str = "day") -> None:
+    """Append staged orders in folders by period. Orders without a creation time share the folder of no period."""
+    placed = staged.withColumn(PERIOD, _period("order_created_at", grain))
+    placed.hint("rebalance", PERIOD).write.mode("append").partitionBy(PERIOD).parquet(path)
 
-def _add_up(sums: DataFrame) -> DataFrame:
-    def total(c: str):
-        kind = next(f.dataType for f in sums.schema.fields if f.name == c)
-        return F.sum(c).cast(kind).alias(c)
 
-    return sums.groupBy(*CITY_DAY).agg(*[total(c) for c in SUMS])
+def land(staged: DataFrame, path: str) -> None:
+    append_table(staged, path)
 
 
-def _complete(spark: SparkSession, folder: str) -> bool:
-    return exists(spark, f"{folder}/_SUCCESS")
+def _days_of(orders: DataFrame, ids: DataFrame) -> DataFrame:
+    return orders.join(ids, "order_id", "left_semi").select(PERIOD)
 
 
-def _numbers(spark: SparkSession, folder: str) -> list[int]:
-    return sorted(int(n.split("=")[1]) for n in list_names(spark, folder) if "=" in n)
+def _same_day(df: DataFrame, days: DataFrame) -> DataFrame:
+    """Rows of the given periods, NULL being one. Equality prunes the folders."""
+    real = df.join(days.filter(f"{PERIOD} is not null"), PERIOD, "left_semi")
+    none = df.filter(f"{PERIOD} is null").join(days.filter(f"{PERIOD} is null").select(F.lit(1).alias("_one")), F.lit(1) == F.col("_one"), "left_semi")
+    return real.unionByName(none)
 
 
-def _base(spark: SparkSession, out: str) -> int:
-    """The batch up to which parts are added up, -1 if none are."""
-    for upto in reversed(_numbers(spark, f"{out}/base")):
-        if _complete(spark, f"{out}/base/upto={upto}"):
-            return upto
-    return -1
+def recompute_days(
+    landed: Mapping[str, DataFrame],
+    days: DataFrame,
+    dates: DataFrame,
+    customers: DataFrame,
+    restaurants: DataFrame,
+    latest_by: Sequence[str],
+    grain: str = "day",
+) -> DataFrame:
+    """The figures of the given periods from the last version of every row."""
+    columns = landed["orders"].columns
+    mine = _same_day(landed["orders"], days)
+    # An order may have moved to another period since: its last version decides, wherever it stands.
+    ids = mine.filter("order_id is not null").select("order_id").distinct()
+    named = latest_per_key(landed["orders"].join(ids, "order_id", "left_semi"), "order_id", latest_by)
+    orders = _same_day(named.select(*columns).unionByName(mine.filter("order_id is null").select(*columns)), days)
+    trips = latest_per_key(landed["trips"].join(ids, "order_id", "left_semi"), KEYS["trips"], latest_by)
+    feedback = latest_per_key(landed["feedback"].join(ids, "order_id", "left_semi"), KEYS["feedback"], latest_by)
+    fact = fct_order_enhanced(orders, dates, trips, scd2_current(restaurants).select("restaurant_id", "commission_rate"))
+    rows = order_enriched(fact, dates, customers, restaurants, fct_delivery(trips), fct_feedback(feedback))
+    return city_day_view(city_day_sums(rows)).withColumn(PERIOD, _period("full_date", grain))
 
 
-def _new_parts(spark: SparkSession, out: str, upto: int) -> list[int]:
-    """Micro-batches after the base, and all corrections: these have negative numbers and stay out of the base, so that
-    they can be replayed."""
-    numbers = [i for i in _numbers(spark, f"{out}/parts") if i < 0 or i > upto]
-    return [i for i in numbers if _complete(spark, f"{out}/parts/part_id={i}")]
+def daily_city_kpi_stream(
+    spark: SparkSession,
+    landing: Mapping[str, str],
+    out: str,
+    checkpoint: str,
+    *,
+    schemas: Mapping[str, StructType],
+    dimensions: Callable[[], tuple[DataFrame, DataFrame, DataFrame]],
+    latest_by: Sequence[str],
+    grain: str = "day",
+    interval: str | None = None,
+    max_files: int | None = None,
+) -> StreamingQuery:
+    """Follow the folders of staged orders, trips and feedback. Without an interval it takes in what is there and stops.
 
+    ``dimensions`` gives calendar, customers and restaurants as they are when a batch runs. ``latest_by`` names the columns that order
+    the deliveries of a row.
+    """
 
-def stored_sums(spark: SparkSession, out: str, skip_part: int | None = None) -> DataFrame:
-    """The newest base plus the parts after it, added up."""
-    upto = _base(spark, out)
-    folders = [f"{out}/base/upto={upto}"] if upto >= 0 else []
-    folders += [f"{out}/parts/part_id={i}" for i in _new_parts(spark, out, upto) if i != skip_part]
-    if not folders:
-        return empty(spark, SUMS_SCHEMA)
-    return _add_up(spark.read.schema(SUMS_SCHEMA).parquet(*folders))
+    def changes(name: str) -> DataFrame:
+        reader = spark.readStream.schema(schemas[name])
+        if max_files is not None:
+            reader = reader.option("maxFilesPerTrigger", max_files)
+        day = F.col(PERIOD) if name == "orders" else F.lit(None).cast("date")
+        return reader.parquet(landing[name]).select("order_id", day.alias(PERIOD), F.lit(name == "orders").alias("_order"))
+
+    def replace_days(batch: DataFrame, _: int) -> None:
+        session = batch.sparkSession
+        batch = batch.distinct().persist()
+        landed = {n: session.read.schema(schemas[n]).parquet(p) for n, p in landing.items() if exists(session, p)}
+        landed = {n: landed.get(n, empty(session, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas[n]))) for n in KEYS}
+        ids = batch.filter("order_id is not null").select("order_id").distinct()
+        days = batch.filter("_order").select(PERIOD).unionByName(_days_of(landed["orders"], ids)).distinct().persist()
+        figures = recompute_days(landed, days, *dimensions(), latest_by, grain)
+        none = days.withColumn("total_orders", F.lit(0).cast("bigint"))
+        # The row of no orders makes every touched folder be written, also that of a period without orders.
+        every = figures.unionByName(none, allowMissingColumns=True).hint("rebalance", PERIOD)
+        every.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PERIOD).parquet(out)
+        days.unpersist()
+        batch.unpersist()
+
+    every = changes("orders").unionByName(changes("trips")).unionByName(changes("feedback"))
+    writer = every.writeStream.foreachBatch(replace_days).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def read_daily_city_kpi(spark: SparkSession, out: str) -> DataFrame:
-    return city_day_view(stored_sums(spark, out).filter("total_orders > 0"))
-
-
-def compact(spark: SparkSession, out: str) -> int | None:
-    """Add all micro-batch parts up into a new base. Parts it covers are ignored from then on."""
-    upto = _base(spark, out)
-    parts = [i for i in _new_parts(spark, out, upto) if i >= 0]
-    if not parts:
-        return None
-    folders = [f"{out}/parts/part_id={i}" for i in parts]
-    if upto >= 0:
-        folders.append(f"{out}/base/upto={upto}")
-    merged = _add_up(spark.read.schema(SUMS_SCHEMA).parquet(*folders))
-    merged.write.mode("overwrite").parquet(f"{out}/base/upto={parts[-1]}")
-    return parts[-1]
-
-
-def correct_keys(spark: SparkSession, out: str, enriched: DataFrame, touched: DataFrame, correction_id: int) -> None:
-    """Bring the touched (day, customer city, restaurant city) keys in line with the enriched orders as they are now.
-
-    The part holds recomputed minus stored sums. Numbered apart from the micro-batches, and safe to run again.
-    """
-    part_id = -1 - correction_id
-    keys = touched.select(*CITY_DAY).distinct()
-
-    def only_touched(df: DataFrame) -> DataFrame:
-        same = [F.col(f"x.{c}").eqNullSafe(F.col(f"k.{c}")) for c in CITY_DAY]
-        return df.alias("x").join(keys.alias("k"), same, "left_semi")
-
-    stored = only_touched(stored_sums(spark, out, skip_part=part_id))
-    minus = stored.select(*CITY_DAY, *[(-F.col(c)).alias(c) for c in SUMS])
-    fresh = city_day_sums(only_touched(enriched.select(*ORDER_COLUMNS)))
-    _write_part(_add_up(fresh.unionByName(minus)), out, part_id)
+    """The table as it stands. Filters on period prune folders."""
+    if not exists(spark, out):
+        return empty(spark, KPI_SCHEMA)
+    stored = spark.read.schema(f"{KPI_SCHEMA}, {PERIOD} date").parquet(out)
+    return stored.filter("total_orders > 0").select(*CITY_DAY, *[c.split()[0] for c in KPI_SCHEMA.split(", ")][len(CITY_DAY) :])
