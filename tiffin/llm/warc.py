@@ -86,11 +86,12 @@ def write(
     rows = pages.select(
         F.col(row_id).alias("row_id"), F.coalesce(F.col(url), F.lit("")).alias("url"), F.coalesce(F.col(payload), F.lit("")).alias("payload")
     ).withColumn("sha", F.sha1(F.col("payload").cast("binary")))
-    full = rows.join(mark_revisits(pages, row_id, payload, min_bytes), ["row_id", "sha"], "left")
+    # What a row refers to travels as a row of its own in front of it, so that the payloads are dealt once, by ranges.
+    marks = mark_revisits(pages, row_id, payload, min_bytes).withColumn("_row", F.lit(1))
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = full.repartitionByRange(parts, F.col("row_id").asc_nulls_last()).sortWithinPartitions(
-        F.col("row_id").asc_nulls_last(), "url", "payload"
-    )
+    order = [F.col("row_id").asc_nulls_last(), F.col("_row").desc(), "url", "payload"]
+    full = rows.withColumn("_row", F.lit(0)).unionByName(marks, allowMissingColumns=True)
+    ordered = full.repartitionByRange(parts, F.col("row_id").asc_nulls_last()).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -98,7 +99,7 @@ def write(
         store, root = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
         store.create_dir(root, recursive=True)
         held, size, count, done = None, 0, 0, []
-        sha = None
+        sha, marked, named = None, None, {}
 
         def close() -> None:
             nonlocal held
@@ -109,12 +110,18 @@ def write(
             held = None
 
         for batch in batches:
-            for own, address, text, refers in zip(*(batch.column(c) for c in ("row_id", "url", "payload", "refers_to")), strict=True):
+            columns = (batch.column(c) for c in ("row_id", "url", "payload", "refers_to", "sha", "_row"))
+            for own, address, text, refers, hexed, mark in zip(*columns, strict=True):
+                if own != marked:
+                    marked, named = own, {}
+                if mark.as_py():
+                    named[hexed.as_py()] = refers.as_py()
+                    continue
                 if held is None:
                     temporary = f"_temporary-{part:06d}-{len(done):05d}-{attempt}"
                     held, size, count, sha = store.open_output_stream(f"{root}/{temporary}"), 0, 0, hashlib.sha256()
                 body = text.as_py().encode()
-                to = refers.as_py()
+                to = named.get(hexed.as_py())
                 raw = record(own.as_py(), address.as_py(), body if to is None else b"", date, to, digest(body), len(body))
                 member = gzip.compress(raw, 6, mtime=0)
                 held.write(member)
@@ -127,7 +134,8 @@ def write(
         if done:
             yield pa.RecordBatch.from_arrays([pa.array(list(x)) for x in zip(*done, strict=True)], schema=_manifest_schema())
 
-    ordered.mapInArrow(run, MANIFEST).write.parquet(f"{folder}/_manifest")
+    # One row for each archive, in one file.
+    ordered.mapInArrow(run, MANIFEST).repartition(1).write.parquet(f"{folder}/_manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/_manifest").withColumn("folder", F.lit(folder))
 
 
