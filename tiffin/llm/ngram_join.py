@@ -13,6 +13,8 @@ documents link if 100 * intersection >= percent * union.
 4. Groups that still hold several components are compared in full: blocked products of tiles of the incidence matrix accumulate overlap
    counts, and pairs below the bound are discarded. A block emits a spanning forest of its links.
 
+Before texts are moved for steps 3 and 4, sketches of one byte a bucket rule out pairs that agree in fewer buckets than linked sets must.
+
 No step holds a whole group: classes and signatures are reduced before the shuffle, blocks and tiles have bounded numbers of
 documents. Shingles are compared by 64-bit hashes, sets by 128 bits.
 
@@ -74,7 +76,7 @@ class Frames:
             low = high + 1
         high = np.array(self.high, np.int64)
         self.differ = 2 * high * (100 - percent) // (100 + percent)
-        self.spare = 3 + (self.differ + 1) * 3 // 100
+        self.spare = 3 + (self.differ + 1) // 10
         self.buckets = self.differ + 1 + self.spare
 
     def of(self, sizes: np.ndarray) -> list[np.ndarray]:
@@ -84,33 +86,57 @@ class Frames:
             for low, high, differ in zip(self.low, self.high, self.differ, strict=True)
         ]
 
-    def signatures(self, grams: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(signature, document) of all documents."""
+    def cut(self, grams: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(frame, documents, bucket places that are not empty, hashes of their contents); place = number in documents * buckets + bucket."""
         sizes = np.diff(first)
-        found = []
         for f, members in enumerate(self.of(sizes)):
             if not len(members):
                 continue
-            k, salt = int(self.buckets[f]), mix(np.array([f + 1], np.uint64) * _SALT)[0]
+            k, salt = int(self.buckets[f]), self.salt(f)
             own = grams[ranges(first[:-1][members], sizes[members])]
-            owner = np.repeat(np.arange(len(members)), sizes[members])
-            place = owner * k + (mix(own ^ salt) % np.uint64(k)).astype(np.int64)
+            place = np.repeat(np.arange(len(members)), sizes[members]) * k + (mix(own ^ salt) % np.uint64(k)).astype(np.int64)
             order = np.argsort(place, kind="stable")
             place, own = place[order], mix(own[order] + salt)
             opens = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
             filled = place[opens]
-            content = np.add.reduceat(own, opens)
-            found.append((mix(content ^ mix((filled % k).astype(np.uint64) ^ salt)), members[filled // k]))
+            yield f, members, filled, mix(np.add.reduceat(own, opens) ^ mix((filled % k).astype(np.uint64) ^ salt))
+
+    @staticmethod
+    def salt(f: int) -> np.uint64:
+        return mix(np.array([f + 1], np.uint64) * _SALT)[0]
+
+    def signatures(self, grams: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(signature, document) of all documents."""
+        found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        for f, members, filled, content in self.cut(grams, first):
+            k = int(self.buckets[f])
+            found.append((content, members[filled // k]))
             empty = np.ones(len(members) * k, bool)
             empty[filled] = False
             empty = empty.reshape(-1, k)
             bare = np.flatnonzero(empty.sum(axis=1) > self.spare[f])
             at, bucket = np.nonzero(empty[bare])
-            found.append((mix(mix(bucket.astype(np.uint64) ^ salt) + np.uint64(1)), members[bare[at]]))
-        return (
-            np.concatenate([np.zeros(0, np.uint64), *(x[0] for x in found)]),
-            np.concatenate([np.zeros(0, np.int64), *(x[1] for x in found)]).astype(np.int64),
-        )
+            found.append((mix(mix(bucket.astype(np.uint64) ^ self.salt(f)) + np.uint64(1)), members[bare[at]]))
+        return tuple(np.concatenate([x[i] for x in found]) for i in (0, 1))
+
+    def sketches(self, grams: np.ndarray, first: np.ndarray) -> list[list[tuple[int, bytes]]]:
+        """For each document its frames, each with one byte of every bucket's content hash (0 if empty)."""
+        out: list[list[tuple[int, bytes]]] = [[] for _ in range(len(first) - 1)]
+        for f, members, filled, content in self.cut(grams, first):
+            k = int(self.buckets[f])
+            table = np.zeros(len(members) * k, np.uint8)
+            table[filled] = (content & np.uint64(0xFF)).astype(np.uint8)
+            for row, doc in zip(table.reshape(-1, k), members.tolist(), strict=True):
+                out[doc].append((f, row.tobytes()))
+        return out
+
+    @staticmethod
+    def agree(k: np.ndarray | int, percent: int) -> int:
+        """In how many of its k buckets linked sets agree at least: all but the shingles by which they can differ."""
+        differ = 0
+        while (differ + 1) + 1 + 3 + (differ + 2) // 10 <= k:
+            differ += 1
+        return int(k) - differ
 
 
 def _signed(docs: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
@@ -231,6 +257,100 @@ def _verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
     return ordered.mapInArrow(run, "u long, v long").distinct()
 
 
+def _sketched(texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """(id, frame, sketch) of all texts, a row for each frame."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, part in chunks(batch.column("text"), _CHUNK):
+                ids = batch.column("id").slice(begin, len(part)).to_pylist()
+                grams, first = sets(part, n)
+                own = Frames(percent, int(np.diff(first).max(initial=0))).sketches(grams, first)
+                rows = [(i, f, v) for i, frames in zip(ids, own, strict=True) for f, v in frames]
+                kinds = pa.int64(), pa.int32(), pa.binary()
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["id", "frame", "sketch"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, frame int, sketch binary")
+
+
+def _likely(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) whose sketches agree in as many buckets as those of linked sets must. No linked pair is lost: equal buckets have equal
+    bytes."""
+    rows = (
+        pairs.join(sketches.select(F.col("id").alias("u"), "frame", F.col("sketch").alias("a")), "u")
+        .join(sketches.select(F.col("id").alias("v"), "frame", F.col("sketch").alias("b")), ["v", "frame"])
+        .select("u", "v", "a", "b")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        needed: dict[int, int] = {}
+        for batch in batches:
+            keep = []
+            for i, (a, b) in enumerate(zip(batch.column("a"), batch.column("b"), strict=True)):
+                a, b = np.frombuffer(a.as_buffer(), np.uint8), np.frombuffer(b.as_buffer(), np.uint8)
+                if len(a) not in needed:
+                    needed[len(a)] = Frames.agree(len(a), percent)
+                if np.count_nonzero(a == b) >= needed[len(a)]:
+                    keep.append(i)
+            yield batch.select(["u", "v"]).take(pa.array(keep, pa.int64()))
+
+    return rows.mapInArrow(run, "u long, v long").distinct()
+
+
+def _near(clusters: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """(u, v): a spanning forest, for every block, of the pairs of a cluster's documents whose sketches agree enough to link. A block
+    is a pair of tiles of the documents of a cluster in one frame."""
+    rows = clusters.join(sketches, "id")
+    crowd = rows.groupBy("cluster", "frame").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"), F.count("*").alias("n"))
+    tiled = rows.join(crowd.filter("n > 1"), ["cluster", "frame"]).withColumn("own", F.pmod(F.xxhash64("id"), "tiles").cast("int"))
+    tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
+        "cluster", "frame", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "component", "sketch"
+    )
+    parts = int(clusters.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["cluster", "frame", "i", "j"]
+    blocks = tiled.repartition(parts, *keys).sortWithinPartitions(*keys, "own", "id")
+
+    def solve(key: tuple, rows: list[tuple]) -> list[tuple[int, int]]:
+        own, ids, parent = (np.array([r[k] for r in rows]) for k in (0, 1, 2))
+        table = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), -1)
+        left, right = np.flatnonzero(own == key[2]), np.flatnonzero(own == key[3])
+        needed, a, b = Frames.agree(table.shape[1], percent), [], []
+        step = max(1, 4_000_000 // (len(right) * table.shape[1] + 1))
+        for at in range(0, len(left), step):
+            some = left[at : at + step]
+            x, y = np.nonzero((table[some][:, None, :] == table[right][None, :, :]).sum(axis=2) >= needed)
+            apart = parent[some[x]] != parent[right[y]]
+            a.append(some[x[apart]])
+            b.append(right[y[apart]])
+        if not a:
+            return []
+        a, b = np.concatenate(a), np.concatenate(b)
+        return [(int(ids[a[k]]), int(ids[b[k]])) for k in _forest(a, b, len(rows))]
+
+    return blocks.mapInArrow(_by_block(len(keys), solve), "u long, v long").distinct()
+
+
+def _by_block(width: int, solve):
+    """Runs ``solve(key, rows)`` on each run of rows whose first ``width`` columns are equal; a block may span batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed(out: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["u", "v"])
+
+        key, rows = None, []
+        for batch in batches:
+            for values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if values[:width] != key:
+                    if rows and (out := [*solve(key, rows)]):
+                        yield packed(out)
+                    key, rows = values[:width], []
+                rows.append(values[width:])
+        if rows and (out := [*solve(key, rows)]):
+            yield packed(out)
+
+    return run
+
+
 def tile_links(grams: np.ndarray, first: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
     """Whether the documents left[i] and right[j] link: overlaps from a product of the two tiles of the incidence matrix, a block of columns
     at a time. Columns with a single document in all are left out."""
@@ -282,9 +402,10 @@ def _products(clusters: DataFrame, texts: DataFrame, n: int, percent: int) -> Da
         "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "component"
     )
     parts = int(clusters.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = tiled.join(texts, "id").repartition(parts, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "own", "id")
+    keys = ["cluster", "i", "j"]
+    blocks = tiled.join(texts, "id").repartition(parts, *keys).sortWithinPartitions(*keys, "own", "id")
 
-    def solve(rows: list[tuple], key: tuple) -> Iterator[tuple[int, int]]:
+    def solve(key: tuple, rows: list[tuple]) -> Iterator[tuple[int, int]]:
         grams, first = sets(pa.array([r[3] for r in rows], pa.large_string()), n)
         own, ids, parent = (np.array([r[k] for r in rows]) for k in (0, 1, 2))
         left, right = np.flatnonzero(own == key[1]), np.flatnonzero(own == key[2])
@@ -297,23 +418,7 @@ def _products(clusters: DataFrame, texts: DataFrame, n: int, percent: int) -> Da
         for k in _forest(node[a], node[b], len(rows)):
             yield int(ids[a[k]]), int(ids[b[k]])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def packed(out: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["u", "v"])
-
-        key, rows = None, []
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("cluster", "i", "j", "own", "id", "component", "text")]
-            for cluster, i, j, *row in zip(*columns, strict=True):
-                if (cluster, i, j) != key:
-                    if rows and (out := [*solve(rows, key)]):
-                        yield packed(out)
-                    key, rows = (cluster, i, j), []
-                rows.append(tuple(row))
-        if rows and (out := [*solve(rows, key)]):
-            yield packed(out)
-
-    return blocks.mapInArrow(run, "u long, v long")
+    return blocks.select(*keys, "own", "id", "component", "text").mapInArrow(_by_block(len(keys), solve), "u long, v long")
 
 
 def join_components(df: DataFrame, row_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
@@ -342,7 +447,9 @@ def join_components(df: DataFrame, row_id: str = "doc_id", text: str = "text", n
         .select(F.col("p.rep").alias("u"), F.col("rep").alias("v"))
         .distinct()
     )
-    links = stored(_verify(stored(pairs, "ngram-pairs"), texts, n, percent), "ngram-links")
+    sketches = stored(_sketched(texts, n, percent), "ngram-sketches")
+    likely = stored(_likely(pairs, sketches, percent), "ngram-pairs")
+    links = stored(_verify(likely, texts, n, percent), "ngram-links")
     near = components(links, "u", "v")
     placed = stored(
         shared.join(near.withColumnRenamed("node", "rep"), "rep", "left").select("sign", "rep", F.coalesce("component", "rep").alias("component")),
@@ -352,8 +459,14 @@ def join_components(df: DataFrame, row_id: str = "doc_id", text: str = "text", n
     rest = stored(placed.join(open_.select("sign", "first"), "sign").select("rep", "component", "first").distinct(), "ngram-open")
     if rest.limit(1).count():
         grouped = components(rest.select(F.col("rep").alias("a"), F.col("first").alias("b")))
-        cluster = grouped.select(F.col("node").alias("id"), F.col("component").alias("cluster"))
-        clusters = rest.select(F.col("rep").alias("id"), "component").distinct().join(cluster, "id")
+        placed = rest.select(F.col("rep").alias("id"), "component").distinct()
+
+        def clustered(groups: DataFrame) -> DataFrame:
+            return placed.join(groups.select(F.col("node").alias("id"), F.col("component").alias("cluster")), "id")
+
+        # Sharing a passage is enough to share a signature; the sketches leave those that may well link.
+        close = components(_near(clustered(grouped), sketches, percent), "u", "v")
+        clusters = stored(clustered(close), "ngram-clusters")
         links = stored(links.unionAll(_products(clusters, texts, n, percent)), "ngram-links")
         near = components(links, "u", "v")
     # An id that stands for several sets ties their classes together.
