@@ -117,6 +117,16 @@ def test_linked_sets_always_share_a_signature():
                 assert set(sign[doc == 0].tolist()) & set(sign[doc == 1].tolist())
 
 
+@pytest.mark.parametrize(("percent", "small", "large"), [(90, 91, 95), (80, 39, 42), (50, 60, 100)])
+def test_links_across_a_class_boundary_and_chunks(spark, monkeypatch, percent, small, large):
+    monkeypatch.setattr(ngram_join, "_CHUNK", 1)  # every text is a chunk of its own
+    words = [f"w{i}" for i in range(large)]
+    rows = [(1, " ".join(words[:small])), (2, " ".join(words)), (3, " ".join(f"x{i}" for i in range(large)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    got = {r.doc_id: r.component_id for r in ngram_join.join_components(df, n=1, percent=percent).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
+
+
 def test_tile_products_count_overlaps():
     rng = np.random.default_rng(2)
     texts = [" ".join(rng.choice(list("abcdef"), rng.integers(1, 12))) for _ in range(30)]

@@ -64,12 +64,13 @@ def overlap_bound(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
 
 
 class Frames:
-    """Size classes and the buckets into which their sets are cut."""
+    """Size classes and the buckets into which their sets are cut: all classes that a partner of a set of up to ``largest`` can be of,
+    whether or not the caller holds such a partner."""
 
     def __init__(self, percent: int, largest: int):
         self.percent, self.low, self.high = percent, [], []
         low = 1
-        while low <= largest:
+        while percent * low <= 100 * largest:
             high = max(low, int(low * CLASS_RATIO))
             self.low.append(low)
             self.high.append(high)
