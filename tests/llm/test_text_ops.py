@@ -322,6 +322,21 @@ def test_held_out_accuracy_and_outputs(spark):
     assert not any(r.rejected for r in got.values())
 
 
+def test_every_language_and_every_gram_is_kept(spark):
+    """33 languages with letters of their own; one of them has more kinds of 4-grams than a 33rd part of 400,000."""
+    rng = random.Random(8)
+    rows = [(f"l{j:02}", " ".join("".join(chr(0x4E00 + 10 * j + rng.randrange(10)) for _ in range(4)) for _ in range(20))) for j in range(33)]
+    rows.append(("l00", "".join(chr(0xAC00 + rng.randrange(3000)) for _ in range(14_000))))
+    model = langid.train(spark.createDataFrame(rows, "lang string, text string"))
+    kinds = set()
+    for _, text in rows:
+        letters, _ = langid._letters(pa.array([text]), langid._fold_table())
+        kinds |= set(langid._keys(letters)[letters > 0].tolist())
+    assert len(model.grams[-1].hash) == len(kinds)
+    got = langid.identify(spark.createDataFrame(rows[:33], "lang string, text string"), model).collect()
+    assert [r.lang_pred for r in got] == [r.lang for r in got]
+
+
 def test_texts_without_letters_and_unlike_any_language(spark):
     rng = random.Random(4)
     words = [["the", "and", "house", "water", "green"], ["der", "und", "haus", "wasser", "grün"]]

@@ -1,7 +1,7 @@
 """Language identification by interpolated Kneser-Ney character models.
 
-Training counts character 4-grams of each language over all training texts (Spark sums the counts; a language keeps at most its
-share of ``max_entries`` most frequent ones). Lower orders use continuation counts. All orders are interpolated once, for every
+Training counts character 4-grams of each language over all training texts (Spark sums the counts); every language and every counted
+n-gram goes into the model. Lower orders use continuation counts. All orders are interpolated once, for every
 n-gram that any language has seen, and stored in sorted arrays of hashes with one row of log probabilities for all languages.
 A text is scored over its whole length; the language with the lowest cross-entropy per character wins, the first by name on ties.
 
@@ -28,9 +28,6 @@ from tiffin.llm.store import stored
 from tiffin.llm.text import chunks, mix
 
 ORDER = 4
-#: Bounds of the model, which travels with the tasks: n-grams of all languages together, and languages (the most frequent ones).
-MAX_ENTRIES = 400_000
-MAX_LANGUAGES = 32
 #: Training texts at most from which the rejection is calibrated.
 CALIBRATION_ROWS = 4_000
 #: Nats a character by which a text must lie above its language's mean to be rejected; random letters lie above by 2 or more.
@@ -248,19 +245,12 @@ def build(counts: pd.DataFrame) -> Model:
     return Model(languages, grams, backoff, unseen)
 
 
-def train(labelled: DataFrame, text: str = "text", lang: str = "lang", max_entries: int = MAX_ENTRIES) -> Model:
-    """A model from all rows with a text and a language. The counts come from every text; what reaches the driver is bounded."""
+def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
+    """A model from all rows with a text and a language. The distinct n-grams of every language reach the driver, their texts do not."""
     rows = labelled.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(text, lang)
-    shared = stored(gram_counts(rows, text, lang), "gram-counts")
-    top = shared.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    names = sorted(r["lang"] for r in top)
-    own = [
-        shared.filter(F.col("lang") == name).orderBy(F.desc("n"), "gram").limit(max_entries // len(names)).toPandas()
-        for name in names
-    ]
-    model = build(pd.concat(own) if own else pd.DataFrame({"lang": [], "gram": [], "n": []}))
-    if names:
-        model.usual = _calibrate(model, rows.filter(F.col(lang).isin(names)), text, lang)
+    model = build(stored(gram_counts(rows, text, lang), "gram-counts").toArrow().to_pandas())
+    if model.languages:
+        model.usual = _calibrate(model, rows, text, lang)
     return model
 
 
