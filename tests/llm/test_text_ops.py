@@ -322,6 +322,17 @@ def test_held_out_accuracy_and_outputs(spark):
     assert not any(r.rejected for r in got.values())
 
 
+def test_rare_languages_are_calibrated_beside_many_copies(spark):
+    rng = random.Random(9)
+    words = {"en": ["the", "and", "house", "water", "green"], "de": ["der", "und", "haus", "wasser", "grün"]}
+    rows = [("en", "the house and the water are green and so on")] * 12_000
+    rows += [(name, " ".join(rng.choices(words[name], k=30))) for name in ("en", "de") for _ in range(40)]
+    model = langid.train(spark.createDataFrame(rows, "lang string, text string").repartition(4))
+    assert model.languages == ["de", "en"] and np.isfinite(model.usual).all() and (model.usual[:, 1] > 0).all()
+    odd = spark.createDataFrame([("ü".join(rng.choices("qxzjkvwpyü", k=400)),), (rows[-1][1],)], "text string")
+    assert [(r.lang_pred, r.rejected) for r in langid.identify(odd, model).collect()] == [("de", True), ("de", False)]
+
+
 def test_every_language_and_every_gram_is_kept(spark):
     """33 languages with letters of their own; one of them has more kinds of 4-grams than a 33rd part of 400,000."""
     rng = random.Random(8)

@@ -5,7 +5,7 @@ n-gram goes into the model. Lower orders use continuation counts. All orders are
 n-gram that any language has seen, and stored in sorted arrays of hashes with one row of log probabilities for all languages.
 A text is scored over its whole length; the language with the lowest cross-entropy per character wins, the first by name on ties.
 
-Rejection is calibrated on a bounded sample of training texts: a text is rejected if it has no letter, or if its cross-entropy lies
+Rejection is calibrated on all training texts of each language: a text is rejected if it has no letter, or if its cross-entropy lies
 above what texts of its length have in that language, and by ``REJECT_MARGIN`` nats a character at least.
 
 Letters are lower-cased; every run of other characters counts as one blank. Null texts and texts without a letter get ``und``,
@@ -28,8 +28,6 @@ from tiffin.llm.store import stored
 from tiffin.llm.text import chunks, mix
 
 ORDER = 4
-#: Training texts at most from which the rejection is calibrated.
-CALIBRATION_ROWS = 4_000
 #: Nats a character by which a text must lie above its language's mean to be rejected; random letters lie above by 2 or more.
 REJECT_MARGIN = 1.5
 UNDETERMINED = "und"
@@ -255,14 +253,14 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
 
 def _calibrate(model: Model, rows: DataFrame, text: str, lang: str) -> np.ndarray:
-    """Mean, deviation between texts and deviation per character of the cross-entropy of a sample of each language's texts."""
+    """Mean, deviation between texts and deviation per character of the cross-entropy over all texts of each language."""
     sent = rows.sparkSession.sparkContext.broadcast(model)
     place = {name: j for j, name in enumerate(model.languages)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fold = _fold_table()
         for batch in batches:
-            for first, part in chunks(batch.column(text), 1 << 20):
+            for first, part in chunks(batch.column(text), (4 << 20) // len(place)):
                 names = batch.column(lang).slice(first, len(part)).to_pylist()
                 letters, heads = _letters(part, fold)
                 per = sent.value.scores(letters)
@@ -277,14 +275,10 @@ def _calibrate(model: Model, rows: DataFrame, text: str, lang: str) -> np.ndarra
                     ["lang", "mean", "each"],
                 )
 
-    # The rows with the smallest hashes: the same ones on every run and at any partitioning. Only hashes are sorted, no texts move.
-    mark = F.xxhash64(text)
-    last = rows.select(mark.alias("h")).orderBy("h").limit(CALIBRATION_ROWS).agg(F.max("h")).first()[0]
-    chosen = rows.filter(mark <= F.lit(last))
-    seen = chosen.mapInArrow(run, "lang string, mean double, each double").groupBy("lang")
+    seen = rows.mapInArrow(run, "lang string, mean double, each double").groupBy("lang")
     per = seen.agg(F.count("*").alias("n"), F.avg("mean").alias("mean"), F.stddev_samp("mean").alias("between"), F.avg("each").alias("each"))
     out = np.zeros((len(model.languages), 3))
-    out[:, 0] = np.inf  # too few to judge by
+    out[:, 0] = np.inf  # too few texts in all to judge by
     for r in per.filter("n >= 30").collect():
         out[place[r["lang"]]] = r["mean"], r["between"], r["each"]
     return out
