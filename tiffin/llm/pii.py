@@ -27,8 +27,6 @@ KINDS = ("email", "ip", "card", "phone")
 CONFIDENCE = 0.8
 MIN_SEEDS = 4
 ROUNDS = 3
-#: Trusted patterns at most, the ones with the most seeds first. They travel with the plan.
-MAX_PATTERNS = 1_000
 _DOT, _GAP, _NONE = "\x01", "\x02", "\x04"
 _LOCAL = r"[A-Za-z0-9._%+\x01-]"
 # Marks: a dot between two label characters is \x01, a blank or hyphen between two digits is \x02.
@@ -142,8 +140,8 @@ def _patterns(span: Column) -> Column:
     return F.array_compact(F.array(F.when(last != "", F.concat_ws("|", span["kind"], last)), two))
 
 
-def trusted_patterns(found: DataFrame, column: str = "found") -> list[str]:
-    """Patterns of high confidence, from all spans of all rows; at most MAX_PATTERNS reach the driver."""
+def trusted_patterns(found: DataFrame, column: str = "found") -> DataFrame:
+    """(pattern): all patterns of high confidence, from all spans of all rows."""
     spans = found.select(F.explode(column).alias("s"))
     links = stored(
         spans.select(F.col("s.kind").alias("kind"), F.col("s.value").alias("value"), F.col("s.seed").alias("seed"), F.explode(_patterns(F.col("s"))).alias("pattern"))
@@ -165,13 +163,14 @@ def trusted_patterns(found: DataFrame, column: str = "found") -> list[str]:
             .groupBy("kind", "value")
             .agg(F.when(F.max("seed"), 1.0).otherwise(F.max(F.when(F.col("seeds") >= MIN_SEEDS, F.col("confidence")).otherwise(0.0))).alias("belief"))
         )
-    best = scored.filter((F.col("confidence") >= CONFIDENCE) & (F.col("seeds") >= MIN_SEEDS))
-    return [r["pattern"] for r in best.orderBy(F.desc("seeds"), "pattern").limit(MAX_PATTERNS).collect()]
+    return scored.filter((F.col("confidence") >= CONFIDENCE) & (F.col("seeds") >= MIN_SEEDS)).select("pattern")
 
 
-def with_context(found: DataFrame, patterns: list[str], column: str = "found") -> DataFrame:
-    """Adds base_spans and spans (all), each by kind as listed, then start; offsets only."""
-    known = F.array(*(F.lit(p) for p in patterns)).cast("array<string>")
+def with_context(found: DataFrame, patterns: DataFrame, key: str, column: str = "found") -> DataFrame:
+    """Adds base_spans and spans (all), each by kind as listed, then start; offsets only. ``key`` tells the rows of ``found`` apart."""
+    unproven = F.flatten(F.transform(F.filter(column, lambda s: ~s["seed"]), _patterns))
+    asked = found.select(key, F.explode(F.array_distinct(unproven)).alias("pattern"))
+    known = asked.join(patterns, "pattern").groupBy(key).agg(F.collect_set("pattern").alias("_known"))
     shape = "array<struct<kind:string,start:int,end:int>>"
 
     def placed(spans: Column) -> Column:
@@ -180,27 +179,30 @@ def with_context(found: DataFrame, patterns: list[str], column: str = "found") -
         )
         return F.transform(ranked, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).cast(shape)
 
-    work = found.withColumn("_base", F.filter(column, lambda s: s["seed"]))
+    work = found.join(known, key, "left").withColumn("_base", F.filter(column, lambda s: s["seed"]))
     loose = F.filter(
         column,
         lambda s: ~s["seed"]
-        & F.arrays_overlap(_patterns(s), known)
+        & F.coalesce(F.arrays_overlap(_patterns(s), F.col("_known")), F.lit(False))
         & ~F.exists("_base", lambda b: (b["kind"] == s["kind"]) & (b["start"] < s["end"]) & (s["start"] < b["end"])),
     )
     work = work.withColumn("_more", loose)
-    return work.withColumns({"base_spans": placed(F.col("_base")), "spans": placed(F.concat("_base", "_more"))}).drop("_base", "_more")
+    return work.withColumns({"base_spans": placed(F.col("_base")), "spans": placed(F.concat("_base", "_more"))}).drop("_base", "_more", "_known")
 
 
 def find_personal_data(df: DataFrame, text: str = "text") -> DataFrame:
     """Each row with base_spans and spans in place of its text. The texts are read once; what is kept of them is their candidates."""
-    found = stored(candidates(df, text).drop(text), "pii-found", small=True)
-    return with_context(found, trusted_patterns(found)).drop("found")
+    found = stored(candidates(df, text).drop(text).withColumn("_row", F.monotonically_increasing_id()), "pii-found", small=True)
+    return with_context(found, trusted_patterns(found), "_row").select(*(c for c in df.columns if c != text), "base_spans", "spans")
 
 
 def mask(df: DataFrame, text: str = "text") -> DataFrame:
     """The rows with every span replaced by its kind in brackets; overlapping spans become one, named after the first of them."""
-    patterns = trusted_patterns(candidates(df.select(text), text).select("found"))
-    work = with_context(candidates(df, text), patterns)
+    # Equal texts have equal candidates, so a text's digest stands for it and the texts are searched once.
+    found = stored(candidates(df.select(text, F.md5(text).alias("_text")), text).filter(F.size("found") > 0).select("_text", "found"), "pii-found", small=True)
+    spans = with_context(found.dropDuplicates(["_text"]), trusted_patterns(found), "_text").select("_text", "spans")
+    spans = stored(spans.filter(F.size("spans") > 0), "pii-spans", small=True)
+    work = df.withColumn("_text", F.md5(text)).join(spans, "_text", "left").withColumn("spans", F.coalesce("spans", F.array()))
     by_start = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     kind = "array<struct<start:int,end:int,kind:string>>"
 
