@@ -258,14 +258,15 @@ def test_context_finds_identifiers_that_break_the_rule(spark):
 def test_every_trusted_pattern_finds_its_identifiers(spark):
     """1,100 phrases with seeds of their own; each also stands before a number that breaks the rule, in copies too."""
     good = ["4111111111111111", "5500005555555559", "4012888888881881", "378282246310005", "6011111111111117"]
-    rows = [f"phrase{k:04}x {c}" for k in range(1_100) for c in good]
-    odd = [f"phrase{k:04}x 4111111111111112" for k in range(1_100)]
+    phrases = ["phrase" + "".join("abcdefghij"[int(d)] for d in f"{k:04}") for k in range(1_100)]
+    rows = [f"{p} {c}" for p in phrases for c in good]
+    odd = [f"{p} 4111111111111112" for p in phrases]
     texts = [*rows, *odd, odd[0], None, "4111111111111112"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     found = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.find_personal_data(df).collect()}
     masked = {r.doc_id: r.text for r in pii.mask(df).collect()}
     for i, text in enumerate(texts[:-2]):
-        assert found[i] == [("card", 12, len(text))] and masked[i] == f"{text[:12]}[CARD]"
+        assert found[i] == [("card", 11, len(text))] and masked[i] == f"{text[:11]}[CARD]"
     assert found[len(texts) - 2] == found[len(texts) - 1] == []
     assert masked[len(texts) - 2] is None and masked[len(texts) - 1] == texts[-1]
 
