@@ -481,6 +481,14 @@ from stg_restaurant a join stg_second_restaurant b on a.restaurant_id = b.restau
     "fct_delivery": retyped("select * from fct_delivery", dbls="distance_km", text="pickup_time drop_time"),
     "fct_feedback": retyped("select * from stg_feedback", text="created_at"),
     "fct_customer_event": retyped("select * from stg_customer_events", text="event_ts"),
+    # After two deliveries, refreshed by change, the tables are what one full refresh makes of the last versions.
+    "refresh_incremental": retyped("select * from enriched", **_ENRICHED_TYPES),
+    "refresh_incremental_trips": retyped("select * from fct_delivery", dbls="distance_km", text="pickup_time drop_time"),
+    "refresh_incremental_feedback": retyped("select * from stg_feedback", text="created_at"),
+    "refresh_incremental_events": retyped("select * from stg_customer_events", text="event_ts"),
+    "refresh_incremental_promotions": retyped(
+        "select * from stg_promotion", dbls="discount_percent max_discount_amt", text="start_date end_date"
+    ),
     "mask_email": r"""
 select customer_id, regexp_replace(email, '(^.).*(@.*$)', '\1*****\2') as email, email as email_clear from stg_customer
 """,

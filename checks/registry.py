@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from checks.inputs import (
     AS_OF,
+    CALENDAR,
     FIRST_RUN,
     SECOND_RUN,
+    changed_warehouse,
     deliveries,
     raw,
     raw_sql,
@@ -33,9 +35,9 @@ from tiffin.operators.edit import update_where
 from tiffin.operators.scd import scd2_current, scd2_history
 from tiffin.plans import analysis, dashboard, marts, refresh
 from tiffin.plans.dashboard import Filter
-from tiffin.plans.refresh import DIM_SCHEMAS, enriched_orders
+from tiffin.plans.refresh import enriched_orders
 from tiffin.sources.raw import null_tokens, read_raw_csv, read_raw_events
-from tiffin.sources.tables import append_table, empty, overwrite_table, read_table
+from tiffin.sources.tables import append_table, overwrite_table, read_table
 from tiffin.streaming.daily_city import PERIOD, daily_city_kpi_stream, land, land_orders, read_daily_city_kpi
 from tiffin.streaming.ingest import ingest_stream
 
@@ -115,7 +117,7 @@ def _stream(s: SparkSession, d: str, waves: list[dict[str, DataFrame]]) -> DataF
     day_schema["orders"] = day_schema["orders"].add(PERIOD, "date")
     for wave in waves:
         for name, rows in wave.items():
-            land_orders(rows, landing[name], "month") if name == "orders" else land(rows, landing[name])
+            land_orders(rows, landing[name], "year") if name == "orders" else land(rows, landing[name])
         daily_city_kpi_stream(
             s,
             landing,
@@ -124,17 +126,18 @@ def _stream(s: SparkSession, d: str, waves: list[dict[str, DataFrame]]) -> DataF
             schemas=day_schema,
             dimensions=lambda: (stored(s, d, "dim_date"), customers(s, d), stored(s, d, "dim_restaurant")),
             latest_by=["delivery"],
-            grain="month",
+            grain="year",
+            calendar=CALENDAR,
+            buckets=8,
         ).awaitTermination()
     return read_daily_city_kpi(s, f"{work}/out")
 
 
 def _staged_for_stream(s: SparkSession, d: str) -> dict[str, DataFrame]:
     """Staged orders, some with a negative id and some without any, which then have no trip and no feedback."""
-    stage = {"orders": staging.stg_order_header, "trips": staging.stg_delivery_trip, "feedback": staging.stg_feedback}
     k = F.col("order_id")
     odd = F.when(F.pmod(k, F.lit(50)) == 7, -k).when(F.pmod(k, F.lit(50)) != 9, k)
-    return {n: stage[n](raw(s, d, r)).withColumn("order_id", odd).filter("order_id is not null" if n != "orders" else "true") for n, r in STREAMED.items()}
+    return {n: stored(s, d, f"staging/{r}").withColumn("order_id", odd).filter("order_id is not null" if n != "orders" else "true") for n, r in STREAMED.items()}
 
 
 def _delivered(df: DataFrame, number: int) -> DataFrame:
@@ -175,14 +178,13 @@ def late_feedback_days(s: SparkSession, d: str) -> DataFrame:
 
 
 def _two_runs(name: str, source: str, stage, advance, *, clocked: bool) -> Query:
-    """A dimension after two deliveries, the first one stored in between, as a refresh would."""
+    """A dimension after two deliveries, stored after each as a refresh does."""
 
     def query(s: SparkSession, d: str) -> DataFrame:
-        first, second = deliveries(s, d, source)
-        clock = ((FIRST_RUN,), (SECOND_RUN,)) if clocked else ((), ())
-        path = run_folder(s, name)
-        overwrite_table(advance(empty(s, DIM_SCHEMAS[name]), stage(first), *clock[0]), path)
-        return advance(read_table(s, path), stage(second), *clock[1])
+        root = run_folder(s, name)
+        for delivery, clock in zip(deliveries(s, d, source), (FIRST_RUN, SECOND_RUN), strict=True):
+            refresh.store_dimension(s, root, name, lambda dim: advance(dim, stage(delivery), *([clock] if clocked else [])))  # noqa: B023
+        return refresh.table(s, root, name)
 
     return query
 
@@ -191,7 +193,7 @@ def _judged_keys(query: Query, sk: str) -> Query:
     """Surrogate keys are not compared by value: they must be unique, and those of the second run above all of the first."""
 
     def judged(s: SparkSession, d: str) -> DataFrame:
-        dim = query(s, d)
+        dim = query(s, d)  # stored, so the reads below don't build it again
         top = dim.filter(F.col("effective_from") < F.lit(SECOND_RUN)).agg(F.max(sk)).scalar()
         copies = dim.groupBy(sk).agg(F.count("*").alias("_copies"))
         grown = (F.col("effective_from") < F.lit(SECOND_RUN)) | (F.col(sk) > top)
@@ -369,6 +371,11 @@ QUERIES: dict[str, Query] = {
     "table_overwrite": overwritten,
     "table_append": appended,
     "run_log": run_log,
+    "refresh_incremental": lambda s, d: refresh.table(s, changed_warehouse(s, d), "fct_order_secure").select(*schemas.ENRICHED_COLUMNS),
+    "refresh_incremental_trips": lambda s, d: refresh.table(s, changed_warehouse(s, d), "fct_delivery"),
+    "refresh_incremental_feedback": lambda s, d: refresh.table(s, changed_warehouse(s, d), "fct_feedback"),
+    "refresh_incremental_events": lambda s, d: refresh.table(s, changed_warehouse(s, d), "fct_customer_event"),
+    "refresh_incremental_promotions": lambda s, d: refresh.table(s, changed_warehouse(s, d), "dim_promotion"),
     # staging
     "stg_money_wide": wide_money,
     "dirty_sentiment_kpi": dirty_sentiments,

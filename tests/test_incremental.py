@@ -1,0 +1,147 @@
+"""Refresh by change: equal to a full refresh, and only what is touched is written."""
+
+from dataclasses import replace
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.test_refresh import DATA, EVENT
+from tiffin.plans.incremental import refresh_changed
+from tiffin.plans.refresh import Config, refresh_all, table
+from tiffin.schemas import EVENTS, RAW_COLUMNS, raw_schema
+from tiffin.sources.raw import parse_events
+from tiffin.sources.tables import append_table, manifest, overwrite_table, read_table
+
+T1, T2, T3 = datetime(2024, 6, 1), datetime(2024, 6, 2), datetime(2024, 6, 3)
+TABLES = ["fct_order_enhanced", "fct_delivery", "fct_feedback", "fct_customer_event", "fct_order_secure", "dim_delivery_agent", "dim_promotion"]
+
+
+@pytest.fixture
+def deliver(spark, work):
+    """Append rows to the raw tables under the next stamp, and give the settings of a warehouse over them."""
+    count = []
+
+    def land(**tables):
+        stamp = F.lit(len(count)).alias("stamp")
+        count.append(1)
+        for name in RAW_COLUMNS:
+            append_table(spark.createDataFrame(tables.get(name, []), raw_schema(name)).select("*", stamp), f"{work}/raw/{name}")
+        events = spark.createDataFrame([(e,) for e in tables.get(EVENTS, [])], "value string")
+        append_table(parse_events(events).select("*", stamp), f"{work}/raw/{EVENTS}")
+        raw = {n: spark.read.schema(raw_schema(n).add("stamp", "integer")).parquet(f"{work}/raw/{n}") for n in RAW_COLUMNS}
+        raw[EVENTS] = spark.read.schema("event_raw variant, stamp int").parquet(f"{work}/raw/{EVENTS}")
+        return Config(root=f"{work}/dwh", raw=raw, latest_by={n: ["stamp"] for n in raw})
+
+    return land
+
+
+def order(key, when, customer="1", status="DELIVERED", total="100", place="10"):
+    return (str(key), customer, place, when, status, "CARD", "", total, "0", "0", total, "", "", "")
+
+
+def same_as_full(spark, cfg, work, as_of):
+    full = replace(cfg, root=f"{work}/full-{as_of:%d}")
+    assert set(refresh_all(spark, full, as_of).values()) == {"SUCCESS"}
+    for name in TABLES:
+        a, b = (table(spark, root, name) for root in (cfg.root, full.root))
+        assert a.columns == b.columns, name
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())), name
+    for name, key in (("dim_customer", "customer_id"), ("dim_restaurant", "restaurant_id")):
+        now = [{r[key]: r.asDict() for r in table(spark, root, name).filter("is_current").collect()} for root in (cfg.root, full.root)]
+        for r in [*now[0].values(), *now[1].values()]:
+            del r[f"{name[4:]}_sk"], r["effective_from"]
+        assert now[0] == now[1], name
+
+
+def test_second_delivery_with_late_and_changed_rows(spark, deliver, work):
+    moved = DATA["customer"][0][:5] + ("Noida",) + DATA["customer"][0][6:]
+    cfg = deliver(**{**DATA, EVENTS: [EVENT]})
+    assert set(refresh_changed(spark, cfg, T1, "stamp").values()) == {"SUCCESS"}
+    same_as_full(spark, cfg, work, T1)
+
+    cfg = deliver(
+        customer=[moved, ("3", *DATA["customer"][1][1:])],
+        restaurant=[DATA["restaurant"][0][:9] + ("0.30",) + DATA["restaurant"][0][10:]],
+        order_header=[order(100, "2024-02-03 10:00:00"), order(200, "2024-03-01 00:00:00"), order("", "2024-03-02 00:00:00")],
+        delivery_trip=[("8", "300", "5", "2024-05-01 10:00:00", "2024-05-01 10:10:00", "1", "20", "30", "1"), ("9", "200", *DATA["delivery_trip"][0][2:])],
+        customer_feedback=[("10", "101", "2", "5", "late", "1", "2024-01-05 00:00:00")],
+        customer_events=[EVENT.replace("SEARCH", "APP_OPEN"), EVENT.replace('"event_id":1', '"event_id":2').replace("2024-01", "2024-02")],
+    )
+    assert set(refresh_changed(spark, cfg, T2, "stamp").values()) == {"SUCCESS"}
+    same_as_full(spark, cfg, work, T2)
+
+    # The trip that waited for its order finds it.
+    cfg = deliver(order_header=[order(300, "2024-05-01 09:00:00")])
+    assert set(refresh_changed(spark, cfg, T3, "stamp").values()) == {"SUCCESS"}
+    same_as_full(spark, cfg, work, T3)
+    history = table(spark, cfg.root, "dim_customer").filter("customer_id = 1").orderBy("effective_from").collect()
+    assert [(r.city, r.is_current) for r in history] == [("Delhi", False), ("Noida", True)]
+
+
+def test_untouched_months_keep_their_files(spark, deliver, work):
+    months = [order(i, f"2024-{i:02d}-05 10:00:00") for i in range(1, 13)]
+    refresh_changed(spark, deliver(**{**DATA, "order_header": months}), T1, "stamp")
+    files = {f: f.stat().st_mtime_ns for f in Path(f"{work}/dwh/fct_order_secure/data").rglob("*.parquet")}
+    before = dict(manifest(spark, f"{work}/dwh/fct_order_secure").parts)
+    cfg = deliver(order_header=[order(3, "2024-03-05 10:00:00", status="CANCELLED")])
+    refresh_changed(spark, cfg, T2, "stamp")
+    after = dict(manifest(spark, f"{work}/dwh/fct_order_secure").parts)
+    assert {m for m in after if after[m] != before[m]} == {"202403"} and len(after) == 12
+    assert all(f.stat().st_mtime_ns == t for f, t in files.items())
+    assert table(spark, cfg.root, "fct_order_secure").filter("is_cancelled = 1").count() == 1
+    one = table(spark, cfg.root, "fct_order_secure").filter("order_month = 202403")
+    assert "PartitionFilters: [isnotnull(order_month" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_nothing_new_and_a_failed_run(spark, deliver, work):
+    cfg = deliver(**DATA)
+    refresh_changed(spark, cfg, T1, "stamp")
+    parts = manifest(spark, cfg.path("fct_order_secure")).parts
+    assert set(refresh_changed(spark, cfg, T2, "stamp").values()) == {"SUCCESS"}
+    assert manifest(spark, cfg.path("fct_order_secure")).parts == parts
+
+    # Two trips of one order fail the fact; the marks stay, and the next run takes both deliveries in.
+    bad = deliver(delivery_trip=[("77", *DATA["delivery_trip"][0][1:])], order_header=[order(500, "2024-04-04 00:00:00")])
+    status = refresh_changed(spark, bad, datetime(2024, 6, 2, 12), "stamp")
+    assert (status["fct_order_enhanced"], status["fct_order_secure"], status["marks"]) == ("ERROR", "SKIPPED", "SKIPPED")
+    assert {r.mark for r in read_table(spark, cfg.path("marks")).filter("name = 'order_header'").collect()} == {"0"}
+    good = replace(bad, one_per_order=False)
+    assert set(refresh_changed(spark, good, T3, "stamp").values()) == {"SUCCESS"}
+    assert table(spark, cfg.root, "fct_order_secure").filter("order_id = 500").count() == 1
+
+
+def test_closed_versions_are_not_written_again(spark, deliver, work):
+    def files(value):
+        return {f for f in Path(f"{work}/dwh/dim_customer/data/is_current={value}").rglob("*.parquet")}
+
+    def moved(city):
+        return DATA["customer"][0][:5] + (city,) + DATA["customer"][0][6:]
+
+    refresh_changed(spark, deliver(**DATA), T1, "stamp")
+    refresh_changed(spark, deliver(customer=[moved("Noida")]), T2, "stamp")
+    closed = files("false")
+    assert closed
+    parts = [p for v, p in manifest(spark, f"{work}/dwh/dim_customer").parts if v == "false"]
+    cfg = deliver(customer=[moved("Pune")])
+    refresh_changed(spark, cfg, T3, "stamp")
+    assert closed < files("false")
+    assert parts[0] in [p for v, p in manifest(spark, f"{work}/dwh/dim_customer").parts if v == "false"]
+    got = table(spark, cfg.root, "dim_customer").filter("customer_id = 1").orderBy("effective_from").collect()
+    assert [(r.city, r.effective_from, r.is_current) for r in got] == [("Delhi", T1, False), ("Noida", T2, False), ("Pune", T3, True)]
+    current = table(spark, cfg.root, "dim_customer").filter("is_current")
+    assert "PartitionFilters: [isnotnull(is_current" in current._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_table_written_in_full_is_laid_out_anew_once(spark, rows, work):
+    from tiffin.sources.tables import advance_history, replace_parts
+
+    schema = "k int, v string, is_current boolean"
+    path = f"{work}/dim"
+    overwrite_table(rows([(1, "a", False), (1, "b", True)], schema), path)
+    with pytest.raises(ValueError, match="written in full"):
+        replace_parts(rows([(1, "b", True)], schema), path, "is_current", replaced=["true"])
+    advance_history(spark, path, schema, lambda now: now)
+    advance_history(spark, path, schema, lambda now: now.withColumn("is_current", F.lit(False)).unionByName(rows([(1, "c", True)], schema)), keep=1)
+    assert sorted(tuple(r) for r in read_table(spark, path).collect()) == [(1, "a", False), (1, "b", False), (1, "c", True)]

@@ -1,5 +1,6 @@
 """The daily city table as a stream: whatever the order of arrival, it ends where the batch mart does."""
 
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tiffin import schemas
 from tiffin.sources.tables import empty
-from tiffin.streaming.daily_city import PERIOD, daily_city_kpi_stream, land, land_orders, read_daily_city_kpi
+from tiffin.streaming.daily_city import PERIOD, city_store, daily_city_kpi_stream, land, land_orders, period_figures, read_daily_city_kpi
 
 ORDER = (
     "order_id bigint, customer_id bigint, restaurant_id bigint, order_created_at timestamp_ntz, order_status string, payment_method string,"
@@ -100,6 +101,23 @@ def test_months_as_periods(city):
     assert city("month", feedback=[feedback(1, 2, 3)]) == [(1, 1, 10.0, 1, None, None), (2, 1, 10.0, 1, 3.0, None)]
 
 
+def test_a_batch_reads_only_the_folders_it_touches(city, spark, work, rows):
+    city(orders=[order(i, datetime(2024, 3, 1 + i % 3, 12)) for i in range(9)], trips=[trip(i, i) for i in range(9)], feedback=[feedback(i, i, 3) for i in range(9)])
+    typed = {n: empty(spark, k).schema for n, k in KINDS.items()}
+    typed["orders"] = typed["orders"].add(PERIOD, "date")
+    dims = (
+        rows([(20240301, date(2024, 3, 1))], "date_key bigint, full_date date"),
+        empty(spark, schemas.DIM_CUSTOMER),
+        empty(spark, schemas.DIM_RESTAURANT),
+    )
+    figures = period_figures(city_store(f"{work}/out_state", typed, ["delivery"]), spark, ["2024-03-02"], *dims)
+    assert {re.search("place=([^/]*)", f).group(1) for f in figures.inputFiles()} == {"2024-03-02"}
+    plan = figures._jdf.queryExecution().executedPlan().toString()
+    scans = plan.count("FileScan parquet")
+    assert 0 < scans < 30
+    assert len(re.findall(r"PartitionFilters: \[[^\]]*place", plan)) == scans
+
+
 def test_nothing_landed_yet(spark, work):
     assert read_daily_city_kpi(spark, f"{work}/none").collect() == []
 

@@ -1,7 +1,9 @@
-"""Fact tables built from staging."""
+"""Fact tables built from staging. ``carry`` names columns that come along for the layout."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,7 +58,7 @@ def fct_order_enhanced(orders: DataFrame, dates: DataFrame, trips: DataFrame, re
     )
 
 
-def fct_delivery(trips: DataFrame) -> DataFrame:
+def fct_delivery(trips: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return trips.select(
         "trip_id",
         "order_id",
@@ -67,15 +69,16 @@ def fct_delivery(trips: DataFrame) -> DataFrame:
         "estimated_time_min",
         "actual_time_min",
         "sla_breach_flag",
+        *carry,
     )
 
 
-def fct_feedback(feedback: DataFrame) -> DataFrame:
-    return feedback.select("feedback_id", "order_id", "customer_id", "rating", "comment", "sentiment_score", "created_at")
+def fct_feedback(feedback: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    return feedback.select("feedback_id", "order_id", "customer_id", "rating", "comment", "sentiment_score", "created_at", *carry)
 
 
-def fct_customer_event(events: DataFrame) -> DataFrame:
-    return events.select("event_id", "customer_id", "event_type", "event_ts", "search_query", "device_os", "app_version")
+def fct_customer_event(events: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    return events.select("event_id", "customer_id", "event_type", "event_ts", "search_query", "device_os", "app_version", *carry)
 
 
 def fct_order_secure(enriched: DataFrame) -> DataFrame:

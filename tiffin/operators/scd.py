@@ -64,7 +64,9 @@ def scd2_apply(
     ``tracked`` maps each compared column to the value NULL is taken for, so NULL and that value are equal.
     ``carried`` columns are stored but do not open a version by themselves. Keys missing from the source stay open.
 
-    Closed versions of earlier runs pass through untouched. Current versions and source meet in one full outer join on the key, which
+    Closed versions of earlier runs pass through untouched; where they are stored apart, ``dim`` may be the current versions alone (see
+    ``sources.tables.advance_history``): the highest surrogate key is always one of theirs, because a key that loses its version gets a new
+    one with a higher number. Current versions and source meet in one full outer join on the key, which
     yields up to two rows per key. Only the new versions are numbered, from the highest surrogate key on: a hash of the key picks one
     of ``counters`` (by default as many as there are shuffle partitions), and each counter deals every ``counters``-th number, which
     needs no global sort. Numbers are unique and grow from run to run, but may skip.

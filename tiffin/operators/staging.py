@@ -1,7 +1,12 @@
-"""Raw text tables to typed staging tables: one projection each, nothing stored."""
+"""Raw text tables to typed staging tables: one projection each, nothing stored.
+
+``carry`` names further raw columns that come along as they are, such as the ingest time.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +15,7 @@ from tiffin.functions.clean import digits, to_double, to_flag, to_int, to_money,
 MONEY_SCALE = 2
 
 
-def stg_customer(raw: DataFrame) -> DataFrame:
+def stg_customer(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return raw.select(
         to_int("customer_id"),
         to_text("customer_name"),
@@ -24,10 +29,11 @@ def stg_customer(raw: DataFrame) -> DataFrame:
         to_text("segment", default="New"),
         to_flag("is_prime_member"),
         to_text("status", default="ACTIVE"),
+        *carry,
     )
 
 
-def stg_restaurant(raw: DataFrame) -> DataFrame:
+def stg_restaurant(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return raw.select(
         to_int("restaurant_id"),
         to_text("restaurant_name"),
@@ -41,10 +47,11 @@ def stg_restaurant(raw: DataFrame) -> DataFrame:
         to_double("commission_rate", default=0.20),
         to_flag("is_active"),
         to_ts("onboarded_at"),
+        *carry,
     )
 
 
-def stg_delivery_agent(raw: DataFrame) -> DataFrame:
+def stg_delivery_agent(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return raw.select(
         to_int("agent_id"),
         to_text("agent_name"),
@@ -53,10 +60,11 @@ def stg_delivery_agent(raw: DataFrame) -> DataFrame:
         to_text("city", blank_null=True),
         to_text("vehicle_type"),
         to_text("status", default="ACTIVE"),
+        *carry,
     )
 
 
-def stg_menu_item(raw: DataFrame, money_scale: int = MONEY_SCALE) -> DataFrame:
+def stg_menu_item(raw: DataFrame, money_scale: int = MONEY_SCALE, carry: Sequence[str] = ()) -> DataFrame:
     return raw.select(
         to_int("menu_item_id"),
         to_int("restaurant_id"),
@@ -65,10 +73,11 @@ def stg_menu_item(raw: DataFrame, money_scale: int = MONEY_SCALE) -> DataFrame:
         to_money("price", money_scale),
         to_flag("is_veg"),
         to_flag("is_active"),
+        *carry,
     )
 
 
-def stg_promotion(raw: DataFrame, money_scale: int = MONEY_SCALE) -> DataFrame:
+def stg_promotion(raw: DataFrame, money_scale: int = MONEY_SCALE, carry: Sequence[str] = ()) -> DataFrame:
     return raw.select(
         to_int("promo_id"),
         to_text("promo_code"),
@@ -78,10 +87,11 @@ def stg_promotion(raw: DataFrame, money_scale: int = MONEY_SCALE) -> DataFrame:
         to_money("max_discount_amt", money_scale),
         to_text("target_segment"),
         to_text("target_city"),
+        *carry,
     )
 
 
-def stg_order_header(raw: DataFrame, money_scale: int = MONEY_SCALE) -> DataFrame:
+def stg_order_header(raw: DataFrame, money_scale: int = MONEY_SCALE, carry: Sequence[str] = ()) -> DataFrame:
     return raw.select(
         to_int("order_id"),
         to_int("customer_id"),
@@ -97,10 +107,11 @@ def stg_order_header(raw: DataFrame, money_scale: int = MONEY_SCALE) -> DataFram
         to_ts("expected_delivery_at"),
         to_ts("actual_delivery_at"),
         to_text("cancellation_reason", blank_null=True),
+        *carry,
     )
 
 
-def stg_order_item(raw: DataFrame, money_scale: int = MONEY_SCALE) -> DataFrame:
+def stg_order_item(raw: DataFrame, money_scale: int = MONEY_SCALE, carry: Sequence[str] = ()) -> DataFrame:
     return raw.select(
         to_int("order_id"),
         to_int("order_item_id"),
@@ -109,10 +120,11 @@ def stg_order_item(raw: DataFrame, money_scale: int = MONEY_SCALE) -> DataFrame:
         to_money("item_price", money_scale),
         to_money("item_discount", money_scale),
         to_money("total_item_amount", money_scale),
+        *carry,
     )
 
 
-def stg_delivery_trip(raw: DataFrame) -> DataFrame:
+def stg_delivery_trip(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return raw.select(
         to_int("trip_id"),
         to_int("order_id"),
@@ -123,20 +135,22 @@ def stg_delivery_trip(raw: DataFrame) -> DataFrame:
         to_int("estimated_time_min", default=0),
         to_int("actual_time_min", default=0),
         to_int("sla_breach_flag", default=0),
+        *carry,
     )
 
 
-def stg_payment(raw: DataFrame, money_scale: int = MONEY_SCALE) -> DataFrame:
+def stg_payment(raw: DataFrame, money_scale: int = MONEY_SCALE, carry: Sequence[str] = ()) -> DataFrame:
     return raw.select(
         to_int("payment_id"),
         to_int("order_id"),
         to_text("payment_status", case="upper"),
         to_ts("payment_at"),
         to_money("payment_amount", money_scale),
+        *carry,
     )
 
 
-def stg_feedback(raw: DataFrame) -> DataFrame:
+def stg_feedback(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """A blank or bad rating becomes 0, which later counts as a low rating."""
     return raw.select(
         to_int("feedback_id"),
@@ -146,10 +160,11 @@ def stg_feedback(raw: DataFrame) -> DataFrame:
         F.col("comment"),
         to_double("sentiment_score"),
         to_ts("created_at"),
+        *carry,
     )
 
 
-def stg_customer_events(raw: DataFrame, strict: bool = True) -> DataFrame:
+def stg_customer_events(raw: DataFrame, strict: bool = True, carry: Sequence[str] = ()) -> DataFrame:
     """One VARIANT column to seven typed ones. ``strict`` raises on an id that is no number; otherwise it becomes NULL."""
     get = F.variant_get if strict else F.try_variant_get
 
@@ -164,4 +179,5 @@ def stg_customer_events(raw: DataFrame, strict: bool = True) -> DataFrame:
         text("$.metadata.search_query").alias("search_query"),
         text("$.metadata.device_os").alias("device_os"),
         text("$.metadata.app_version").alias("app_version"),
+        *carry,
     )

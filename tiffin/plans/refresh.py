@@ -20,7 +20,7 @@ from tiffin.operators.scd import latest_per_key
 from tiffin.plans.dashboard import MONTH
 from tiffin.plans.enriched import order_enriched
 from tiffin.schemas import RUN_LOG
-from tiffin.sources.tables import append_table, from_rows, overwrite_table, read_table
+from tiffin.sources.tables import advance_history, append_table, from_rows, overwrite_table, read_table
 
 
 @dataclass(frozen=True)
@@ -65,6 +65,15 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return read_table(spark, f"{root}/{name}", schema=DIM_SCHEMAS.get(name))
 
 
+def store_dimension(spark: SparkSession, root: str, name: str, advance: Callable[[DataFrame], DataFrame], keep: int | None = None) -> None:
+    """Store the next state of a dimension. Of one with version history, closed versions stay where they are."""
+    path = f"{root}/{name}"
+    if "is_current" in DIM_SCHEMAS[name]:
+        advance_history(spark, path, DIM_SCHEMAS[name], advance, keep=keep)
+    else:
+        overwrite_table(advance(table(spark, root, name)), path, keep=keep)
+
+
 def enriched_orders(spark: SparkSession, root: str) -> DataFrame:
     """The enriched order row, joined on read from the stored tables."""
     names = ["fct_order_enhanced", "dim_date", "dim_customer", "dim_restaurant", "fct_delivery", "fct_feedback"]
@@ -186,7 +195,7 @@ def refresh_all(spark: SparkSession, cfg: Config, as_of: datetime) -> dict[str,
         def step() -> str:
             src = source_rows(source)
             note = check_keys(src, SOURCES[source][1])
-            save(name, advance(stored(name), src, *args))
+            store_dimension(spark, cfg.root, name, lambda dim: advance(dim, src, *args), cfg.keep)
             return note
 
         return step
@@ -216,6 +225,11 @@ def refresh_all(spark: SparkSession, cfg: Config, as_of: datetime) -> dict[str,
             ),
         },
     ]
+    return run_stages(spark, stages, as_of, cfg.log_path)
+
+
+def run_stages(spark: SparkSession, stages: Sequence[Mapping[str, Callable[[], object]]], as_of: datetime, log_path: str) -> dict[str, str]:
+    """Run stages one after the other, the steps of each together, and log each stage as it ends. Returns the status of each step."""
     status: dict[str, str] = {}
     with ThreadPoolExecutor(max_workers=max(len(s) for s in stages)) as pool:
         for steps in stages:
@@ -227,6 +241,6 @@ def refresh_all(spark: SparkSession, cfg: Config, as_of: datetime) -> dict[str,
                 else:
                     runs.append(pool.submit(inheritable_thread_target(spark)(attempt), name, step, as_of))
             log += [run.result() for run in runs]
-            log_runs(spark, log, cfg.log_path)
+            log_runs(spark, log, log_path)
             status |= {name: state for name, _, state, _ in log}
     return status

@@ -1,19 +1,21 @@
 """The daily city table, kept up to date as orders, trips and feedback arrive.
 
-Every micro-batch finds the days it touches: those of its own orders and of the orders that its trips and feedback belong to, in all
-versions delivered so far. The figures of these days are computed anew from the staged tables and replace the days' folders whole.
-So a change of status, a late trip or rating, a repeated delivery and a replayed batch all end in the figures that the batch
-mart would show, without a state of ids, without corrections and without compaction.
+Every micro-batch is taken into a store by place (``sources.placed``), the place of an order being its period. The store's locator tells
+which periods the batch touches: those of its own orders, of the orders that its trips and feedback belong to, and those that an order
+has left. Only the folders of these periods are read; their figures are computed anew and replace the periods' folders whole. So a
+change of status, a late trip or rating, a repeated delivery and a replayed batch all end in the figures that the batch mart would
+show, and a batch costs the same whatever the length of the history.
 
     <out>/period=<first day>/    figures of one period; one that lost its last order holds a row without orders
+    <state>/                     the store; by default beside the figures
 
-Periods are days, or months where days are many and small. Staged orders are expected in folders by period (see
-``land_orders``), which prunes the reads to the touched ones.
+Periods are days, or months, quarters or years where shorter ones would be many and small (``grain``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +23,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tiffin.operators.facts import fct_delivery, fct_feedback, fct_order_enhanced
-from tiffin.operators.scd import latest_per_key, scd2_current
+from tiffin.operators.scd import scd2_current
 from tiffin.plans.enriched import order_enriched
 from tiffin.plans.marts import CITY_DAY, city_day_sums, city_day_view
+from tiffin.sources.placed import NOWHERE, PLACE, SOURCE, WAITING, Store, followers, leaders, take_in
 from tiffin.sources.tables import append_table, empty, exists
 
 PERIOD = "period"
@@ -35,7 +38,7 @@ KPI_SCHEMA = (
 
 
 def _period(time: str, grain: str) -> Column:
-    return F.trunc(F.to_date(time), "month") if grain == "month" else F.to_date(time)
+    return F.to_date(time) if grain == "day" else F.trunc(F.to_date(time), grain)
 
 
 def land_orders(staged: DataFrame, path: str, grain: str = "day") -> None:
@@ -48,38 +51,45 @@ def land(staged: DataFrame, path: str) -> None:
     append_table(staged, path)
 
 
-def _days_of(orders: DataFrame, ids: DataFrame) -> DataFrame:
-    return orders.join(ids, "order_id", "left_semi").select(PERIOD)
+def city_store(
+    root: str,
+    schemas: Mapping[str, StructType],
+    latest_by: Sequence[str],
+    grain: str = "day",
+    calendar: tuple[date, date] | None = None,
+    buckets: int = 64,
+) -> Store:
+    """Orders by period, trips and feedback beside them. Orders outside the calendar have no date, so they share the place of no period."""
 
+    def place() -> Column:
+        period = _period("order_created_at", grain)
+        return period if calendar is None else F.when(F.to_date("order_created_at").between(*map(F.lit, calendar)), period)
 
-def _same_day(df: DataFrame, days: DataFrame) -> DataFrame:
-    """Rows of the given periods, NULL being one. Equality prunes the folders."""
-    real = df.join(days.filter(f"{PERIOD} is not null"), PERIOD, "left_semi")
-    none = df.filter(f"{PERIOD} is null").join(days.filter(f"{PERIOD} is null").select(F.lit(1).alias("_one")), F.lit(1) == F.col("_one"), "left_semi")
-    return real.unionByName(none)
+    return Store(root, "orders", place, schemas, KEYS, tuple(latest_by), followers=("trips", "feedback"), buckets=buckets)
 
 
-def recompute_days(
-    landed: Mapping[str, DataFrame],
-    days: DataFrame,
+def period_figures(
+    store: Store,
+    spark: SparkSession,
+    places: Collection[str],
     dates: DataFrame,
     customers: DataFrame,
     restaurants: DataFrame,
-    latest_by: Sequence[str],
     grain: str = "day",
 ) -> DataFrame:
-    """The figures of the given periods from the last version of every row."""
-    columns = landed["orders"].columns
-    mine = _same_day(landed["orders"], days)
-    # An order may have moved to another period since: its last version decides, wherever it stands.
-    ids = mine.filter("order_id is not null").select("order_id").distinct()
-    named = latest_per_key(landed["orders"].join(ids, "order_id", "left_semi"), "order_id", latest_by)
-    orders = _same_day(named.select(*columns).unionByName(mine.filter("order_id is null").select(*columns)), days)
-    trips = latest_per_key(landed["trips"].join(ids, "order_id", "left_semi"), KEYS["trips"], latest_by)
-    feedback = latest_per_key(landed["feedback"].join(ids, "order_id", "left_semi"), KEYS["feedback"], latest_by)
+    """The figures of some periods from the last version of every row, and a row without orders for each period.
+
+    The latter makes every period's folder be written, also that of a period which lost its last order.
+    """
+    periods = [p for p in places if not p.startswith(WAITING)]
+    orders = leaders(store, spark, periods).drop(PLACE)
+    trips, feedback = (followers(store, spark, name, periods).drop(PLACE) for name in ("trips", "feedback"))
     fact = fct_order_enhanced(orders, dates, trips, scd2_current(restaurants).select("restaurant_id", "commission_rate"))
     rows = order_enriched(fact, dates, customers, restaurants, fct_delivery(trips), fct_feedback(feedback))
-    return city_day_view(city_day_sums(rows)).withColumn(PERIOD, _period("full_date", grain))
+    figures = city_day_view(city_day_sums(rows)).withColumn(PERIOD, _period("full_date", grain))
+    days = F.array(*[F.lit(None if p == NOWHERE else p).cast("date") for p in periods])
+    none = spark.range(1).select(F.explode(days).alias(PERIOD), F.lit(0).cast("bigint").alias("total_orders"))
+    return figures.unionByName(none, allowMissingColumns=True)
 
 
 def daily_city_kpi_stream(
@@ -94,37 +104,36 @@ def daily_city_kpi_stream(
     grain: str = "day",
     interval: str | None = None,
     max_files: int | None = None,
+    state: str | None = None,
+    calendar: tuple[date, date] | None = None,
+    buckets: int = 64,
 ) -> StreamingQuery:
     """Follow the folders of staged orders, trips and feedback. Without an interval it takes in what is there and stops.
 
     ``dimensions`` gives calendar, customers and restaurants as they are when a batch runs. ``latest_by`` names the columns that order
-    the deliveries of a row.
+    the deliveries of a row. ``calendar`` gives the first and last day of the calendar, where orders may lie outside it. ``buckets`` is the
+    number of folders of the locator; it and the grain stay as they are once the stream has run. A batch's own files are read once per use; the
+    batch is not kept.
     """
+    store = city_store(state or f"{out.rstrip('/')}_state", schemas, latest_by, grain, calendar, buckets)
 
     def changes(name: str) -> DataFrame:
         reader = spark.readStream.schema(schemas[name])
         if max_files is not None:
             reader = reader.option("maxFilesPerTrigger", max_files)
-        day = F.col(PERIOD) if name == "orders" else F.lit(None).cast("date")
-        return reader.parquet(landing[name]).select("order_id", day.alias(PERIOD), F.lit(name == "orders").alias("_order"))
+        rows = reader.parquet(landing[name])
+        return rows.select(F.struct(*schemas[name].names, F.col("_metadata.file_path").alias(SOURCE)).alias(name))
 
-    def replace_days(batch: DataFrame, _: int) -> None:
+    def replace_periods(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        batch = batch.distinct().persist()
-        landed = {n: session.read.schema(schemas[n]).parquet(p) for n, p in landing.items() if exists(session, p)}
-        landed = {n: landed.get(n, empty(session, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas[n]))) for n in KEYS}
-        ids = batch.filter("order_id is not null").select("order_id").distinct()
-        days = batch.filter("_order").select(PERIOD).unionByName(_days_of(landed["orders"], ids)).distinct().persist()
-        figures = recompute_days(landed, days, *dimensions(), latest_by, grain)
-        none = days.withColumn("total_orders", F.lit(0).cast("bigint"))
-        # The row of no orders makes every touched folder be written, also that of a period without orders.
-        every = figures.unionByName(none, allowMissingColumns=True).hint("rebalance", PERIOD)
-        every.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PERIOD).parquet(out)
-        days.unpersist()
-        batch.unpersist()
-
-    every = changes("orders").unionByName(changes("trips")).unionByName(changes("feedback"))
-    writer = every.writeStream.foreachBatch(replace_days).option("checkpointLocation", checkpoint)
+        arrived = {n: batch.filter(F.col(n).isNotNull()).select(f"{n}.*") for n in KEYS}
+        places = take_in(store, arrived)
+        if any(not p.startswith(WAITING) for p in places):
+            figures = period_figures(store, session, places, *dimensions(), grain).hint("rebalance", PERIOD)
+            figures.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PERIOD).parquet(out)
+
+    every = changes("orders").unionByName(changes("trips"), allowMissingColumns=True).unionByName(changes("feedback"), allowMissingColumns=True)
+    writer = every.writeStream.foreachBatch(replace_periods).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start()
 
