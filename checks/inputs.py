@@ -8,6 +8,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from checks.raw_inputs import MOVED, ORDER_BASE, RAW_SQL, rename_tables
 from tiffin import schemas
@@ -149,16 +150,17 @@ def changed_warehouse(spark: SparkSession, sf_dir: str) -> str:
         folder = run_folder(spark, "changed")
         names = [*schemas.RAW_COLUMNS, schemas.EVENTS]
         waves = {n: _first_and_second(n, raw(spark, sf_dir, n)) for n in names}
+        columns = {n: StructType([*waves[n][0].schema.fields, StructField(STAMP, IntegerType())]) for n in names}
         for number, when in enumerate((FIRST_RUN, SECOND_RUN)):
             for n in names:
                 append_table(waves[n][number].withColumn(STAMP, F.lit(number)), f"{folder}/raw/{n}")
             cfg = Config(
                 root=f"{folder}/warehouse",
-                raw={n: spark.read.schema(waves[n][0].schema.add(STAMP, "integer")).parquet(f"{folder}/raw/{n}") for n in names},
+                raw={n: spark.read.schema(columns[n]).parquet(f"{folder}/raw/{n}") for n in names},
                 calendar_start=CALENDAR[0],
                 calendar_end=CALENDAR[1],
             )
-            status = refresh_changed(spark, cfg, when, STAMP)
+            status = refresh_changed(spark, cfg, when, STAMP, buckets=4)
             if set(status.values()) != {"SUCCESS"}:
                 log = spark.read.parquet(cfg.log_path).filter("status = 'ERROR'").collect()
                 raise RuntimeError(f"refresh failed: {[(r.proc_name, r.message[:500]) for r in log]}")

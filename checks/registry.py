@@ -183,7 +183,8 @@ def _two_runs(name: str, source: str, stage, advance, *, clocked: bool) -> Query
     def query(s: SparkSession, d: str) -> DataFrame:
         root = run_folder(s, name)
         for delivery, clock in zip(deliveries(s, d, source), (FIRST_RUN, SECOND_RUN), strict=True):
-            refresh.store_dimension(s, root, name, lambda dim: advance(dim, stage(delivery), *([clock] if clocked else [])))  # noqa: B023
+            src = stage(delivery)
+            refresh.store_dimension(s, root, name, lambda dim: advance(dim, src, *([clock] if clocked else [])), delivered=src, buckets=8)  # noqa: B023
         return refresh.table(s, root, name)
 
     return query

@@ -145,3 +145,16 @@ def test_a_table_written_in_full_is_laid_out_anew_once(spark, rows, work):
     advance_history(spark, path, schema, lambda now: now)
     advance_history(spark, path, schema, lambda now: now.withColumn("is_current", F.lit(False)).unionByName(rows([(1, "c", True)], schema)), keep=1)
     assert sorted(tuple(r) for r in read_table(spark, path).collect()) == [(1, "a", False), (1, "b", False), (1, "c", True)]
+
+
+def test_dimensions_without_history_rewrite_touched_folders_only(spark, deliver, work):
+    agents = [(str(i), *DATA["delivery_agent"][0][1:]) for i in range(1, 40)]
+    refresh_changed(spark, deliver(**{**DATA, "delivery_agent": agents}), T1, "stamp", buckets=8)
+    before = dict(manifest(spark, f"{work}/dwh/dim_delivery_agent").parts)
+    moved = (agents[4][0], "Moved", *agents[4][2:])
+    cfg = deliver(delivery_agent=[moved, ("99", *agents[0][1:])])
+    refresh_changed(spark, cfg, T2, "stamp", buckets=8)
+    after = dict(manifest(spark, f"{work}/dwh/dim_delivery_agent").parts)
+    assert len(before) == 8 and 1 <= sum(after[b] != before[b] for b in after) <= 2
+    got = {r.agent_id: r.agent_name for r in table(spark, cfg.root, "dim_delivery_agent").collect()}
+    assert len(got) == 40 and got[5] == "Moved" and got[99] == got[1]

@@ -20,7 +20,7 @@ from tiffin.operators.scd import latest_per_key
 from tiffin.plans.dashboard import MONTH
 from tiffin.plans.enriched import order_enriched
 from tiffin.schemas import RUN_LOG
-from tiffin.sources.tables import advance_history, append_table, from_rows, overwrite_table, read_table
+from tiffin.sources.tables import advance_history, append_table, from_rows, overwrite_table, read_table, upkeep_by_bucket
 
 
 @dataclass(frozen=True)
@@ -65,11 +65,26 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return read_table(spark, f"{root}/{name}", schema=DIM_SCHEMAS.get(name))
 
 
-def store_dimension(spark: SparkSession, root: str, name: str, advance: Callable[[DataFrame], DataFrame], keep: int | None = None) -> None:
-    """Store the next state of a dimension. Of one with version history, closed versions stay where they are."""
+#: Keys of the dimensions without version history.
+DIM_KEYS = {"dim_restaurant_scd3": "restaurant_id", "dim_delivery_agent": "agent_id", "dim_promotion": "promo_id"}
+
+
+def store_dimension(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    advance: Callable[[DataFrame], DataFrame],
+    keep: int | None = None,
+    delivered: DataFrame | None = None,
+    buckets: int = 64,
+) -> None:
+    """Store the next state of a dimension. Of one with version history, closed versions stay where they are. With ``delivered``, the source
+    rows of this run, other dimensions are kept in folders by key, of which only those that the delivered keys fall in are written."""
     path = f"{root}/{name}"
     if "is_current" in DIM_SCHEMAS[name]:
         advance_history(spark, path, DIM_SCHEMAS[name], advance, keep=keep)
+    elif delivered is not None:
+        upkeep_by_bucket(spark, path, DIM_SCHEMAS[name], DIM_KEYS[name], delivered, advance, buckets=buckets, keep=keep)
     else:
         overwrite_table(advance(table(spark, root, name)), path, keep=keep)
 

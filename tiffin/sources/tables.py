@@ -20,7 +20,7 @@ from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StringType, StructField, StructType
@@ -297,3 +297,38 @@ def advance_history(
         rows = advance(before.filter("is_current")).unionByName(before.filter("not is_current"))
         return replace_parts(rows, path, "is_current", replaced=None, keep=keep)
     return replace_parts(advance(now), path, "is_current", replaced=["true"], added=["false"], keep=keep)
+
+
+def upkeep_by_bucket(
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    key: str,
+    src: DataFrame,
+    advance: Callable[[DataFrame], DataFrame],
+    *,
+    buckets: int = 64,
+    keep: int | None = None,
+) -> int:
+    """Store the next state of a table whose rows change by their own key only: folders by a hash of the key, of which those that the keys of
+    ``src`` fall in are read and written, the others shared with the version before.
+
+    ``advance`` gets the rows of these folders and returns them as they are now. The number of folders is that of the first call. A table
+    written in full before is laid out anew once.
+    """
+    made = manifest(spark, path)
+    laid = made is not None and made.by.startswith(_KEY_BUCKET)
+    by = made.by if laid else f"{_KEY_BUCKET}{buckets}"
+
+    def bucket() -> Column:
+        return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(int(by.removeprefix(_KEY_BUCKET)))).cast("string")
+
+    if not laid:
+        before = read_table(spark, path, schema=schema)
+        return replace_parts(advance(before).withColumn(by, bucket()), path, by, replaced=None, hide=True, keep=keep)
+    touched = [r[0] for r in src.filter(F.col(key).isNotNull()).select(bucket()).distinct().collect()]
+    rows = advance(read_parts(spark, path, touched).drop(by)).withColumn(by, bucket())
+    return replace_parts(rows.hint("rebalance", by), path, by, replaced=touched, hide=True, keep=keep)
+
+
+_KEY_BUCKET = "key_of_"
