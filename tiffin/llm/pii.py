@@ -199,7 +199,9 @@ def find_personal_data(df: DataFrame, text: str = "text") -> DataFrame:
 def mask(df: DataFrame, text: str = "text") -> DataFrame:
     """The rows with every span replaced by its kind in brackets; overlapping spans become one, named after the first of them."""
     # Equal texts have equal candidates, so a text's digest stands for it and the texts are searched once.
-    found = stored(candidates(df.select(text, F.md5(text).alias("_text")), text).filter(F.size("found") > 0).select("_text", "found"), "pii-found", small=True)
+    # Stored before it is filtered: the optimizer would put the search into the filter, and again into every use of its parts.
+    every = stored(candidates(df.select(text, F.md5(text).alias("_text")), text).select("_text", "found"), "pii-found", small=True)
+    found = every.filter(F.size("found") > 0)
     spans = with_context(found.dropDuplicates(["_text"]), trusted_patterns(found), "_text").select("_text", "spans")
     spans = stored(spans.filter(F.size("spans") > 0), "pii-spans", small=True)
     work = df.withColumn("_text", F.md5(text)).join(spans, "_text", "left").withColumn("spans", F.coalesce("spans", F.array()))
