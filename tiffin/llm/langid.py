@@ -31,6 +31,8 @@ ORDER = 4
 #: Nats a character by which a text must lie above its language's mean to be rejected; random letters lie above by 2 or more.
 REJECT_MARGIN = 1.5
 UNDETERMINED = "und"
+#: Bytes of text scored at once, divided by the languages: the arrays hold a number for each character and language.
+_CHUNK = 1 << 20
 _ASTRAL = 0xE000
 
 
@@ -168,7 +170,7 @@ class Model:
         best, entropy, score, size = np.full(n, -1), np.zeros(n), np.zeros(n), np.zeros(n, np.int64)
         if not self.languages:
             return best, entropy, score, size
-        for first, part in chunks(column, (4 << 20) // len(self.languages)):
+        for first, part in chunks(column, _CHUNK // len(self.languages)):
             letters, heads = _letters(part, fold)
             per = self.scores(letters)
             solid = letters > 0
@@ -260,7 +262,7 @@ def _calibrate(model: Model, rows: DataFrame, text: str, lang: str) -> np.ndarra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fold = _fold_table()
         for batch in batches:
-            for first, part in chunks(batch.column(text), (4 << 20) // len(place)):
+            for first, part in chunks(batch.column(text), _CHUNK // len(place)):
                 names = batch.column(lang).slice(first, len(part)).to_pylist()
                 letters, heads = _letters(part, fold)
                 per = sent.value.scores(letters)
@@ -279,8 +281,11 @@ def _calibrate(model: Model, rows: DataFrame, text: str, lang: str) -> np.ndarra
     per = seen.agg(F.count("*").alias("n"), F.avg("mean").alias("mean"), F.stddev_samp("mean").alias("between"), F.avg("each").alias("each"))
     out = np.zeros((len(model.languages), 3))
     out[:, 0] = np.inf  # too few texts in all to judge by
-    for r in per.filter("n >= 30").collect():
-        out[place[r["lang"]]] = r["mean"], r["between"], r["each"]
+    try:
+        for r in per.filter("n >= 30").collect():
+            out[place[r["lang"]]] = r["mean"], r["between"], r["each"]
+    finally:
+        sent.destroy()  # the tasks that read it have ended
     return out
 
 
