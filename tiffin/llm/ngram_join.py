@@ -42,7 +42,9 @@ BLOCK = 256
 TILE = 400
 #: Columns of the incidence matrix multiplied at once.
 COLUMNS = 4096
-_CHUNK = 4 << 20
+_CHUNK = 2 << 20
+#: Signatures that a task sorts at once.
+_SORTED = 1 << 18
 _SALT = np.uint64(0xA24BAED4963EE407)
 
 
@@ -202,8 +204,18 @@ def _signed(docs: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
                     yield from table(0, *rows)
                 else:
                     yield from table(1, *rows)
-        if held:
-            sign, owner, shared = np.concatenate(held, axis=1)
+        # By ranges of the hash, so that beside what was sent only a bounded number is copied and sorted at a time.
+        cuts = -(-sum(rows.shape[1] for rows in held) // _SORTED)
+        for k in range(cuts):
+            low, high = (np.uint64(((1 << 64) - 1) // cuts * x) for x in (k, k + 1))
+            picked = []
+            for rows in held:
+                own = mix(rows[0].view(np.uint64).copy())
+                inside = own >= low if k == cuts - 1 else (own >= low) & (own < high)
+                picked.append(rows[:, inside])
+            sign, owner, shared = np.concatenate(picked, axis=1)
+            if not len(sign):
+                continue
             order = np.argsort(sign, kind="stable")
             sign, owner, shared = sign[order], owner[order], shared[order]
             heads = np.flatnonzero(np.concatenate([[True], sign[1:] != sign[:-1]]))
