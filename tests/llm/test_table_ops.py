@@ -278,6 +278,40 @@ def test_masking_of_overlapping_spans_and_nulls(spark):
     assert re.fullmatch(r"\+?\[(CARD|PHONE)\] x", got[3])
 
 
+def test_addresses_found_loosely_are_the_ones_found_properly(spark):
+    """Twenty proper addresses behind a phrase and eight that break the rule: an address counts once, so the phrase is trusted."""
+    good = [f"mail to user{i}@site{i}.org now" for i in range(40)]
+    odd = [f"mail to root{i}@localhost now" for i in range(8)]
+    df = spark.createDataFrame(list(enumerate([*good, *odd, "see root@else now"])), "doc_id long, text string")
+    spans = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.find_personal_data(df).collect()}
+    for i, text in enumerate([*good, *odd]):
+        assert spans[i] == [("email", 8, len(text) - 4)], text
+    assert spans[48] == []
+
+
+def test_bootstrapping_goes_on_from_what_it_discovers(spark):
+    """Addresses discovered behind one phrase make another one a pattern, which discovers a fresh address."""
+    good = [f"mail to user{i}@site{i}.org now" for i in range(40)]
+    odd = [f"mail to root{i}@localhost now" for i in range(8)]
+    again = [f"reach via root{i}@localhost please" for i in range(8)]
+    df = spark.createDataFrame(list(enumerate([*good, *odd, *again, "reach via fresh@localhost please"])), "doc_id long, text string")
+    masked = {r.doc_id: r.text for r in pii.mask(df).collect()}
+    assert {masked[i] for i in range(48)} == {"mail to [EMAIL] now"}
+    assert {masked[i] for i in range(48, 57)} == {"reach via [EMAIL] please"}
+
+
+def test_personal_data_beside_columns_of_any_name(spark):
+    names = ["spans", "_text", "_row", "found", "_t", "_e", "_c", "_in", "_plain", "_cover", "_known", "_base", "base_spans", "_gap", "_hit", "_end"]
+    df = spark.createDataFrame([(1, "call a@b.co"), (2, None), (3, "")], "doc_id long, text string").select("*", *[F.lit("x").alias(n) for n in names])
+    assert {r.doc_id: (r.text, r.spans, r._in) for r in pii.mask(df).collect()} == {1: ("call [EMAIL]", "x", "x"), 2: (None, "x", "x"), 3: ("", "x", "x")}
+    assert {r.doc_id: (len(r.spans), r.found, r._row) for r in pii.find_personal_data(df).collect()} == {1: (1, "x", "x"), 2: (0, "x", "x"), 3: (0, "x", "x")}
+
+
+def test_the_search_stands_in_the_plan_of_masking_once(spark):
+    df = spark.createDataFrame([(1, "call a@b.co")], "doc_id long, text string")
+    assert pii.mask(df)._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 0  # done and stored before
+
+
 def test_pii_query_against_brute_force(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = queries.op6_pii(spark, SF).collect()

@@ -6,13 +6,14 @@ with parts up to 255, card numbers of 13 to 19 digits that pass the Luhn test, p
 Bootstrapped contextual extraction adds spans that have roughly the shape of a kind but miss its rule (an address without a
 dot, a number that fails the test, a phone number without the plus). Base spans are the seeds. The words before a seed are
 its lexical patterns. Patterns and instances form a graph that is scored in rounds: a pattern by the share of its instances that
-are believed, an unproven instance by its best pattern. Spans behind a pattern of high confidence are added unless they
-overlap a base span of their kind.
+are believed, an unproven instance by its best pattern. What trusted patterns discover counts as seeds from then on, and the scoring starts
+again until no further pattern is trusted. Spans behind a trusted pattern are added unless they overlap a base span of their kind.
 
 The expressions below are linear in the length of a text: a match can only start where a run of its characters starts, and
 separators that stand between two parts are first turned into marks of equal length, so no group repeats. Offsets count code
-points, ends are exclusive. Null texts count as empty and have no spans; repeated rows get equal results; other columns pass
-through. Only DataFrame functions are used.
+points, ends are exclusive. Null texts count as empty and have no spans (``mask`` keeps them null); repeated rows get equal results; an
+empty table gives no rows. Other columns pass through whatever their names; columns named like the two results are replaced. Only
+DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ KINDS = ("email", "ip", "card", "phone")
 #: A pattern is trusted from this share of believed instances (one unbelieved is added to its count) and so many different seeds.
 CONFIDENCE = 0.8
 MIN_SEEDS = 4
+#: Rounds of scoring between patterns and instances, for each extension of the seeds. More would let unproven instances vouch for themselves.
 ROUNDS = 3
 _DOT, _GAP, _NONE = "\x01", "\x02", "\x04"
 _LOCAL = r"[A-Za-z0-9._%+\x01-]"
@@ -62,7 +64,9 @@ def _running(numbers: Column) -> Column:
 
 
 def _find(df: DataFrame, text: Column, name: str, expression: str, kind: str, proven) -> DataFrame:
-    """Adds a column of the matches of an expression with their offsets, and whether they pass the rule of the kind."""
+    """Adds a column of the matches of an expression with their offsets, and whether they pass the rule of the kind. Values and the words before
+    them are given as the text has them, without marks, so that an identifier has one value however it was found."""
+    own = "" if kind == "card" else " "
     found = df.withColumns(
         {"_gap": F.split(text, expression, -1), "_hit": F.regexp_extract_all(text, F.lit(expression), F.lit(0))}
     )
@@ -71,13 +75,14 @@ def _find(df: DataFrame, text: Column, name: str, expression: str, kind: str, pr
 
     def span(i: Column) -> Column:
         hit, end = F.get(F.col("_hit"), i), F.get(F.col("_end"), i)
-        words = F.slice(F.reverse(F.split(F.trim(F.regexp_replace(F.right(F.get(F.col("_gap"), i), F.lit(80)), r"\s+", " ")), " ")), 1, 2)
+        before = F.translate(F.right(F.get(F.col("_gap"), i), F.lit(80)), _DOT + _GAP, ". ")
+        words = F.slice(F.reverse(F.split(F.trim(F.regexp_replace(before, r"\s+", " ")), " ")), 1, 2)
         return F.struct(
             F.lit(kind).alias("kind"),
             (end - F.length(hit)).alias("start"),
             end.alias("end"),
             proven(hit).alias("seed"),
-            hit.alias("value"),
+            F.translate(hit, _DOT + _GAP, "." + own).alias("value"),
             F.lower(F.concat_ws(" ", F.reverse(words))).alias("left"),
         )
 
@@ -121,7 +126,13 @@ def candidates(df: DataFrame, text: str = "text", out: str = "found") -> DataFra
     for kind, expression in _LOOSE.items():
         work = _find(work, F.col("_t"), f"_loose_{kind}", expression, kind, lambda hit: F.lit(False))
     parts = [f"_{k}" for k in KINDS] + [f"_loose_{k}" for k in _LOOSE]
-    every = F.concat(*(F.col(p) for p in parts))
+
+    def outside(kind: str) -> Column:
+        """Loose spans that overlap no base span of their kind: what lies in one is that identifier, not another."""
+        hits = F.filter(f"_{kind}", lambda b: b["seed"])
+        return F.filter(f"_loose_{kind}", lambda s: ~F.exists(hits, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+
+    every = F.concat(*(F.col(f"_{k}") for k in KINDS), *map(outside, _LOOSE))
     # A run of digits that is too short or too long for a card is no candidate either; likewise for phone numbers.
     sized = F.filter(
         every,
@@ -148,15 +159,31 @@ def trusted_patterns(found: DataFrame, column: str = "found") -> DataFrame:
         .groupBy("pattern", "kind", "value")
         .agg(F.max("seed").alias("seed")),
         "pii-links",
+        small=True,
     )
+    believed, before = links, -1
+    while True:
+        trusted = stored(_scored(believed), "pii-patterns", small=True)
+        count = trusted.count()
+        if count == before:
+            return trusted
+        before = count
+        # What a trusted pattern discovers counts as a seed wherever it occurs, and may make further patterns.
+        known = links.filter(~F.col("seed")).join(trusted, "pattern").select("kind", "value", F.lit(True).alias("known")).distinct()
+        met = links.join(known, ["kind", "value"], "left")
+        believed = met.select("pattern", "kind", "value", (F.col("seed") | F.coalesce("known", F.lit(False))).alias("seed"))
+
+
+def _scored(links: DataFrame) -> DataFrame:
+    """(pattern): those of high confidence after some rounds between patterns and instances, given the seeds."""
     belief = links.select("kind", "value", F.col("seed").cast("double").alias("belief")).distinct()
-    scored = None
     for _ in range(ROUNDS):
         scored = stored(
             links.join(belief, ["kind", "value"])
             .groupBy("pattern")
             .agg((F.sum("belief") / (F.count("*") + 1)).alias("confidence"), F.sum(F.col("seed").cast("int")).alias("seeds")),
-            "pii-patterns",
+            "pii-scores",
+            small=True,
         )
         belief = (
             links.join(scored, "pattern")
@@ -190,21 +217,31 @@ def with_context(found: DataFrame, patterns: DataFrame, key: str, column: str =
     return work.withColumns({"base_spans": placed(F.col("_base")), "spans": placed(F.concat("_base", "_more"))}).drop("_base", "_more", "_known")
 
 
+def _carried(df: DataFrame, columns: list[str], *more: Column) -> DataFrame:
+    """The columns of a table in one struct, where their names can't clash with those used here."""
+    return df.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in columns]).alias("_in"), *more)
+
+
 def find_personal_data(df: DataFrame, text: str = "text") -> DataFrame:
     """Each row with base_spans and spans in place of its text. The texts are read once; what is kept of them is their candidates."""
-    found = stored(candidates(df, text).drop(text).withColumn("_row", F.monotonically_increasing_id()), "pii-found", small=True)
-    return with_context(found, trusted_patterns(found), "_row").select(*(c for c in df.columns if c != text), "base_spans", "spans")
+    kept = [c for c in df.columns if c not in (text, "base_spans", "spans")]
+    work = candidates(_carried(df, kept, F.col(text).alias("_text")), "_text").drop("_text")
+    found = stored(work.withColumn("_row", F.monotonically_increasing_id()), "pii-found", small=True)
+    done = with_context(found, trusted_patterns(found), "_row")
+    return done.select(*[F.col(f"_in.`{c}`").alias(c) for c in kept], "base_spans", "spans")
 
 
 def mask(df: DataFrame, text: str = "text") -> DataFrame:
     """The rows with every span replaced by its kind in brackets; overlapping spans become one, named after the first of them."""
     # Equal texts have equal candidates, so a text's digest stands for it and the texts are searched once.
     # Stored before it is filtered: the optimizer would put the search into the filter, and again into every use of its parts.
-    every = stored(candidates(df.select(text, F.md5(text).alias("_text")), text).select("_text", "found"), "pii-found", small=True)
+    texts = df.select(F.col(text).alias("_plain"), F.md5(text).alias("_text"))
+    every = stored(candidates(texts, "_plain").select("_text", "found"), "pii-found", small=True)
     found = every.filter(F.size("found") > 0)
     spans = with_context(found.dropDuplicates(["_text"]), trusted_patterns(found), "_text").select("_text", "spans")
     spans = stored(spans.filter(F.size("spans") > 0), "pii-spans", small=True)
-    work = df.withColumn("_text", F.md5(text)).join(spans, "_text", "left").withColumn("spans", F.coalesce("spans", F.array()))
+    rows = _carried(df, df.columns, F.col(text).alias("_plain"), F.md5(text).alias("_text"))
+    work = rows.join(spans, "_text", "left").withColumn("spans", F.coalesce("spans", F.array()))
     by_start = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     kind = "array<struct<start:int,end:int,kind:string>>"
 
@@ -221,9 +258,9 @@ def mask(df: DataFrame, text: str = "text") -> DataFrame:
     def piece(i: Column) -> Column:
         begin = F.when(i > 0, F.get(F.col("_cover"), i - 1)["end"]).otherwise(0)
         own = F.get(F.col("_cover"), i)
-        end = F.coalesce(own["start"], F.length(text))
+        end = F.coalesce(own["start"], F.length("_plain"))
         mark = F.coalesce(F.concat(F.lit("["), F.upper(own["kind"]), F.lit("]")), F.lit(""))
-        return F.concat(F.substr(F.col(text), begin + 1, end - begin), mark)
+        return F.concat(F.substr(F.col("_plain"), begin + 1, end - begin), mark)
 
-    masked = F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n), piece), "")).otherwise(F.col(text))
-    return work.withColumn(text, masked).select(*df.columns)
+    masked = F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n), piece), "")).otherwise(F.col("_plain"))
+    return work.select(*[(masked if c == text else F.col(f"_in.`{c}`")).alias(c) for c in df.columns])
