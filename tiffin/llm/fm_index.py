@@ -88,7 +88,9 @@ class FMIndex:
         self.limit, n = limit, len(text)
         ends = np.flatnonzero(text == 0)
         depth = int(np.diff(np.concatenate([[-1], ends])).max())
-        order = suffix_array(text, depth)
+        # Matches are followed up to ``limit`` symbols and one more is read before them, so suffixes need no order beyond that: intervals
+        # and ranks are only taken at the bounds of groups that share at most ``limit`` symbols, which stand whole in this order.
+        order = suffix_array(text, min(depth, limit + 1))
         kinds = int(text.max()) + 1
         self.count = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=kinds))])
         last = text[order - 1]  # the text ends with a separator, which also stands before its first symbol
