@@ -85,6 +85,7 @@ def near_copies(seed, words=60):
 @pytest.mark.parametrize("n, percent, seed", [(3, 90, 1), (5, 80, 2), (1, 60, 3)])
 def test_join_components_equal_brute_force(spark, monkeypatch, n, percent, seed):
     monkeypatch.setattr(ngram_join, "TILE", 9)
+    monkeypatch.setattr(ngram_join, "SKETCHES", 7)
     monkeypatch.setattr(ngram_join, "BLOCK", 4)
     rows = near_copies(seed)
     df = spark.createDataFrame([*rows, (None, "a b c d"), (None, None)], "doc_id long, text string").repartition(4)
@@ -113,8 +114,36 @@ def test_linked_sets_always_share_a_signature():
                 if 100 * both < percent * (len(a) + len(b) - both) or (a.shape == b.shape and (a == b).all()):
                     continue
                 frames = ngram_join.Frames(percent, 1000)
-                sign, doc = frames.signatures(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
-                assert set(sign[doc == 0].tolist()) & set(sign[doc == 1].tolist())
+                sign, doc, spared = frames.signatures(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
+                both = set(sign[doc == 0].tolist()) & set(sign[doc == 1].tolist())
+                assert both
+                free = {(d, f): n for d, f, n in spared.T.tolist()}
+                shared = [sum(x >> ngram_join.FRAME_SHIFT == f for x in both) for f in range(64)]
+                # In the frame of the larger set both may leave out what they have to spare and still share one.
+                assert any(n > max(free.get((0, f), 0), free.get((1, f), 0)) for f, n in enumerate(shared))
+
+
+def test_passages_that_many_share_neither_hide_nor_make_links(spark):
+    rng = random.Random(11)
+    passages = [[f"p{k}_{i}" for i in range(70)] for k in range(3)]
+    rows = []
+    for k in range(60):
+        base = [f"w{rng.randrange(10_000)}" for _ in range(rng.choice([20, 60, 90]))] + passages[k % 3]
+        for _ in range(rng.choice([1, 1, 2, 4])):
+            own = list(base)
+            for _ in range(rng.choice([0, 1, 2, 5])):
+                own[rng.randrange(len(own))] = f"x{rng.randrange(10_000)}"
+            rows.append((len(rows), " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join_components(df, n=5, percent=80).collect()}
+    assert got == plain_components(rows, 5, 80)
+
+
+def test_frequent_signatures_go_as_far_as_sets_can_spare_them(spark):
+    rows = [(7, rep, 10) for rep in range(9)] + [(5, 0, 10), (5, 1, 10), (6, 0, 10), (6, 2, 10)]
+    spared = spark.createDataFrame([(0, 0, 1), (1, 0, 2), (3, 1, 5)], "rep long, frame long, free long")
+    got = ngram_join._needed(spark.createDataFrame(rows, "sign long, rep long, size long"), spared).collect()
+    assert sorted((r.sign, r.rep) for r in got) == [(5, 0), (6, 0), (6, 2), *((7, k) for k in range(2, 9))]
 
 
 @pytest.mark.parametrize(("percent", "small", "large"), [(90, 91, 95), (80, 39, 42), (50, 60, 100)])

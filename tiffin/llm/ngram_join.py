@@ -6,8 +6,8 @@ documents link if 100 * intersection >= percent * union.
 1. Documents with equal sets form a class; the smallest id stands for it.
 2. Size-derived bounds: two linked sets of sizes a and b differ in at most d = (a + b)(100 - percent) / (100 + percent) shingles. Sets of
    similar size are cut into d + 1 (and some spare) buckets by shingle hash, so linked sets agree in some bucket that is not empty
-   (sets with more empty buckets than spare ones also give those). A bucket's content is its signature; only documents that
-   share one are compared.
+   (sets with more empty buckets than spare ones also give those). A bucket's content is its signature. Of a set's signatures the most
+   frequent ones go, as many as linked sets share beyond the first; only documents that still share one are compared.
 3. In each group of a shared signature everybody is first compared with the group's smallest id. That joins nearly all of a large
    group of copies in linear work. Blocks are rows of the document by n-gram matrix times the block's first row.
 4. Groups that still hold several components are compared in full: blocked products of tiles of the incidence matrix accumulate overlap
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiffin.llm.graph import components
@@ -40,11 +40,20 @@ CLASS_RATIO = 1.5
 #: Documents of a block beside its first one, and of a tile.
 BLOCK = 256
 TILE = 400
+#: Documents of a tile of sketches, and their bytes together.
+SKETCHES = 4_000
+SKETCH_BYTES = 4 << 20
 #: Columns of the incidence matrix multiplied at once.
 COLUMNS = 4096
 _CHUNK = 2 << 20
+#: Parts in which the rows of a class of equal sets meet.
+CLASS_PARTS = 64
 #: Signatures that a task sorts at once.
 _SORTED = 1 << 18
+#: A signature's bits above this one name its frame; 64 frames reach sets of 10 ** 10 shingles.
+FRAME_SHIFT = 58
+#: Signatures of at least so many sets are ordered by their frequency, the others by their bits alone.
+FREQUENT = 4
 _SALT = np.uint64(0xA24BAED4963EE407)
 
 
@@ -108,19 +117,27 @@ class Frames:
     def salt(f: int) -> np.uint64:
         return mix(np.array([f + 1], np.uint64) * _SALT)[0]
 
-    def signatures(self, grams: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(signature, document) of all documents."""
+    def signatures(self, grams: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(signature, document) of all documents, and an array of (document, frame, spare signatures). The frame is in a signature's top bits.
+
+        Linked sets of a frame share one signature more than either has to spare: they agree in 1 + spare buckets, of which no more are
+        empty than one of them has empty ones. A set that gives its empty buckets too has none to spare, as its partner may not give them.
+        """
         found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        spared = [np.zeros((3, 0), np.int64)]
         for f, members, filled, content in self.cut(grams, first):
-            k = int(self.buckets[f])
-            found.append((content, members[filled // k]))
+            k, top = int(self.buckets[f]), np.uint64(f << FRAME_SHIFT)
+            found.append((content >> np.uint64(64 - FRAME_SHIFT) | top, members[filled // k]))
             empty = np.ones(len(members) * k, bool)
             empty[filled] = False
             empty = empty.reshape(-1, k)
-            bare = np.flatnonzero(empty.sum(axis=1) > self.spare[f])
+            free = self.spare[f] - empty.sum(axis=1)
+            bare, some = np.flatnonzero(free < 0), np.flatnonzero(free > 0)
             at, bucket = np.nonzero(empty[bare])
-            found.append((mix(mix(bucket.astype(np.uint64) ^ self.salt(f)) + np.uint64(1)), members[bare[at]]))
-        return tuple(np.concatenate([x[i] for x in found]) for i in (0, 1))
+            content = mix(mix(bucket.astype(np.uint64) ^ self.salt(f)) + np.uint64(1))
+            found.append((content >> np.uint64(64 - FRAME_SHIFT) | top, members[bare[at]]))
+            spared.append(np.stack([members[some], np.full(len(some), f), free[some]]))
+        return *(np.concatenate([x[i] for x in found]) for i in (0, 1)), np.concatenate(spared, axis=1)
 
     def sketches(self, grams: np.ndarray, first: np.ndarray) -> list[list[tuple[int, bytes]]]:
         """For each document its frames, each with one byte of every bucket's content hash (0 if empty)."""
@@ -143,7 +160,8 @@ class Frames:
 
 
 def _signed(docs: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
-    """(kind, a, b, c, d): kind 0 are (signature, id) of signatures that at least two sets have, kind 1 (id, size, hash, hash) of all rows.
+    """(kind, a, b, c, d): kind 0 are (signature, id) of signatures that at least two sets have, kind 1 (id, size, hash, hash) of all rows,
+    kind 2 (id, frame, spare signatures) of sets that have spare ones.
 
     A task sends a signature once, however many of its documents have it; the others are known to share it.
     """
@@ -165,7 +183,7 @@ def _signed(docs: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
                 fresh = np.concatenate([[True], (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])])
                 keep = np.sort(order[fresh])  # one document of each class
                 frames = Frames(percent, int(sizes.max(initial=0)))
-                sign, doc = frames.signatures(grams[ranges(first[:-1][keep], sizes[keep])], np.concatenate([[0], np.cumsum(sizes[keep])]))
+                sign, doc, spared = frames.signatures(grams[ranges(first[:-1][keep], sizes[keep])], np.concatenate([[0], np.cumsum(sizes[keep])]))
                 order = np.argsort(sign, kind="stable")
                 sign, owner = sign[order], ids[keep][doc[order]]
                 heads = np.concatenate([[True], sign[1:] != sign[:-1]]) if len(sign) else np.zeros(0, bool)
@@ -177,7 +195,8 @@ def _signed(docs: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
                 rows = [(p, 0, head[order[i:j]]) for p, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if j > i]
                 spread = int(mix(ids[:1].view(np.uint64))[0] % np.uint64(parts))
                 more = np.stack([sign[~heads].view(np.int64), owner[~heads]], axis=1)
-                rows += [(spread, 1, more), (spread, 2, info)]
+                spared[0] = ids[keep][spared[0]]
+                rows += [(spread, 1, more), (spread, 2, info), (spread, 3, spared.T)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([r[0] for r in rows], pa.int32()),
@@ -197,13 +216,13 @@ def _signed(docs: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
         held = []
         for batch in batches:
             for kind, body in zip(batch.column("kind").to_pylist(), batch.column("body"), strict=True):
-                rows = np.frombuffer(body.as_buffer(), np.int64).reshape({0: 3, 1: 2, 2: 4}[kind], -1)
+                rows = np.frombuffer(body.as_buffer(), np.int64).reshape({0: 3, 1: 2, 2: 4, 3: 3}[kind], -1)
                 if kind == 0:
                     held.append(rows)
                 elif kind == 1:
                     yield from table(0, *rows)
                 else:
-                    yield from table(1, *rows)
+                    yield from table(kind - 1, *rows)
         # By ranges of the hash, so that beside what was sent only a bounded number is copied and sorted at a time.
         cuts = -(-sum(rows.shape[1] for rows in held) // _SORTED)
         for k in range(cuts):
@@ -227,6 +246,28 @@ def _signed(docs: DataFrame, n: int, percent: int, parts: int) -> DataFrame:
     return dealt.mapInArrow(gather, "kind int, a long, b long, c long, d long")
 
 
+def _classes(sized: DataFrame) -> DataFrame:
+    """(id, rep, size) of (id, size, h1, h2): the smallest id of the rows with equal hashes. A class of very many rows is met in parts."""
+    parted = sized.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(CLASS_PARTS)).cast("int"))
+    least = parted.groupBy("h1", "h2", "part").agg(F.min("id").alias("rep"))
+    named = least.groupBy("h1", "h2").agg(F.min("rep").alias("rep"), F.collect_set("part").alias("parts"))
+    named = named.select("h1", "h2", "rep", F.explode("parts").alias("part"))
+    return parted.join(named, ["h1", "h2", "part"]).select("id", "rep", "size").distinct()
+
+
+def _needed(shared: DataFrame, spared: DataFrame) -> DataFrame:
+    """The rows (sign, rep, size) without the most frequent signatures of each set and frame, as many as ``spared`` (rep, frame, free) says.
+
+    In any order of all signatures the first one that two linked sets share has as many shared ones after it as either may spare, so it
+    stays with both: no link is lost. What goes is mainly what passages shared by many documents give.
+    """
+    often = shared.groupBy("sign").agg(F.count("*").alias("times")).filter(F.col("times") >= FREQUENT)
+    rows = shared.join(often, "sign", "left").withColumn("frame", F.shiftrightunsigned("sign", FRAME_SHIFT))
+    order = Window.partitionBy("rep", "frame").orderBy(F.desc_nulls_last("times"), "sign")
+    ranked = rows.join(spared, ["rep", "frame"], "left").withColumn("rank", F.row_number().over(order))
+    return ranked.filter(F.col("rank") > F.coalesce("free", F.lit(0))).select("sign", "rep", "size")
+
+
 def _verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """(u, v) of the pairs (u, v) that link. A block is one u with a bounded number of its v."""
     crowd = pairs.groupBy("u").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("cut"))
@@ -311,10 +352,12 @@ def _likely(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
 
 
 def _near(clusters: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """(u, v): a spanning forest, for every block, of the pairs of a cluster's documents whose sketches agree enough to link. A block
-    is a pair of tiles of the documents of a cluster in one frame."""
-    rows = clusters.join(sketches, "id")
-    crowd = rows.groupBy("cluster", "frame").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"), F.count("*").alias("n"))
+    """(u, v): a spanning forest, for every block, of the pairs of a cluster's documents whose sketches agree enough to link. ``clusters``
+    has (id, cluster, frame, component); a block is a pair of tiles of the documents of a cluster."""
+    rows = clusters.join(sketches, ["id", "frame"])
+    rows_ = F.count("*")
+    tiles = F.greatest(F.ceil(rows_ / SKETCHES), F.ceil(rows_ * F.max(F.length("sketch")) / SKETCH_BYTES))
+    crowd = rows.groupBy("cluster", "frame").agg(tiles.cast("int").alias("tiles"), rows_.alias("n"))
     tiled = rows.join(crowd.filter("n > 1"), ["cluster", "frame"]).withColumn("own", F.pmod(F.xxhash64("id"), "tiles").cast("int"))
     tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
         "cluster", "frame", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "component", "sketch"
@@ -444,17 +487,25 @@ def join_components(df: DataFrame, row_id: str = "doc_id", text: str = "text", n
     named = docs.filter("id is not null")
     done = stored(_signed(named, n, percent, parts), "ngram-signatures")
     info = done.filter("kind = 1").select(F.col("a").alias("id"), F.col("b").alias("size"), F.col("c").alias("h1"), F.col("d").alias("h2"))
-    filled = info.filter("size > 0")
-    classes = filled.groupBy("h1", "h2").agg(F.min("id").alias("rep"))
-    member = stored(filled.join(classes, ["h1", "h2"]).select("id", "rep", "size").distinct(), "ngram-classes")
-    shared = stored(
+    member = stored(_classes(info.filter("size > 0")), "ngram-classes", small=True)
+    spared = (
+        done.filter("kind = 2")
+        .select(F.col("a").alias("id"), F.col("b").cast("bigint").alias("frame"), F.col("c").alias("free"))
+        .join(member.select("id", "rep"), "id")
+        .groupBy("rep", "frame")
+        .agg(F.min("free").alias("free"))
+    )
+    signed = stored(
         done.filter("kind = 0").select(F.col("a").alias("sign"), F.col("b").alias("id")).join(member, "id").select("sign", "rep", "size").distinct(),
-        "ngram-shared",
+        "ngram-signed",
     )
-    texts = stored(named.join(shared.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), "ngram-texts")
-    pivot = shared.groupBy("sign").agg(F.min(F.struct("rep", "size")).alias("p"), F.max("rep").alias("top")).filter("p.rep <> top")
+    shared = stored(_needed(signed, spared), "ngram-shared")
+    several = shared.groupBy("sign").agg(F.min(F.struct("rep", "size")).alias("p"), F.max("rep").alias("top"))
+    pivot = several.filter("p.rep <> top").select("sign", "p")
+    grouped = stored(shared.join(pivot, "sign"), "ngram-grouped")
+    texts = stored(named.join(grouped.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), "ngram-texts")
     pairs = (
-        shared.join(pivot, "sign")
+        grouped
         .filter("rep <> p.rep")
         .filter(100 * F.least("size", "p.size") >= percent * F.greatest("size", "p.size"))
         .select(F.col("p.rep").alias("u"), F.col("rep").alias("v"))
@@ -465,21 +516,26 @@ def join_components(df: DataFrame, row_id: str = "doc_id", text: str = "text", n
     links = stored(_verify(likely, texts, n, percent), "ngram-links")
     near = components(links, "u", "v")
     placed = stored(
-        shared.join(near.withColumnRenamed("node", "rep"), "rep", "left").select("sign", "rep", F.coalesce("component", "rep").alias("component")),
+        grouped.join(near.withColumnRenamed("node", "rep"), "rep", "left").select("sign", "rep", F.coalesce("component", "rep").alias("component")),
         "ngram-placed",
     )
     open_ = placed.groupBy("sign").agg(F.min("component").alias("lowest"), F.max("component").alias("highest"), F.min("rep").alias("first")).filter("lowest <> highest")
-    rest = stored(placed.join(open_.select("sign", "first"), "sign").select("rep", "component", "first").distinct(), "ngram-open")
+    # Groups meet in a cluster only through documents of one frame. Two nodes of one hash would but put two clusters together.
+    framed = placed.join(open_.select("sign", "first"), "sign").withColumn("frame", F.shiftrightunsigned("sign", FRAME_SHIFT).cast("int"))
+    rest = stored(
+        framed.select(
+            F.col("rep").alias("id"), "frame", "component", F.xxhash64("rep", "frame").alias("node"), F.xxhash64("first", "frame").alias("first")
+        ).distinct(),
+        "ngram-open",
+    )
     if rest.limit(1).count():
-        grouped = components(rest.select(F.col("rep").alias("a"), F.col("first").alias("b")))
-        placed = rest.select(F.col("rep").alias("id"), "component").distinct()
-
-        def clustered(groups: DataFrame) -> DataFrame:
-            return placed.join(groups.select(F.col("node").alias("id"), F.col("component").alias("cluster")), "id")
-
+        crowds = components(rest, "node", "first").withColumnRenamed("component", "cluster")
+        placed = rest.select("id", "frame", "component", "node").distinct()
+        crowded = stored(placed.join(crowds, "node").select("id", "frame", "component", "cluster"), "ngram-crowds")
+        alone = placed.select("id", "component").distinct()
         # Sharing a passage is enough to share a signature; the sketches leave those that may well link.
-        close = components(_near(clustered(grouped), sketches, percent), "u", "v")
-        clusters = stored(clustered(close), "ngram-clusters")
+        close = components(stored(_near(crowded, sketches, percent), "ngram-close"), "u", "v")
+        clusters = stored(alone.join(close.select(F.col("node").alias("id"), F.col("component").alias("cluster")), "id"), "ngram-clusters")
         links = stored(links.unionAll(_products(clusters, texts, n, percent)), "ngram-links")
         near = components(links, "u", "v")
     # An id that stands for several sets ties their classes together.
