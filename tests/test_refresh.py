@@ -3,10 +3,12 @@
 from dataclasses import replace
 from datetime import date, datetime
 from decimal import Decimal
+from threading import Event
 
 import pytest
 from pyspark.sql import functions as F
 
+from tiffin.plans import refresh
 from tiffin.plans.marts import daily_city_kpi
 from tiffin.plans.refresh import Config, enriched_orders, refresh_all, run_step, table
 from tiffin.schemas import EVENTS, RAW_COLUMNS, raw_schema
@@ -191,3 +193,19 @@ def test_money_without_decimals(spark, config, work):
     cfg = replace(config(), root=f"{work}/whole", money_scale=0)
     refresh_all(spark, cfg, T1)
     assert table(spark, cfg.root, "fct_order_enhanced").filter("order_id = 102").first().total_amount == Decimal("100.00")
+
+
+def test_facts_are_typed_while_the_dimensions_load(spark, config, monkeypatch):
+    staged, store_dimension, typed = refresh.staged, refresh.store_dimension, {n: Event() for n in refresh.SOURCES}
+
+    def type_(cfg, name):
+        typed[name].set()
+        return staged(cfg, name)
+
+    def store(*args, **named):
+        assert all(typed[n].wait(60) for n in ("order_header", "delivery_trip", "customer_feedback", EVENTS))
+        store_dimension(*args, **named)
+
+    monkeypatch.setattr(refresh, "staged", type_)
+    monkeypatch.setattr(refresh, "store_dimension", store)
+    assert set(refresh_all(spark, config(), T1).values()) == {"SUCCESS"}
