@@ -3,6 +3,7 @@
 from dataclasses import replace
 from datetime import datetime
 from pathlib import Path
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from tests.test_refresh import DATA, EVENT
 from tiffin.plans.incremental import refresh_changed
 from tiffin.plans.refresh import Config, refresh_all, table
 from tiffin.schemas import EVENTS, RAW_COLUMNS, raw_schema
+from tiffin.sources import placed
 from tiffin.sources.raw import parse_events
 from tiffin.sources.tables import append_table, manifest, overwrite_table, read_table
 
@@ -158,3 +160,16 @@ def test_dimensions_without_history_rewrite_touched_folders_only(spark, deliver,
     assert len(before) == 8 and 1 <= sum(after[b] != before[b] for b in after) <= 2
     got = {r.agent_id: r.agent_name for r in table(spark, cfg.root, "dim_delivery_agent").collect()}
     assert len(got) == 40 and got[5] == "Moved" and got[99] == got[1]
+
+
+def test_stores_take_in_their_tables_together(spark, deliver, work, monkeypatch):
+    take_in, all_here = placed.take_in, Barrier(6)
+
+    def meet(store, arrived):
+        all_here.wait(timeout=60)
+        return take_in(store, arrived)
+
+    monkeypatch.setattr(placed, "take_in", meet)
+    cfg = deliver(**{**DATA, EVENTS: [EVENT]})
+    assert set(refresh_changed(spark, cfg, T1, "stamp").values()) == {"SUCCESS"}
+    same_as_full(spark, cfg, work, T1)
