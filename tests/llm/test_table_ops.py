@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from checks.compare import connect
-from tiffin.llm import licenses, ngram_join, pii, queries, url_filter, warc
+from tiffin.llm import licenses, ngram_join, pii, queries, sieve, url_filter, warc
 from tiffin.llm.graph import components
 
 SF = "/root/testdata/sf0.001"
@@ -477,3 +477,89 @@ def test_stages_return_documents_and_stand_nulls(spark):
             assert stage(spark, docs, SF).columns == docs.columns
             stage(spark, docs, SF).collect()
         corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+
+
+# ---- rows that stay where they are ----------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def no_small_tables(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def collected(df, column):
+    """The rows of a DataFrame, and how many rows with a column (or a field) of this name its shuffles wrote."""
+    rows = df.collect()
+
+    def written(node):
+        if "QueryStage" in node.nodeName():
+            return written(node.plan())
+        own = node.metrics().get("shuffleRecordsWritten")
+        here = own.get().value() if own.isDefined() and f"{column}:string" in node.schema().simpleString() else 0
+        children = node.children()
+        return here + sum(written(children.apply(i)) for i in range(children.size()))
+
+    return rows, written(df._jdf.queryExecution().executedPlan().executedPlan())
+
+
+def long_texts(count):
+    rng = random.Random(7)
+    return [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(60)), "en", "a", 1) for i in range(count)]
+
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.mark.parametrize("words", [1, 2, 1 << 18])
+def test_sieve_loses_no_key_and_passes_few_others(spark, monkeypatch, words):
+    monkeypatch.setattr(sieve, "WORDS", words)
+    df = spark.createDataFrame([(i, f"k{i}") for i in range(-500, 500)] + [(None, None)], "n int, s string")
+    keys = spark.createDataFrame([(i, f"k{i}") for i in range(-30, 30)] * 2 + [(None, None), (900, "k900")], "n long, s string")
+    for key in ("n", "s"):
+        got = {r[key]: r["_may"] for r in sieve.sieved(df, key, keys.select(key)).collect()}
+        assert len(got) == 1001 and not got[None]
+        assert all(got[x] for x in ([*range(-30, 30)] if key == "n" else [f"k{i}" for i in range(-30, 30)]))
+        assert words < 1 << 18 or sum(got.values()) < 70
+        assert not any(r["_may"] for r in sieve.sieved(df, key, keys.select(key).limit(0)).collect())
+        assert sieve.sieved(df.limit(0), key, keys.select(key)).collect() == []
+
+
+def test_near_duplicates_moves_copies_and_repeated_ids_alone(spark, no_small_tables, monkeypatch):
+    texts = []
+
+    def spied(df, name, small=False, inner=ngram_join.stored):
+        if name == "ngram-texts":
+            texts.append(collected(df, "text"))
+        return inner(df, name, small)
+
+    monkeypatch.setattr(ngram_join, "stored", spied)
+    rows = long_texts(300)
+    rows[200] = (200, *rows[10][1:])  # copies, also near ones
+    rows[201] = (201, rows[11][1] + " more", *rows[11][2:])
+    again = [(20, "zz", "en", "a", 1), (20, None, "en", "a", 1), (None, rows[10][1], "en", "a", 1), (None, None, None, None, None)]
+    got, moved = collected(corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows + again, DOCUMENTS), SF), "text")
+    want = [r for r in rows if r[0] not in (200, 201, 20)] + [min(rows[20], again[0]), *again[2:]]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    assert moved <= 8
+    ((found, moved),) = texts
+    assert {11, 201} <= {r.id for r in found}
+    assert moved <= len(found) < 150
+
+
+def test_decontamination_moves_documents_with_a_passage_alone(spark, no_small_tables):
+    passages = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").limit(2).collect()]
+    rows = [*long_texts(300), (900, passages[0], "en", "a", 1), (None, passages[1], "en", "a", 1), (None, "free", "en", "a", 1), (901, None, None, None, None)]
+    got, moved = collected(corpus_pipeline.benchmark_free(spark, spark.createDataFrame(rows, DOCUMENTS), SF), "text")
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, [r for r in rows if r[1] not in passages]))
+    assert moved <= 5
+
+
+def test_masking_moves_texts_with_spans_alone(spark, no_small_tables):
+    rows = [*long_texts(300), (900, "call a@b.co", "en", "a", 1), (901, "call a@b.co", "en", "a", 1), (902, None, None, None, None)]
+    got, moved = collected(pii.mask(spark.createDataFrame(rows, DOCUMENTS)), "_plain")
+    want = [(*r[:1], r[1] and r[1].replace("a@b.co", "[EMAIL]"), *r[2:]) for r in rows]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    assert moved <= 5

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiffin.llm.graph import components
+from tiffin.llm.sieve import sieved
 from tiffin.llm.store import stored
 from tiffin.llm.text import Words, chunks, mix, ranges, shingles
 
@@ -276,7 +277,9 @@ def _verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
         rows.select("u", "block", F.lit(0).alias("side"), F.col("u").alias("id")).distinct()
     )
     parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = sides.join(texts, "id").select("u", "block", "side", "id", "text").repartition(parts, "u", "block").sortWithinPartitions("u", "block", "side", "id")
+    ids = pairs.select(F.explode(F.array("u", "v")).alias("id"))
+    asked = sieved(texts, "id", ids).filter("_may").select("id", "text")
+    ordered = sides.join(asked, "id").select("u", "block", "side", "id", "text").repartition(parts, "u", "block").sortWithinPartitions("u", "block", "side", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, heads = None, []  # the sets of the block's first document
@@ -393,14 +396,16 @@ def _by_block(width: int, solve):
         def packed(out: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["u", "v"])
 
+        def tuples(part: pa.RecordBatch) -> Iterator[tuple]:
+            return zip(*(c.to_pylist() for c in part.columns), strict=True)
+
         key, rows = None, []
-        for batch in batches:
-            for values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if values[:width] != key:
-                    if rows and (out := [*solve(key, rows)]):
-                        yield packed(out)
-                    key, rows = values[:width], []
-                rows.append(values[width:])
+        for values in (x for batch in batches for at in range(0, batch.num_rows, TILE) for x in tuples(batch.slice(at, TILE))):
+            if values[:width] != key:
+                if rows and (out := [*solve(key, rows)]):
+                    yield packed(out)
+                key, rows = values[:width], []
+            rows.append(values[width:])
         if rows and (out := [*solve(key, rows)]):
             yield packed(out)
 
@@ -459,7 +464,8 @@ def _products(clusters: DataFrame, texts: DataFrame, n: int, percent: int) -> Da
     )
     parts = int(clusters.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = ["cluster", "i", "j"]
-    blocks = tiled.join(texts, "id").repartition(parts, *keys).sortWithinPartitions(*keys, "own", "id")
+    asked = sieved(texts, "id", clusters.select("id")).filter("_may").select("id", "text")
+    blocks = tiled.join(asked, "id").repartition(parts, *keys).sortWithinPartitions(*keys, "own", "id")
 
     def solve(key: tuple, rows: list[tuple]) -> Iterator[tuple[int, int]]:
         grams, first = sets(pa.array([r[3] for r in rows], pa.large_string()), n)
@@ -503,7 +509,9 @@ def join_components(df: DataFrame, row_id: str = "doc_id", text: str = "text", n
     several = shared.groupBy("sign").agg(F.min(F.struct("rep", "size")).alias("p"), F.max("rep").alias("top"))
     pivot = several.filter("p.rep <> top").select("sign", "p")
     grouped = stored(shared.join(pivot, "sign"), "ngram-grouped")
-    texts = stored(named.join(grouped.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), "ngram-texts")
+    wanted = stored(grouped.select(F.col("rep").alias("id")).distinct(), "ngram-wanted", small=True)
+    asked = sieved(named, "id", wanted).filter("_may").select("id", "text")
+    texts = stored(asked.join(wanted, "id", "left_semi"), "ngram-texts")
     pairs = (
         grouped
         .filter("rep <> p.rep")

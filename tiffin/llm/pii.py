@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tiffin.llm.sieve import sieved
 from tiffin.llm.store import stored
 
 KINDS = ("email", "ip", "card", "phone")
@@ -240,8 +241,9 @@ def mask(df: DataFrame, text: str = "text") -> DataFrame:
     found = every.filter(F.size("found") > 0)
     spans = with_context(found.dropDuplicates(["_text"]), trusted_patterns(found), "_text").select("_text", "spans")
     spans = stored(spans.filter(F.size("spans") > 0), "pii-spans", small=True)
-    rows = _carried(df, df.columns, F.col(text).alias("_plain"), F.md5(text).alias("_text"))
-    work = rows.join(spans, "_text", "left").withColumn("spans", F.coalesce("spans", F.array()))
+    # Only texts that may have spans are moved.
+    rows = sieved(_carried(df, df.columns, F.col(text).alias("_plain"), F.md5(text).alias("_text")), "_text", spans.select("_text"))
+    work = rows.filter("_may").join(spans, "_text", "left").withColumn("spans", F.coalesce("spans", F.array()))
     by_start = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     kind = "array<struct<start:int,end:int,kind:string>>"
 
@@ -263,4 +265,5 @@ def mask(df: DataFrame, text: str = "text") -> DataFrame:
         return F.concat(F.substr(F.col("_plain"), begin + 1, end - begin), mark)
 
     masked = F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n), piece), "")).otherwise(F.col("_plain"))
-    return work.select(*[(masked if c == text else F.col(f"_in.`{c}`")).alias(c) for c in df.columns])
+    done = work.select(*[(masked if c == text else F.col(f"_in.`{c}`")).alias(c) for c in df.columns])
+    return rows.filter("not _may").select(*[F.col(f"_in.`{c}`").alias(c) for c in df.columns]).unionAll(done)
