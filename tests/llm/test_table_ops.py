@@ -527,6 +527,31 @@ def test_sieve_loses_no_key_and_passes_few_others(spark, monkeypatch, words):
         assert sieve.sieved(df.limit(0), key, keys.select(key)).collect() == []
 
 
+def test_join_hands_python_bounded_batches(spark, monkeypatch):
+    """Batches as large as a task's input are held by the JVM and by Python at once; the session's own limit holds again afterwards."""
+    most, name = 2 * ngram_join.BATCH_BYTES, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, rng = spark.conf.get(name), random.Random(4)
+    rows = [(i, " ".join(str(rng.randrange(10**8)) for _ in range(450))) for i in range(2500)]
+    df = spark.createDataFrame([*rows, (2500, rows[7][1])], "doc_id long, text string").coalesce(1)
+    limits = []
+
+    def narrow(column, limit, inner=ngram_join.chunks):
+        if column.nbytes > most:
+            raise MemoryError(f"a batch of {column.nbytes} bytes")
+        return inner(column, limit)
+
+    def spied(df, what, small=False, inner=ngram_join.stored):
+        limits.append(int(spark.conf.get(name).rstrip("b")))
+        return inner(df, what, small)
+
+    monkeypatch.setattr(ngram_join, "chunks", narrow)
+    monkeypatch.setattr(ngram_join, "stored", spied)
+    got = {r.doc_id: r.component_id for r in ngram_join.join_components(df).collect()}
+    assert got == {i: i for i in range(2500)} | {2500: 7}
+    assert max(limits) == ngram_join.BATCH_BYTES
+    assert spark.conf.get(name) == before
+
+
 def test_near_duplicates_moves_copies_and_repeated_ids_alone(spark, no_small_tables, monkeypatch):
     texts = []
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tiffin.llm.graph import components
 from tiffin.llm.sieve import sieved
-from tiffin.llm.store import stored
+from tiffin.llm.store import bounded_batches, stored
 from tiffin.llm.text import Words, chunks, mix, ranges, shingles
 
 #: Sizes of a class differ by this factor at most.
@@ -47,6 +47,8 @@ SKETCH_BYTES = 4 << 20
 #: Columns of the incidence matrix multiplied at once.
 COLUMNS = 4096
 _CHUNK = 2 << 20
+#: Bytes of rows that Python gets at once: a little less than two chunks, so that none is left with a few rows.
+BATCH_BYTES = 7 << 19
 #: Parts in which the rows of a class of equal sets meet.
 CLASS_PARTS = 64
 #: Signatures that a task sorts at once.
@@ -487,6 +489,11 @@ def join_components(df: DataFrame, row_id: str = "doc_id", text: str = "text", n
     """(row_id, n_shingles, component_id) of every row: the size of its set, and the smallest id that links reach, its own included."""
     if not 50 <= percent <= 100 or n < 1:
         raise ValueError("percent must lie in 50 .. 100 and n be positive")
+    with bounded_batches(df.sparkSession, BATCH_BYTES):
+        return _joined(df, row_id, text, n, percent)
+
+
+def _joined(df: DataFrame, row_id: str, text: str, n: int, percent: int) -> DataFrame:
     spark = df.sparkSession
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     docs = df.select(F.col(row_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tiffin.session import shared_folder
 
@@ -22,3 +24,19 @@ def stored(df: DataFrame, name: str, small: bool = False) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     (df.hint("rebalance") if small else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def bounded_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """Meanwhile Python gets rows in Arrow batches of about ``size`` bytes, or of one row; afterwards the session's own limit holds again.
+
+    Spark's limit of 64 MB lets a batch be a whole task's input, and each task holds its batch three times: as Arrow vectors and as the stream
+    sent to Python, both outside the JVM's heap and doubled as they grow, and in Python. It holds for what is run meanwhile, as by ``stored``.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
