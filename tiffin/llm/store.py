@@ -30,8 +30,8 @@ def stored(df: DataFrame, name: str, small: bool = False) -> DataFrame:
 def bounded_batches(spark: SparkSession, size: int) -> Iterator[None]:
     """Meanwhile Python gets rows in Arrow batches of about ``size`` bytes, or of one row; afterwards the session's own limit holds again.
 
-    Spark's limit of 64 MB lets a batch be a whole task's input, and each task holds its batch three times: as Arrow vectors and as the stream
-    sent to Python, both outside the JVM's heap and doubled as they grow, and in Python. It holds for what is run meanwhile, as by ``stored``.
+    Spark's limit of 64 MB lets a batch be a whole task's input, which the JVM holds outside its heap and Python once more. The bound holds for
+    what is run meanwhile, as by ``stored``.
     """
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     before = spark.conf.get(name)
