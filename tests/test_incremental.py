@@ -5,16 +5,18 @@ from datetime import datetime
 from pathlib import Path
 from threading import Barrier
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tests.test_refresh import DATA, EVENT
+from tiffin.plans import incremental
 from tiffin.plans.incremental import refresh_changed
 from tiffin.plans.refresh import Config, refresh_all, table
 from tiffin.schemas import EVENTS, RAW_COLUMNS, raw_schema
 from tiffin.sources import placed
 from tiffin.sources.raw import parse_events
-from tiffin.sources.tables import append_table, manifest, overwrite_table, read_table
+from tiffin.sources.tables import append_table, manifest, overwrite_table, read_table, versions
 
 T1, T2, T3 = datetime(2024, 6, 1), datetime(2024, 6, 2), datetime(2024, 6, 3)
 TABLES = ["fct_order_enhanced", "fct_delivery", "fct_feedback", "fct_customer_event", "fct_order_secure", "dim_delivery_agent", "dim_promotion"]
@@ -173,3 +175,45 @@ def test_stores_take_in_their_tables_together(spark, deliver, work, monkeypatch)
     cfg = deliver(**{**DATA, EVENTS: [EVENT]})
     assert set(refresh_changed(spark, cfg, T1, "stamp").values()) == {"SUCCESS"}
     same_as_full(spark, cfg, work, T1)
+
+
+def test_shuffles_and_working_tables_do_not_stay(spark, deliver, work, monkeypatch):
+    name, seen = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    run = incremental.run_stages
+
+    def spy(*args):
+        seen.append(spark.conf.get(name))
+        return run(*args)
+
+    monkeypatch.setattr(incremental, "run_stages", spy)
+    before = spark.conf.get(name)
+    cfg = deliver(**{**DATA, EVENTS: [EVENT]})
+    assert set(refresh_changed(spark, cfg, T1, "stamp").values()) == {"SUCCESS"}
+    assert set(seen) == {"true"} and spark.conf.get(name) == before
+    assert not [*Path(f"{work}/dwh/changes").rglob("*.parquet"), *Path(f"{work}/dwh/touched").rglob("*.parquet")]
+    kinds = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in Path(f"{work}/dwh/fct_order_secure").rglob("*.parquet")}
+    assert kinds == {"ZSTD"}
+
+
+def test_large_facts_are_written_in_turns(spark, deliver, work, monkeypatch):
+    monkeypatch.setattr(incremental, "TURN_BYTES", 1)
+    turns = {}
+    replace_parts = incremental.replace_parts
+
+    def spy(rows, path, by, *, more, **kw):
+        turns[Path(path).name] = 1 + len(more)
+        return replace_parts(rows, path, by, more=more, **kw)
+
+    monkeypatch.setattr(incremental, "replace_parts", spy)
+    months = [order(1000 + i, f"2024-{i:02d}-05 10:00:00") for i in range(1, 6)]
+    orders = [*DATA["order_header"], *months, order("", "2024-03-02 00:00:00"), order(999, "2050-01-01 00:00:00"), order(998, "")]
+    waits = ("8", "300", "5", "2024-05-01 10:00:00", "2024-05-01 10:10:00", "1", "20", "30", "1")
+    cfg = deliver(**{**DATA, "order_header": orders, "delivery_trip": [*DATA["delivery_trip"], waits], EVENTS: [EVENT]})
+    assert set(refresh_changed(spark, cfg, T1, "stamp").values()) == {"SUCCESS"}
+    same_as_full(spark, cfg, work, T1)
+    assert min(turns[n] for n in ("fct_order_enhanced", "fct_delivery", "fct_feedback", "fct_order_secure")) > 1
+    assert len(versions(spark, cfg.path("fct_order_secure"))) == 1
+
+    cfg = deliver(order_header=[order(1003, "2024-04-05 10:00:00", status="CANCELLED")])
+    assert set(refresh_changed(spark, cfg, T2, "stamp").values()) == {"SUCCESS"}
+    same_as_full(spark, cfg, work, T2)
