@@ -14,6 +14,7 @@ import corpus_pipeline
 from checks.compare import connect
 from tiffin.llm import licenses, ngram_join, pii, queries, sieve, url_filter, warc
 from tiffin.llm.graph import components
+from tiffin.llm.store import bounded_broadcasts
 
 SF = "/root/testdata/sf0.001"
 
@@ -588,3 +589,33 @@ def test_masking_moves_texts_with_spans_alone(spark, no_small_tables):
     want = [(*r[:1], r[1] and r[1].replace("a@b.co", "[EMAIL]"), *r[2:]) for r in rows]
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
     assert moved <= 5
+
+
+def test_join_bounds_broadcasts_and_frees_shuffles(spark, monkeypatch):
+    seen = set()
+    names = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def spy(df, name, small=False, stored=ngram_join.stored):
+        seen.add(tuple(spark.conf.get(n) for n in names))
+        return stored(df, name, small)
+
+    before = [spark.conf.get(n) for n in names]
+    monkeypatch.setattr(ngram_join, "stored", spy)
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "other words that stand here alone")], "doc_id long, text string")
+    rows = {r.doc_id: r.component_id for r in ngram_join.join_components(docs).collect()}
+    assert rows == {1: 1, 2: 1, 3: 3}
+    assert seen == {(str(ngram_join.BROADCAST_BYTES), "true")} and [spark.conf.get(n) for n in names] == before
+
+
+@pytest.mark.parametrize("limit, bound", [("10m", "1000"), ("500b", "500"), ("100", "100"), ("-1", "-1")])
+def test_broadcasts_are_bounded_by_the_lower_limit(spark, limit, bound):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, limit)
+        with pytest.raises(KeyError), bounded_broadcasts(spark, 1000):
+            assert spark.conf.get(name) == bound
+            raise KeyError
+        assert spark.conf.get(name) == limit
+    finally:
+        spark.conf.set(name, before)

@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 
 from tiffin.llm.graph import components
 from tiffin.llm.sieve import sieved
-from tiffin.llm.store import bounded_batches, stored
+from tiffin.llm.store import bounded_batches, bounded_broadcasts, stored
 from tiffin.llm.text import Words, chunks, mix, ranges, shingles
+from tiffin.session import freed_shuffles
 
 #: Sizes of a class differ by this factor at most.
 CLASS_RATIO = 1.5
@@ -49,6 +50,8 @@ COLUMNS = 4096
 _CHUNK = 2 << 20
 #: Bytes of rows that Python gets at once: a little less than two chunks, so that none is left with a few rows.
 BATCH_BYTES = 7 << 19
+#: Bytes of a table that the steps broadcast at most.
+BROADCAST_BYTES = 1 << 20
 #: Parts in which the rows of a class of equal sets meet.
 CLASS_PARTS = 64
 #: Signatures that a task sorts at once.
@@ -489,7 +492,8 @@ def join_components(df: DataFrame, row_id: str = "doc_id", text: str = "text", n
     """(row_id, n_shingles, component_id) of every row: the size of its set, and the smallest id that links reach, its own included."""
     if not 50 <= percent <= 100 or n < 1:
         raise ValueError("percent must lie in 50 .. 100 and n be positive")
-    with bounded_batches(df.sparkSession, BATCH_BYTES):
+    spark = df.sparkSession
+    with bounded_batches(spark, BATCH_BYTES), bounded_broadcasts(spark, BROADCAST_BYTES), freed_shuffles(spark):
         return _joined(df, row_id, text, n, percent)
 
 

@@ -40,3 +40,29 @@ def bounded_batches(spark: SparkSession, size: int) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(name, before)
+
+
+@contextmanager
+def bounded_broadcasts(spark: SparkSession, size: int) -> Iterator[None]:
+    """Meanwhile Spark broadcasts no table above ``size`` bytes by its own choice, or by the session's limit if that is lower; afterwards that one
+    holds again.
+
+    Spark's limit is for files, which are packed; the driver holds what it broadcasts as rows, as a hash table and in pieces to send. A chain of
+    many joins, as of the rounds of ``components``, fills its heap with that long before the limit looks large.
+    """
+    names = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, held in before.items():
+        if held is not None:
+            spark.conf.set(name, str(min(size, _bytes(spark, held))))
+    try:
+        yield
+    finally:
+        for name, held in before.items():
+            if held is not None:
+                spark.conf.set(name, held)
+
+
+def _bytes(spark: SparkSession, text: str) -> int:
+    """A size as settings write it: 10485760, 10485760b, 10m, or -1 for none."""
+    return -1 if text.strip().startswith("-") else int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
