@@ -186,10 +186,12 @@ def test_shuffles_and_working_tables_do_not_stay(spark, deliver, work, monkeypat
         return run(*args)
 
     monkeypatch.setattr(incremental, "run_stages", spy)
+    forgot = []
+    monkeypatch.setattr(incremental, "forget_unused", forgot.append)
     before = spark.conf.get(name)
     cfg = deliver(**{**DATA, EVENTS: [EVENT]})
     assert set(refresh_changed(spark, cfg, T1, "stamp").values()) == {"SUCCESS"}
-    assert set(seen) == {"true"} and spark.conf.get(name) == before
+    assert set(seen) == {"true"} and spark.conf.get(name) == before and forgot == [spark]
     assert not [*Path(f"{work}/dwh/changes").rglob("*.parquet"), *Path(f"{work}/dwh/touched").rglob("*.parquet")]
     kinds = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in Path(f"{work}/dwh/fct_order_secure").rglob("*.parquet")}
     assert kinds == {"ZSTD"}
